@@ -194,8 +194,13 @@ def quantile_table(
     relative_error: float = 0.01,
 ) -> DataFrame:
     """Long table ``(column, probability, value)`` of quantiles per column."""
-    rows = []
-    for column in columns:
-        for p, value in zip(probabilities, quantiles(df, column, probabilities, method, relative_error)):
-            rows.append((column, float(p), value))
+    if method == "exact":
+        found = exact_quantiles_multi(df, {column: list(probabilities) for column in columns})
+    else:
+        found = {column: quantiles(df, column, probabilities, method, relative_error) for column in columns}
+    rows = [
+        (column, float(p), value)
+        for column in columns
+        for p, value in zip(probabilities, found[column])
+    ]
     return df.sparkSession.createDataFrame(rows, "column string, probability double, value double")
