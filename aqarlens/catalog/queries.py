@@ -42,7 +42,7 @@ from aqarlens.operators.splits import hash_split, split_frames, union_splits
 from aqarlens.plans.cleaning import clean_property_data, critical_condition_for
 from aqarlens.plans.config import FEATURES, TARGET
 from aqarlens.plans.training import prepare_model_data
-from aqarlens.session import checkpoint_dir
+from aqarlens.session import checkpoint_dir, materialize
 from aqarlens.sources.files import read_listings, write_table
 from aqarlens.sources.listings_view import TIE_COLUMNS, VIEW_COLUMNS, listings_view
 
@@ -143,7 +143,12 @@ def encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare_model_data(encoded(spark, sf_dir), keep=("listing_id", "split"))
+    """Materialized once: every model fit and evaluation reads it again."""
+
+    def build():
+        return materialize(prepare_model_data(encoded(spark, sf_dir), keep=("listing_id", "split")))
+
+    return _memo(spark, sf_dir, "model_table", build)
 
 
 def _round(df: DataFrame, digits: int = 6, skip: tuple[str, ...] = ()) -> DataFrame:
@@ -706,3 +711,231 @@ def q_city_price_summary(spark, sf_dir):
         F.max(TARGET).alias("max_price_per_sqm"),
         F.round(F.avg("city_enc"), 4).alias("city_enc"),
     )
+
+
+# ---------------------------------------------------------------- evaluation (SQL-checkable baseline)
+
+from aqarlens.operators.splits import map_sample, random_split, segment_sample  # noqa: E402
+from aqarlens.plans.config import DEFAULT_MODEL_PARAMS  # noqa: E402
+from aqarlens.plans.evaluation import (  # noqa: E402
+    feature_importance,
+    group_mean_baseline,
+    metrics_by_split,
+    regression_metrics,
+    residuals,
+)
+from aqarlens.plans.scoring import ModelBundle, predict_price_per_sqm  # noqa: E402
+from aqarlens.plans.training import fit_model, model_specs, train_models, tuning_summary  # noqa: E402
+
+BASELINE_KEY = "completion_score"
+_BASELINE_SQL = (
+    sql.pipeline("model_table")
+    + f", base AS (SELECT {BASELINE_KEY}, avg(label) AS gmean FROM model_table WHERE split = 'train' GROUP BY {BASELINE_KEY}), "
+    "overall AS (SELECT avg(label) AS m FROM model_table WHERE split = 'train'), "
+    "scored AS (SELECT t.*, coalesce(b.gmean, o.m) AS prediction FROM model_table t "
+    f"LEFT JOIN base b ON t.{BASELINE_KEY} = b.{BASELINE_KEY} CROSS JOIN overall o)"
+)
+_METRICS_SQL = (
+    "count(*) AS n, round(1 - sum((label - prediction) * (label - prediction)) / (var_pop(label) * count(*)), 6) AS r2, "
+    "round(sqrt(avg((label - prediction) * (label - prediction))), 6) AS rmse_log, "
+    "round(avg(abs(label - prediction)), 6) AS mae_log, "
+    "round(sqrt(avg(((exp(label) - 1) - (exp(prediction) - 1)) * ((exp(label) - 1) - (exp(prediction) - 1)))), 4) AS rmse_units"
+)
+
+
+def _round_metrics(df: DataFrame) -> DataFrame:
+    return df.select(
+        *[c for c in df.columns if c not in ("r2", "rmse_log", "mae_log", "rmse_units")],
+        F.round("r2", 6).alias("r2"),
+        F.round("rmse_log", 6).alias("rmse_log"),
+        F.round("mae_log", 6).alias("mae_log"),
+        F.round("rmse_units", 4).alias("rmse_units"),
+    )
+
+
+def baseline_scored(spark, sf_dir) -> DataFrame:
+    return group_mean_baseline(model_table(spark, sf_dir), BASELINE_KEY)
+
+
+@register("metrics_by_split", _BASELINE_SQL + f"\nSELECT split, {_METRICS_SQL} FROM scored GROUP BY split")
+def q_metrics_by_split(spark, sf_dir):
+    return _round_metrics(metrics_by_split(baseline_scored(spark, sf_dir)))
+
+
+@register("regression_metrics", _BASELINE_SQL + f"\nSELECT {_METRICS_SQL} FROM scored WHERE split = 'test'")
+def q_regression_metrics(spark, sf_dir):
+    return _round_metrics(regression_metrics(baseline_scored(spark, sf_dir).where(F.col("split") == "test")))
+
+
+@register(
+    "residuals",
+    _BASELINE_SQL
+    + "\nSELECT listing_id, split, round(exp(prediction) - 1, 4) AS predicted_units, "
+    "round((exp(label) - 1) - (exp(prediction) - 1), 4) AS residual FROM scored",
+)
+def q_residuals(spark, sf_dir):
+    out = residuals(baseline_scored(spark, sf_dir), keep=("listing_id", "split"))
+    return out.select(
+        "listing_id", "split", F.round("predicted_units", 4).alias("predicted_units"), F.round("residual", 4).alias("residual")
+    )
+
+
+@register(
+    "linear_trend_fit",
+    sql.pipeline("model_table")
+    + "\nSELECT round(regr_slope(label, log_area), 6) AS coefficient, round(regr_intercept(label, log_area), 6) AS intercept "
+    "FROM model_table WHERE split = 'train'",
+)
+def q_linear_trend_fit(spark, sf_dir):
+    """One-feature, unpenalised LinearRegression = least squares line."""
+    from pyspark.ml.regression import LinearRegression
+
+    train = model_table(spark, sf_dir).where(F.col("split") == "train")
+    estimator = LinearRegression(featuresCol="features", labelCol="label", regParam=0.0, elasticNetParam=0.0, solver="normal")
+    fitted, _ = fit_model(estimator, [], train, ["log_area"])
+    lr = fitted.stages[-1]
+    return spark.createDataFrame(
+        [(round(float(lr.coefficients[0]), 6), round(float(lr.intercept), 6))], "coefficient double, intercept double"
+    )
+
+
+# ---------------------------------------------------------------- model fits (rows-only)
+
+
+def _spec(key: str, params=None):
+    names = {"linear_regression": 0, "decision_tree": 1, "random_forest": 2, "gbt": 3}
+    params = dict(params or DEFAULT_MODEL_PARAMS)
+    block = dict(params.get(key, {}))
+    block["enabled"] = True
+    only = {k: {"enabled": False} for k in names}
+    only[key] = block
+    only["tuning"] = params.get("tuning", {})
+    return model_specs(only)[0]
+
+
+def fitted_model(spark, sf_dir, key: str):
+    def build():
+        name, estimator, grid = _spec(key)
+        train = model_table(spark, sf_dir).where(F.col("split") == "train")
+        return fit_model(estimator, grid, train)[0]
+
+    return _memo(spark, sf_dir, f"fit:{key}", build)
+
+
+def _fit_query(key: str) -> Query:
+    def run(spark, sf_dir):
+        scored = fitted_model(spark, sf_dir, key).transform(model_table(spark, sf_dir))
+        return _round_metrics(metrics_by_split(scored))
+
+    return run
+
+
+for _key, _name in (
+    ("linear_regression", "fit_linear"),
+    ("decision_tree", "fit_tree"),
+    ("random_forest", "fit_forest"),
+    ("gbt", "fit_gbt"),
+):
+    register(_name)(_fit_query(_key))
+
+
+def _tuning_rows(spark, tuned) -> DataFrame:
+    metrics = list(getattr(tuned, "validationMetrics", None) or getattr(tuned, "avgMetrics", None))
+    maps = tuned.getEstimatorParamMaps()
+    best_score, _ = tuning_summary(tuned)
+    rows = [
+        (
+            ", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name)),
+            float(score),
+            float(score) == best_score,
+        )
+        for m, score in zip(maps, metrics)
+    ]
+    return spark.createDataFrame(rows, "params string, validation_r2 double, best boolean")
+
+
+@register("tune_tvs")
+def q_tune_tvs(spark, sf_dir):
+    name, estimator, _ = _spec("linear_regression")
+    from pyspark.ml.tuning import ParamGridBuilder
+
+    grid = ParamGridBuilder().addGrid(estimator.regParam, [0.01, 0.1]).addGrid(estimator.elasticNetParam, [0.0]).build()
+    train = model_table(spark, sf_dir).where(F.col("split") == "train")
+    _, tuned = fit_model(estimator, grid, train, tuning={"method": "train_validation_split", "parallelism": 1})
+    return _tuning_rows(spark, tuned)
+
+
+@register("tune_cv")
+def q_tune_cv(spark, sf_dir):
+    name, estimator, _ = _spec("decision_tree")
+    from pyspark.ml.tuning import ParamGridBuilder
+
+    grid = ParamGridBuilder().addGrid(estimator.maxDepth, [4, 6]).addGrid(estimator.minInstancesPerNode, [20]).build()
+    train = model_table(spark, sf_dir).where(F.col("split") == "train")
+    _, tuned = fit_model(estimator, grid, train, tuning={"method": "cross_validator", "num_folds": 3, "parallelism": 1})
+    return _tuning_rows(spark, tuned)
+
+
+@register("model_comparison")
+def q_model_comparison(spark, sf_dir):
+    results, _ = train_models(model_table(spark, sf_dir), DEFAULT_MODEL_PARAMS, select_on="test", materialize_mode="none")
+    return results
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    ranked = feature_importance(fitted_model(spark, sf_dir, "random_forest"), FEATURES, 20)
+    return spark.createDataFrame(ranked, "feature string, importance double")
+
+
+def bundle(spark, sf_dir) -> ModelBundle:
+    _, _, cleaning_model = cleaning(spark, sf_dir)
+    return ModelBundle(
+        model=fitted_model(spark, sf_dir, "decision_tree"),
+        model_name="Spark Decision Tree",
+        encoding=encoding(spark, sf_dir),
+        cleaning=cleaning_model,
+    )
+
+
+@register("score_listings")
+def q_score_listings(spark, sf_dir):
+    """Score every raw listing with the saved cleaning values and encodings."""
+    scored = predict_price_per_sqm(bundle(spark, sf_dir), raw(spark, sf_dir), keep=("listing_id",))
+    return scored.select("listing_id", "prediction", "predicted_price_per_sqm")
+
+
+@register("model_roundtrip_scores")
+def q_model_roundtrip_scores(spark, sf_dir):
+    original = bundle(spark, sf_dir)
+    path = scratch_path(spark, "bundle")
+    original.save(path)
+    reloaded = ModelBundle.load(spark, path)
+    test = model_table(spark, sf_dir).where(F.col("split") == "test")
+    before = original.model.transform(test).select("listing_id", F.col("prediction").alias("before"))
+    after = reloaded.model.transform(test).select("listing_id", F.col("prediction").alias("after"))
+    return before.join(after, "listing_id").select(
+        "listing_id", F.col("after").alias("prediction"), (F.col("before") == F.col("after")).alias("same")
+    )
+
+
+# ---------------------------------------------------------------- random splits and samples (rows-only)
+
+
+@register("random_split")
+def q_random_split(spark, sf_dir):
+    parts = random_split(cleaned(spark, sf_dir).select("listing_id", "category"))
+    return union_splits(parts, column="split")
+
+
+@register("map_sample")
+def q_map_sample(spark, sf_dir):
+    points = raw(spark, sf_dir).select(
+        "category", F.col("lat").try_cast("double").alias("lat"), F.col("lon").try_cast("double").alias("lon")
+    ).dropna(subset=["lat", "lon"])
+    return map_sample(points, 5_000)
+
+
+@register("segment_sample")
+def q_segment_sample(spark, sf_dir):
+    return segment_sample(cleaned(spark, sf_dir).select("listing_id", "category", "area_value", "price_egp"))
