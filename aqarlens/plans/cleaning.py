@@ -1,11 +1,12 @@
 """The whole cleaning job: drop → dedup → parse → impute → critical filter →
 payment rules → target → outlier trim, with its funnel report.
 
-Jobs at scale: the dedup shuffle runs once and its result is materialized
-(reliable checkpoint into ``spark.checkpoint.dir`` when the cluster names
-one, else a MEMORY_AND_DISK persist); medians (3 small jobs), outlier
-limits (3 small jobs) and all report counters (1 aggregate) then read it.
-The cleaned frame itself stays a lazy filter over the materialized rows.
+Jobs at scale: a key-only row count; the dedup shuffle runs once and its
+result is materialized (a Parquet table in ``spark.checkpoint.dir`` when
+the cluster names one, else a MEMORY_AND_DISK persist); room medians and
+outlier limits come from one exact-quantile pass (3 small jobs) and all
+report counters from one aggregate.  The cleaned frame itself stays a lazy
+filter over the materialized rows.
 """
 
 from __future__ import annotations
@@ -27,16 +28,12 @@ from aqarlens.operators.cleaning import (
     dedup_by_key,
     drop_irrelevant_columns,
     fill_defaults,
-    fit_outlier_limits,
-    fit_room_medians,
+    fit_cleaning_values,
     parse_listing_columns,
     standardize_payment_method,
 )
 from aqarlens.session import materialize
 
-COPIES = "__copies"
-
-
 @dataclass
 class CleaningReport:
     initial_rows: int
@@ -100,19 +97,18 @@ def clean_property_data(
 ) -> tuple[DataFrame, CleaningReport, CleaningModel]:
     """Clean raw listings → (cleaned rows, funnel report, fitted values)."""
     dropped, dropped_count = drop_irrelevant_columns(raw, drop_columns)
-    deduped = dedup_by_key(dropped, key, dedup_order, keep_null_keys=keep_null_keys, copies_column=COPIES)
+    initial = dropped.count()  # column-pruned: reads no value column
+    deduped = dedup_by_key(dropped, key, dedup_order, keep_null_keys=keep_null_keys)
     staged = materialize(parse_listing_columns(deduped), materialize_mode)
 
-    bed, bath = fit_room_medians(staged, method=quantile_method)
+    bed, bath, limits = fit_cleaning_values(
+        staged, critical_condition_for(staged), price_quantiles, area_bounds, price_per_sqm_bounds, quantile_method
+    )
     prepared = add_target(standardize_payment_method(fill_defaults(staged, bed, bath)))
     survives = critical_condition_for(prepared)
-    limits = fit_outlier_limits(
-        prepared.where(survives), price_quantiles, area_bounds, price_per_sqm_bounds, method=quantile_method
-    )
     keep = survives & limits.condition()
 
     counts = prepared.agg(
-        F.sum(COPIES).alias("initial"),
         F.count(F.lit(1)).alias("deduped"),
         F.count_if(~survives).alias("critical"),
         F.count_if(survives & (F.col("payment_method") == "unknown")).alias("unknown"),
@@ -121,7 +117,6 @@ def clean_property_data(
         F.min(F.when(keep, F.col(TARGET))).alias("low"),
         F.max(F.when(keep, F.col(TARGET))).alias("high"),
     ).first()
-    initial = int(counts["initial"] or 0)
     report = CleaningReport(
         initial_rows=initial,
         final_rows=int(counts["final"]),
@@ -138,5 +133,5 @@ def clean_property_data(
     model = CleaningModel(
         bed, bath, limits.price_per_sqm_low, limits.price_per_sqm_high, limits.area_low, limits.area_high
     )
-    cleaned = prepared.where(keep).drop(COPIES)
+    cleaned = prepared.where(keep)
     return cleaned, report, model

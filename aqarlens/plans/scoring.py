@@ -89,17 +89,23 @@ def prepare_for_scoring(raw: DataFrame, bundle: ModelBundle) -> DataFrame:
 
 
 def predict_price_per_sqm(bundle: ModelBundle, raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Score every row: ``prediction`` (log space) and ``predicted_price_per_sqm``.
+    """Score every row in one pass: ``prediction`` (log space) and
+    ``predicted_price_per_sqm``.
 
-    Complete rows go through the pipeline; rows with a missing feature keep
-    a null prediction.  The vector column is dropped so any sink can hold
-    the result.
+    A row with a missing feature is fed zeros and its prediction masked to
+    null, so incomplete rows neither fail the assembler nor need a second
+    scan.  The vector column is dropped so any sink can hold the result.
     """
     ready = prepare_for_scoring(raw, bundle)
     complete = F.lit(True)
     for name in bundle.features:
         complete = complete & F.col(name).isNotNull() & ~F.isnan(F.col(name))
-    columns = list(keep) or [c for c in ready.columns]
-    scored = bundle.model.transform(ready.where(complete)).select(*columns, "prediction")
-    missing = ready.where(~complete).select(*columns, F.lit(None).cast("double").alias("prediction"))
-    return scored.unionByName(missing).withColumn("predicted_price_per_sqm", F.expm1("prediction"))
+    columns = list(keep) or [c for c in ready.columns if c not in bundle.features]
+    guarded = ready.withColumn("__complete", complete).withColumns(
+        {name: F.when(F.col("__complete"), F.col(name)).otherwise(F.lit(0.0)) for name in bundle.features}
+    )
+    scored = bundle.model.transform(guarded)
+    prediction = F.when(F.col("__complete"), F.col("prediction"))
+    return scored.select(
+        *columns, prediction.alias("prediction"), F.expm1(prediction).alias("predicted_price_per_sqm")
+    )

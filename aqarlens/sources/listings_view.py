@@ -86,6 +86,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster when the scan has fewer input
+    partitions than cores (e.g. one file with a single row group, which one
+    task would otherwise process alone).  Inputs already split into at
+    least ``defaultParallelism`` partitions are left as they are, so this
+    adds no shuffle at scale."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def listings_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw listings (strings as scraped) derived from the star schema.
 
@@ -93,7 +105,7 @@ def listings_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     broadcast; ``part`` and ``supplier`` grow with the scale factor, so
     their join strategy is left to the planner's size check and AQE.
     """
-    lineitem = read_table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS)
+    lineitem = spread(read_table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS))
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand", "p_size")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
