@@ -101,11 +101,20 @@ def predict_price_per_sqm(bundle: ModelBundle, raw: DataFrame, keep: tuple[str,
     for name in bundle.features:
         complete = complete & F.col(name).isNotNull() & ~F.isnan(F.col(name))
     columns = list(keep) or [c for c in ready.columns if c not in bundle.features]
-    guarded = ready.withColumn("__complete", complete).withColumns(
-        {name: F.when(F.col("__complete"), F.col(name)).otherwise(F.lit(0.0)) for name in bundle.features}
+    # Kept columns that are also features are carried aside, so the output
+    # shows their real values rather than the zeros fed to the model.
+    carried = {name: f"__kept_{i}" for i, name in enumerate(columns) if name in bundle.features}
+    guarded = (
+        ready.withColumn("__complete", complete)
+        .withColumns({alias: F.col(name) for name, alias in carried.items()})
+        .withColumns(
+            {name: F.when(F.col("__complete"), F.col(name)).otherwise(F.lit(0.0)) for name in bundle.features}
+        )
     )
     scored = bundle.model.transform(guarded)
     prediction = F.when(F.col("__complete"), F.col("prediction"))
     return scored.select(
-        *columns, prediction.alias("prediction"), F.expm1(prediction).alias("predicted_price_per_sqm")
+        *[F.col(carried[name]).alias(name) if name in carried else F.col(name) for name in columns],
+        prediction.alias("prediction"),
+        F.expm1(prediction).alias("predicted_price_per_sqm"),
     )
