@@ -629,15 +629,41 @@ def q_target_histogram(spark, sf_dir):
     "min(x) AS min_x, max(x) AS max_x FROM seg WHERE segment IS NOT NULL GROUP BY segment",
 )
 def q_price_area_trend(spark, sf_dir):
+    trend = _price_area_trend(spark, sf_dir)
+    return trend.withColumn("slope", F.round("slope", 3)).withColumn("intercept", F.round("intercept", 1))
+
+
+_TREND_SEGMENTS_SQL = (
+    ", seg AS (SELECT CASE WHEN category = 'buy' AND price_egp < 50000000 AND area_value < 1000 THEN 'buy' "
+    "WHEN category = 'rent' AND price_egp < 100000 AND area_value < 500 THEN 'rent' END AS segment, "
+    "area_value AS x, price_egp AS y FROM clean)"
+)
+
+
+def _price_area_trend(spark, sf_dir) -> DataFrame:
     price, area = F.col("price_egp"), F.col("area_value")
-    trend = profiling.linear_trend(
+    return profiling.linear_trend(
         cleaned(spark, sf_dir),
         "area_value",
         "price_egp",
         "category",
         {"buy": (price < 50_000_000) & (area < 1_000), "rent": (price < 100_000) & (area < 500)},
     )
-    return trend.withColumn("slope", F.round("slope", 3)).withColumn("intercept", F.round("intercept", 1))
+
+
+@register(
+    "price_area_trend_line",
+    sql.pipeline("clean")
+    + _TREND_SEGMENTS_SQL
+    + ", fit AS (SELECT segment, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, min(x) AS min_x, "
+    "max(x) AS max_x FROM seg WHERE segment IS NOT NULL GROUP BY segment HAVING regr_slope(y, x) IS NOT NULL)"
+    "\nSELECT segment, CAST(i AS INTEGER) AS point, round(min_x + (max_x - min_x) * i / 99.0E0, 6) AS x, "
+    "round(slope * (min_x + (max_x - min_x) * i / 99.0E0) + intercept, 1) AS y FROM fit, range(0, 100) t(i)",
+)
+def q_price_area_trend_line(spark, sf_dir):
+    """The 100-point least-squares line drawn over each segment's scatter."""
+    points = profiling.trend_line_points(_price_area_trend(spark, sf_dir), 100)
+    return points.select("segment", "point", F.round("x", 6).alias("x"), F.round("y", 1).alias("y"))
 
 
 @register(

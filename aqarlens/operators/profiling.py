@@ -219,15 +219,10 @@ def linear_trend(df: DataFrame, x: str, y: str, segment: str, segments: Mapping[
 
 def trend_line_points(trend: DataFrame, points: int = 100) -> DataFrame:
     """``points`` evenly spaced points of each segment's line over [min_x, max_x]."""
-    steps = max(points - 1, 1)
-    return (
-        trend.where(F.col("slope").isNotNull())
-        .select("segment", "slope", "intercept", "min_x", "max_x", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
-        .select(
-            "segment",
-            "point",
-            (F.col("min_x") + (F.col("max_x") - F.col("min_x")) * F.col("point") / F.lit(float(steps))).alias("x"),
-        )
-        .join(trend.select("segment", "slope", "intercept"), "segment")
-        .select("segment", "point", "x", (F.col("slope") * F.col("x") + F.col("intercept")).alias("y"))
+    steps = float(max(points - 1, 1))
+    spaced = trend.where(F.col("slope").isNotNull()).select(
+        "segment", "slope", "intercept", "min_x", "max_x",
+        F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
     )
+    x = F.col("min_x") + (F.col("max_x") - F.col("min_x")) * F.col("point") / F.lit(steps)
+    return spaced.select("segment", "point", x.alias("x"), (F.col("slope") * x + F.col("intercept")).alias("y"))
