@@ -2,33 +2,38 @@
 
 ``percentile_disc`` in Spark keeps a value→count map for the whole column in
 one final task, which does not survive billions of distinct prices.  The
-exact operator here keeps every step distributed:
-
-1. one aggregate: row count + ``percentile_approx`` bucket boundaries
-   (a bounded-memory sketch);
-2. ``Bucketizer`` (binary search, JVM) tags rows; one tiny aggregate counts
-   rows per bucket (≤ ``buckets`` groups, combined map-side) → driver
-   computes bucket offsets from those ≤ ``buckets`` numbers;
-3. only the buckets that hold a requested rank are grouped by value and
-   ranked with a running sum; a hot value collapses to one row in the
-   map-side partial aggregate, so skew does not reach the window.
-
-The result is the value at 1-based rank ``max(1, ceil(n·q))`` among the
-non-null, non-NaN values, i.e. Spark's ``percentile_disc`` and DuckDB's
-``quantile_disc``.
+exact operator here narrows each requested rank down to a value range that
+holds at most ``final_rows`` rows, then ranks only that range:
+
+1. one aggregate per round: row count and ``percentile_approx`` bucket
+   boundaries of every open range (bounded-memory sketches);
+2. a range still larger than ``final_rows`` is cut at those boundaries by
+   ``Bucketizer`` (binary search, JVM); one small aggregate counts rows per
+   bucket (≤ ``buckets`` groups per range, combined map-side) and the driver
+   keeps the bucket holding the rank — the next round's range;
+3. once every range is small, one job groups each range by value and takes
+   a running count; a hot value collapses to one row in the map-side partial
+   aggregate, so skew never reaches the window.
+
+Each round shrinks a range about ``buckets``-fold, so a window task never
+sees more than ``final_rows`` rows whatever the table size.  The result is
+the value at 1-based rank ``max(1, ceil(n·q))`` among the non-null, non-NaN
+values, i.e. Spark's ``percentile_disc`` and DuckDB's ``quantile_disc``.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_SKETCH_ACCURACY = 10_000
-MAX_BUCKETS = 10_000
+DEFAULT_BUCKETS = 1024
+DEFAULT_FINAL_ROWS = 1_000_000
+MAX_ROUNDS = 8
 
 
 def _values(df: DataFrame, column: str) -> DataFrame:
@@ -36,130 +41,214 @@ def _values(df: DataFrame, column: str) -> DataFrame:
     return df.select(value.alias("v")).where(value.isNotNull() & ~F.isnan(value))
 
 
-def _bucket_count(df: DataFrame, buckets: int | None) -> int:
-    if buckets:
-        return max(1, min(int(buckets), MAX_BUCKETS))
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(8, min(partitions * 4, MAX_BUCKETS))
+@dataclass
+class _Range:
+    """Values of column ``col`` in [low, high) (high = +inf is inclusive)."""
+
+    col: int
+    low: float
+    high: float
+
+    def contains(self, value: Column) -> Column:
+        condition = value.isNotNull()
+        if self.low != -math.inf:
+            condition = condition & (value >= F.lit(self.low))
+        if self.high != math.inf:
+            condition = condition & (value < F.lit(self.high))
+        return condition
 
 
 def exact_quantiles_multi(
     df: DataFrame,
     requests: Mapping[str, Sequence[float]],
     buckets: int | None = None,
+    final_rows: int = DEFAULT_FINAL_ROWS,
 ) -> dict[str, list[float | None]]:
-    """Exact discrete quantiles for several columns in three jobs in total.
+    """Exact discrete quantiles for several columns.
 
     ``requests`` maps column → probabilities; each column uses its own
     non-null, non-NaN values.  Returns column → values (``None`` when the
-    column has no value).
+    column has no value).  Two jobs when every column fits ``final_rows``;
+    two more per refinement round otherwise.
     """
     names = list(requests)
     for name in names:
         for p in requests[name]:
             if not 0.0 <= float(p) <= 1.0:
                 raise ValueError(f"probability {p} outside [0, 1]")
-    value_cols = [f"v{i}" for i in range(len(names))]
-    bucket_cols = [f"b{i}" for i in range(len(names))]
+    bucket_total = max(2, int(buckets or DEFAULT_BUCKETS))
+    fractions = [i / bucket_total for i in range(1, bucket_total)]
+    accuracy = max(10_000, 10 * bucket_total)
+    values = [f"v{i}" for i in range(len(names))]
     wide = df.select(
         *[
             F.when(F.isnan(F.col(name).cast("double")), None).otherwise(F.col(name).cast("double")).alias(v)
-            for name, v in zip(names, value_cols)
+            for name, v in zip(names, values)
         ]
     )
-    bucket_total = _bucket_count(df, buckets)
-    fractions = [i / bucket_total for i in range(1, bucket_total)] or [0.5]
-
-    # Job 1: counts and sketch boundaries for every column in one pass.
-    first = wide.agg(
-        *[F.count(v).alias(f"n{i}") for i, v in enumerate(value_cols)],
-        *[F.percentile_approx(v, fractions, DEFAULT_SKETCH_ACCURACY).alias(f"s{i}") for i, v in enumerate(value_cols)],
-    ).first()
-    counts = [int(first[f"n{i}"]) for i in range(len(names))]
     result: dict[str, list[float | None]] = {name: [None] * len(requests[name]) for name in names}
-    live = [i for i in range(len(names)) if counts[i] > 0]
-    if not live:
-        return result
-    splits = []
-    for i in live:
-        bounds = sorted({float(b) for b in (first[f"s{i}"] or []) if b is not None and math.isfinite(b)})
-        splits.append([-math.inf, *bounds, math.inf])
-    tagged = Bucketizer(
-        splitsArray=splits,
-        inputCols=[value_cols[i] for i in live],
-        outputCols=[bucket_cols[i] for i in live],
-        handleInvalid="keep",
-    ).transform(wide)
-    long = tagged.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("c"), F.col(bucket_cols[i]).alias("bucket"), F.col(value_cols[i]).alias("v"))
-                    for i in live
-                ]
+
+    # targets: (column, probability slot, range, rank within range); rank None until counted.
+    targets: list[list] = [[i, k, _Range(i, -math.inf, math.inf), None] for i in range(len(names)) for k in range(len(requests[names[i]]))]
+    done: list[list] = []
+    for _ in range(MAX_ROUNDS):
+        if not targets:
+            break
+        ranges: dict[tuple, _Range] = {}
+        for target in targets:
+            r = target[2]
+            ranges.setdefault((r.col, r.low, r.high), r)
+        keys = list(ranges)
+        # Job: size and sketch of every open range.
+        stats = wide.agg(
+            *[F.count_if(ranges[key].contains(F.col(values[key[0]]))).alias(f"n{j}") for j, key in enumerate(keys)],
+            *[
+                F.percentile_approx(
+                    F.when(ranges[key].contains(F.col(values[key[0]])), F.col(values[key[0]])), fractions, accuracy
+                ).alias(f"s{j}")
+                for j, key in enumerate(keys)
+            ],
+        ).first()
+        sizes = {key: int(stats[f"n{j}"]) for j, key in enumerate(keys)}
+        sketches = {key: stats[f"s{j}"] or [] for j, key in enumerate(keys)}
+        still_open = []
+        for target in targets:
+            col, slot, r, rank = target
+            key = (r.col, r.low, r.high)
+            if rank is None:
+                if sizes[key] == 0:
+                    continue  # empty column: stays None
+                rank = max(1, math.ceil(sizes[key] * float(requests[names[col]][slot])))
+                target[3] = rank
+            if sizes[key] <= final_rows:
+                done.append(target)
+            else:
+                still_open.append(target)
+        if not still_open:
+            targets = []
+            break
+        # Cut every large range at its sketch boundaries; count rows per piece.
+        open_keys = list({(t[2].col, t[2].low, t[2].high) for t in still_open})
+        splits = {}
+        for key in open_keys:
+            # Cut at each boundary and just above it, so a hot value ends up
+            # alone in a one-value piece instead of blocking the split.
+            cuts = set()
+            for b in sketches[key]:
+                if b is not None and math.isfinite(b):
+                    cuts.update((float(b), math.nextafter(float(b), math.inf)))
+            inner = sorted(c for c in cuts if key[1] < c < key[2])
+            if inner:
+                splits[key] = [key[1], *inner, key[2]]
+        # A range with no interior cut holds a single value: rank it as it is.
+        done.extend(t for t in still_open if (t[2].col, t[2].low, t[2].high) not in splits)
+        still_open = [t for t in still_open if (t[2].col, t[2].low, t[2].high) in splits]
+        open_keys = [key for key in open_keys if key in splits]
+        if not open_keys:
+            targets = []
+            break
+        cut_cols = [f"x{j}" for j in range(len(open_keys))]
+        piece_cols = [f"p{j}" for j in range(len(open_keys))]
+        restricted = wide.select(
+            *[
+                F.when(ranges[key].contains(F.col(values[key[0]])), F.col(values[key[0]])).alias(cut)
+                for key, cut in zip(open_keys, cut_cols)
+            ]
+        )
+        pieces = Bucketizer(
+            splitsArray=[_bucketizer_splits(splits[key]) for key in open_keys],
+            inputCols=cut_cols,
+            outputCols=piece_cols,
+            handleInvalid="keep",
+        ).transform(restricted)
+        counted = (
+            pieces.select(
+                F.explode(
+                    F.array(
+                        *[
+                            F.struct(F.lit(j).alias("r"), F.col(piece_cols[j]).alias("piece"), F.col(cut_cols[j]).alias("x"))
+                            for j in range(len(open_keys))
+                        ]
+                    )
+                ).alias("e")
             )
-        ).alias("e")
-    ).select("e.c", "e.bucket", "e.v").where(F.col("v").isNotNull())
-
-    # Job 2: rows per (column, bucket): at most len(columns) × buckets groups.
-    offsets: dict[int, dict[int, int]] = {i: {} for i in live}
-    per_bucket = long.groupBy("c", "bucket").agg(F.count(F.lit(1)).alias("rows")).collect()
-    for i in live:
-        running = 0
-        for row in sorted((r for r in per_bucket if r["c"] == i), key=lambda r: r["bucket"]):
-            offsets[i][int(row["bucket"])] = running
-            running += int(row["rows"])
-
-    wanted: list[tuple[int, int, int]] = []  # (column, bucket, rank within bucket)
-    for i in live:
-        for p in requests[names[i]]:
-            rank = max(1, math.ceil(counts[i] * float(p)))
-            bucket = max(b for b, start in offsets[i].items() if start < rank)
-            wanted.append((i, bucket, rank - offsets[i][bucket]))
-
-    # Job 3: rank values only inside the buckets that hold a requested rank.
-    target = F.lit(False)
-    for i, bucket, _ in wanted:
-        target = target | ((F.col("c") == i) & (F.col("bucket") == float(bucket)))
-    ranked = (
-        long.where(target)
-        .groupBy("c", "bucket", "v")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .withColumn(
-            "through",
-            F.sum("rows").over(
-                Window.partitionBy("c", "bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            ),
+            .where(F.col("e.x").isNotNull())
+            .groupBy("e.r", "e.piece")
+            .agg(F.count(F.lit(1)).alias("rows"))
+            .collect()
         )
-    )
-    picks = ranked.agg(
-        *[
-            F.min(
-                F.when(
-                    (F.col("c") == i) & (F.col("bucket") == float(bucket)) & (F.col("through") >= need), F.col("v")
-                )
-            ).alias(f"q{k}")
-            for k, (i, bucket, need) in enumerate(wanted)
-        ]
-    ).first()
-    position = 0
-    for i in live:
-        values = []
-        for _ in requests[names[i]]:
-            values.append(float(picks[f"q{position}"]))
-            position += 1
-        result[names[i]] = values
+        per_range: dict[int, list[tuple[int, int]]] = {}
+        for row in counted:
+            per_range.setdefault(int(row["r"]), []).append((int(row["piece"]), int(row["rows"])))
+        targets = []
+        for target in still_open:
+            col, slot, r, rank = target
+            key = (r.col, r.low, r.high)
+            j = open_keys.index(key)
+            edges = splits[key]
+            running = 0
+            for piece, rows in sorted(per_range.get(j, [])):
+                if running + rows >= rank:
+                    break
+                running += rows
+            narrowed = _Range(col, edges[piece], edges[piece + 1])
+            if (narrowed.low, narrowed.high) == (r.low, r.high) or rows == sizes[key]:
+                done.append(target)  # a hot value the sketch cannot split: few distinct values
+            else:
+                targets.append([col, slot, narrowed, rank - running])
+    done.extend(targets)
+
+    if done:
+        # Final job: rank each (small) range by value.
+        final_ranges: dict[tuple, int] = {}
+        for _, _, r, _ in done:
+            final_ranges.setdefault((r.col, r.low, r.high), len(final_ranges))
+        pieces = []
+        for (col, low, high), j in final_ranges.items():
+            r = _Range(col, low, high)
+            pieces.append(F.when(r.contains(F.col(values[col])), F.struct(F.lit(j).alias("r"), F.col(values[col]).alias("v"))))
+        ranked = (
+            wide.select(F.explode(F.array(*pieces)).alias("e"))
+            .where(F.col("e").isNotNull())
+            .select("e.r", "e.v")
+            .groupBy("r", "v")
+            .agg(F.count(F.lit(1)).alias("rows"))
+            .withColumn(
+                "through",
+                F.sum("rows").over(Window.partitionBy("r").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+            )
+        )
+        picks = ranked.agg(
+            *[
+                F.min(
+                    F.when(
+                        (F.col("r") == final_ranges[(t[2].col, t[2].low, t[2].high)]) & (F.col("through") >= t[3]),
+                        F.col("v"),
+                    )
+                ).alias(f"q{k}")
+                for k, t in enumerate(done)
+            ]
+        ).first()
+        for k, (col, slot, _, _) in enumerate(done):
+            value = picks[f"q{k}"]
+            result[names[col]][slot] = None if value is None else float(value)
     return result
 
 
+def _bucketizer_splits(edges: list[float]) -> list[float]:
+    """Bucketizer needs ±inf ends to keep every in-range value."""
+    return [-math.inf, *edges[1:-1], math.inf]
+
+
 def exact_quantiles(
     df: DataFrame,
     column: str,
     probabilities: Sequence[float],
     buckets: int | None = None,
+    final_rows: int = DEFAULT_FINAL_ROWS,
 ) -> list[float | None]:
     """Exact discrete quantiles of one column; ``None`` for each when empty."""
-    return exact_quantiles_multi(df, {column: list(probabilities)}, buckets)[column]
+    return exact_quantiles_multi(df, {column: list(probabilities)}, buckets, final_rows)[column]
 
 
 def approx_quantiles(

@@ -37,3 +37,14 @@ def test_approx_quantiles_within_error(spark):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
     low, mid = approx_quantiles(df, "x", [0.1, 0.5], 0.01)
     assert abs(low - 1000) <= 100 and abs(mid - 5000) <= 100
+
+
+def test_refinement_rounds_keep_results_exact(spark):
+    # final_rows far below n forces several narrowing rounds, with a hot value.
+    import random as _random
+
+    rng = _random.Random(7)
+    values = [rng.random() * 100 for _ in range(4000)] + [13.5] * 3000 + [rng.randint(0, 9) * 1.0 for _ in range(2000)]
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
+    probs = [0.001, 0.3, 0.5, 0.77, 0.999]
+    assert exact_quantiles(df, "x", probs, buckets=4, final_rows=50) == [brute(values, q) for q in probs]
