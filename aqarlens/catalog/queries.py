@@ -729,8 +729,12 @@ def q_quantiles_approx(spark, sf_dir):
     "round(avg(city_enc), 4) AS city_enc FROM encoded GROUP BY category, city",
 )
 def q_city_price_summary(spark, sf_dir):
-    """Clean → features → split → encoding (train ∧ buy) → per category and city."""
-    return encoded(spark, sf_dir).groupBy("category", "city").agg(
+    """Clean → features → split → encoding (train ∧ buy) → per category and city.
+
+    Only the city encoding is joined: an outer join cannot be pruned by the
+    optimizer, so unused encodings are not applied at all."""
+    rows = apply_target_encoding(split_featured(spark, sf_dir), encoding(spark, sf_dir), columns=("city",))
+    return rows.groupBy("category", "city").agg(
         F.count(F.lit(1)).alias("listings"),
         F.round(F.avg(TARGET), 4).alias("avg_price_per_sqm"),
         F.min(TARGET).alias("min_price_per_sqm"),

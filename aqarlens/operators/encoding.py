@@ -128,11 +128,16 @@ def _encode_column(
 
 
 def apply_target_encoding(
-    df: DataFrame, model: TargetEncodingModel, broadcast_rows: int = BROADCAST_ROWS
+    df: DataFrame,
+    model: TargetEncodingModel,
+    broadcast_rows: int = BROADCAST_ROWS,
+    columns: Iterable[str] | None = None,
 ) -> DataFrame:
-    """Add ``<column>_enc`` for each model column; unseen / null → global mean."""
+    """Add ``<column>_enc`` for each model column (or only ``columns``);
+    unseen / null → global mean."""
     out = df
-    for name in model.columns:
+    wanted = model.columns if columns is None else tuple(columns)
+    for name in wanted:
         lookup = model.mapping.where(F.col("column") == name)
         out = _encode_column(out, name, lookup, model.sizes.get(name, 0), model.global_mean, broadcast_rows)
     return out

@@ -64,3 +64,9 @@ def test_train_models_and_bundle_roundtrip(spark, sf_dir, tmp_path):
     assert missing_lat.count() > 0
     assert missing_lat.where(F.col("prediction").isNotNull()).count() == 0
     assert scored.where(F.col("lat").isNotNull() & F.col("prediction").isNull()).count() == 0
+
+
+def test_shipped_model_params_define_distributed_models():
+    assert {"linear_regression", "decision_tree", "random_forest", "gbt"} <= set(DEFAULT_MODEL_PARAMS)
+    assert DEFAULT_MODEL_PARAMS["tuning"]["method"] == "train_validation_split"
+    assert DEFAULT_MODEL_PARAMS["gbt"]["enabled"] is False
