@@ -58,24 +58,71 @@ class _Range:
         return condition
 
 
+def _rank_whole_columns(wide: DataFrame, names: list[str], values: list[str], requests) -> dict[str, list[float | None]]:
+    """One job: group each column by value, running count and column total
+    from windows (one window partition per column, ≤ ``final_rows`` rows),
+    pick the value at rank max(1, ceil(n·q))."""
+    pieces = [
+        F.when(F.col(v).isNotNull(), F.struct(F.lit(i).alias("r"), F.col(v).alias("v"))) for i, v in enumerate(values)
+    ]
+    by_column = Window.partitionBy("r")
+    ranked = (
+        wide.select(F.explode(F.array(*pieces)).alias("e"))
+        .where(F.col("e").isNotNull())
+        .select("e.r", "e.v")
+        .groupBy("r", "v")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .withColumn("through", F.sum("rows").over(by_column.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("n", F.sum("rows").over(by_column))
+    )
+    wanted = [(i, k, float(p)) for i, name in enumerate(names) for k, p in enumerate(requests[name])]
+    picks = ranked.agg(
+        *[
+            F.min(
+                F.when(
+                    (F.col("r") == i) & (F.col("through") >= F.greatest(F.lit(1.0), F.ceil(F.col("n") * F.lit(p)))),
+                    F.col("v"),
+                )
+            ).alias(f"q{j}")
+            for j, (i, _, p) in enumerate(wanted)
+        ]
+    ).first()
+    result: dict[str, list[float | None]] = {name: [None] * len(requests[name]) for name in names}
+    for j, (i, k, _) in enumerate(wanted):
+        value = picks[f"q{j}"]
+        result[names[i]][k] = None if value is None else float(value)
+    return result
+
+
 def exact_quantiles_multi(
     df: DataFrame,
     requests: Mapping[str, Sequence[float]],
     buckets: int | None = None,
     final_rows: int = DEFAULT_FINAL_ROWS,
+    row_hint: int | None = None,
 ) -> dict[str, list[float | None]]:
     """Exact discrete quantiles for several columns.
 
     ``requests`` maps column → probabilities; each column uses its own
     non-null, non-NaN values.  Returns column → values (``None`` when the
-    column has no value).  Two jobs when every column fits ``final_rows``;
-    two more per refinement round otherwise.
+    column has no value).  ``row_hint`` is an upper bound on the rows, if
+    known: at most ``final_rows`` means one job in all.  Otherwise two jobs
+    when every column fits ``final_rows``, two more per refinement round.
     """
     names = list(requests)
     for name in names:
         for p in requests[name]:
             if not 0.0 <= float(p) <= 1.0:
                 raise ValueError(f"probability {p} outside [0, 1]")
+    if row_hint is not None and row_hint <= final_rows:
+        cols = [f"v{i}" for i in range(len(names))]
+        small = df.select(
+            *[
+                F.when(F.isnan(F.col(name).cast("double")), None).otherwise(F.col(name).cast("double")).alias(v)
+                for name, v in zip(names, cols)
+            ]
+        )
+        return _rank_whole_columns(small, names, cols, requests)
     bucket_total = max(2, int(buckets or DEFAULT_BUCKETS))
     fractions = [i / bucket_total for i in range(1, bucket_total)]
     accuracy = max(10_000, 10 * bucket_total)
@@ -246,9 +293,10 @@ def exact_quantiles(
     probabilities: Sequence[float],
     buckets: int | None = None,
     final_rows: int = DEFAULT_FINAL_ROWS,
+    row_hint: int | None = None,
 ) -> list[float | None]:
     """Exact discrete quantiles of one column; ``None`` for each when empty."""
-    return exact_quantiles_multi(df, {column: list(probabilities)}, buckets, final_rows)[column]
+    return exact_quantiles_multi(df, {column: list(probabilities)}, buckets, final_rows, row_hint)[column]
 
 
 def approx_quantiles(

@@ -33,7 +33,7 @@ from aqarlens.operators.cleaning import (
     parse_listing_columns,
     standardize_payment_method,
 )
-from aqarlens.session import materialize
+from aqarlens.session import materialize, resolve_mode
 
 @dataclass
 class CleaningReport:
@@ -103,10 +103,15 @@ def clean_property_data(
     observation = Observation("cleaning_input")
     observed = dropped.observe(observation, F.count(F.lit(1)).alias("rows"))
     deduped = dedup_by_key(observed, key, dedup_order, keep_null_keys=keep_null_keys)
-    staged = materialize(parse_listing_columns(deduped), materialize_mode)
+    mode = resolve_mode(raw.sparkSession, materialize_mode)
+    staged = materialize(parse_listing_columns(deduped), mode)
+    # A written stage has run the dedup, so the observed input count is
+    # known — an upper bound on the rows the quantiles see.
+    hint = int(observation.get["rows"]) if mode in ("table", "checkpoint") else None
 
     bed, bath, limits = fit_cleaning_values(
-        staged, critical_condition_for(staged), price_quantiles, area_bounds, price_per_sqm_bounds, quantile_method
+        staged, critical_condition_for(staged), price_quantiles, area_bounds, price_per_sqm_bounds, quantile_method,
+        row_hint=hint,
     )
     initial = int(observation.get["rows"])
     prepared = add_target(standardize_payment_method(fill_defaults(staged, bed, bath)))

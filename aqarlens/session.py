@@ -53,6 +53,13 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return spark.sparkContext.getCheckpointDir()
 
 
+def resolve_mode(spark: SparkSession, mode: str = "auto") -> str:
+    """The concrete materialize mode ``auto`` stands for in this session."""
+    if mode == "auto":
+        return "table" if checkpoint_dir(spark) else "persist"
+    return mode
+
+
 def materialize(df: DataFrame, mode: str = "auto") -> DataFrame:
     """Cut or cache lineage before several actions reuse one plan.
 

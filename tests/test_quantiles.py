@@ -48,3 +48,16 @@ def test_refinement_rounds_keep_results_exact(spark):
     df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
     probs = [0.001, 0.3, 0.5, 0.77, 0.999]
     assert exact_quantiles(df, "x", probs, buckets=4, final_rows=50) == [brute(values, q) for q in probs]
+
+
+def test_single_job_path_matches_round_path(spark):
+    import random as _random
+
+    rng = _random.Random(3)
+    values = [rng.random() for _ in range(3000)] + [0.25] * 1000 + [None] * 10
+    df = spark.createDataFrame([(v, None if v is None else v * 2) for v in values], "x double, y double")
+    requests = {"x": [0.0, 0.01, 0.5, 0.99, 1.0], "y": [0.3]}
+    assert exact_quantiles_multi(df, requests, row_hint=len(values)) == exact_quantiles_multi(df, requests)
+    assert exact_quantiles_multi(df, requests, row_hint=len(values))["x"] == [brute(values, q) for q in requests["x"]]
+    empty = spark.createDataFrame([], "x double")
+    assert exact_quantiles_multi(empty, {"x": [0.5]}, row_hint=0) == {"x": [None]}
