@@ -70,3 +70,14 @@ def test_shipped_model_params_define_distributed_models():
     assert {"linear_regression", "decision_tree", "random_forest", "gbt"} <= set(DEFAULT_MODEL_PARAMS)
     assert DEFAULT_MODEL_PARAMS["tuning"]["method"] == "train_validation_split"
     assert DEFAULT_MODEL_PARAMS["gbt"]["enabled"] is False
+
+
+def test_model_params_json_roundtrip(tmp_path):
+    import json
+
+    from aqarlens.plans.config import load_model_params
+
+    path = tmp_path / "params.json"
+    path.write_text(json.dumps(DEFAULT_MODEL_PARAMS))
+    assert load_model_params(str(path)) == DEFAULT_MODEL_PARAMS
+    assert load_model_params(str(tmp_path / "missing.json")) == {}
