@@ -86,7 +86,7 @@ def reset() -> None:
 
 
 def _memo(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], object]):
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    key = (spark.conf.get("spark.app.id", None) or id(spark), os.path.abspath(sf_dir), name)
     if key not in _MEMO:
         _MEMO[key] = build()
     return _MEMO[key]
@@ -98,7 +98,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     shared = checkpoint_dir(spark)
     if shared:
         return f"{shared.rstrip('/')}/aqarlens-scratch/{name}-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
+    if str(spark.conf.get("spark.master", "")).startswith("local"):
         return os.path.join(tempfile.mkdtemp(prefix="aqarlens-"), name)
     raise RuntimeError("set spark.checkpoint.dir to a shared folder for round-trip writes")
 

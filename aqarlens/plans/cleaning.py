@@ -1,13 +1,13 @@
 """The whole cleaning job: drop → dedup → parse → impute → critical filter →
 payment rules → target → outlier trim, with its funnel report.
 
-Jobs at scale: the dedup shuffle runs once (the input row count is
-observed on the way) and its
-result is materialized (a Parquet table in ``spark.checkpoint.dir`` when
-the cluster names one, else a MEMORY_AND_DISK persist); room medians and
-outlier limits come from one exact-quantile pass (3 small jobs) and all
-report counters from one aggregate.  The cleaned frame itself stays a lazy
-filter over the materialized rows.
+Jobs at scale: an exact, column-pruned input count; the dedup shuffle runs
+once and its result is materialized (a Parquet table in
+``spark.checkpoint.dir`` when the cluster names one, else a MEMORY_AND_DISK
+persist); room medians and outlier limits come from one exact-quantile pass
+(one job when the input fits ``final_rows``, bounded refinement rounds
+otherwise) and all report counters from one aggregate.  The cleaned frame
+itself stays a lazy filter over the materialized rows.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
@@ -98,22 +98,18 @@ def clean_property_data(
 ) -> tuple[DataFrame, CleaningReport, CleaningModel]:
     """Clean raw listings → (cleaned rows, funnel report, fitted values)."""
     dropped, dropped_count = drop_irrelevant_columns(raw, drop_columns)
-    # The input row count rides along with the first job that runs the
-    # dedup (an Observation), instead of costing its own pass.
-    observation = Observation("cleaning_input")
-    observed = dropped.observe(observation, F.count(F.lit(1)).alias("rows"))
-    deduped = dedup_by_key(observed, key, dedup_order, keep_null_keys=keep_null_keys)
+    # An exact, column-pruned count: an Observation on the input would ride
+    # along for free, but accumulators in a map stage are re-applied when the
+    # stage re-runs after an executor loss, so the funnel could double count.
+    initial = dropped.count()
+    deduped = dedup_by_key(dropped, key, dedup_order, keep_null_keys=keep_null_keys)
     mode = resolve_mode(raw.sparkSession, materialize_mode)
     staged = materialize(parse_listing_columns(deduped), mode)
-    # A written stage has run the dedup, so the observed input count is
-    # known — an upper bound on the rows the quantiles see.
-    hint = int(observation.get["rows"]) if mode in ("table", "checkpoint") else None
 
     bed, bath, limits = fit_cleaning_values(
         staged, critical_condition_for(staged), price_quantiles, area_bounds, price_per_sqm_bounds, quantile_method,
-        row_hint=hint,
+        row_hint=initial,
     )
-    initial = int(observation.get["rows"])
     prepared = add_target(standardize_payment_method(fill_defaults(staged, bed, bath)))
     survives = critical_condition_for(prepared)
     keep = survives & limits.condition()

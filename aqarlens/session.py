@@ -50,7 +50,10 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    return spark.sparkContext.getCheckpointDir()
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # no SparkContext on this client
+        return None
 
 
 def resolve_mode(spark: SparkSession, mode: str = "auto") -> str:

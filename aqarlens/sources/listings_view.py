@@ -92,10 +92,12 @@ def spread(df: DataFrame) -> DataFrame:
     task would otherwise process alone).  Inputs already split into at
     least ``defaultParallelism`` partitions are left as they are, so this
     adds no shuffle at scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. a Spark Connect session)
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def listings_view(spark: SparkSession, sf_dir: str) -> DataFrame:
