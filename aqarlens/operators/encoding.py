@@ -21,6 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aqarlens.operators.joins import broadcast_if_small
 from aqarlens.session import materialize
 
 # Defaults of the original job.
@@ -119,9 +120,9 @@ def _encode_column(
     enc = f"{name}_enc"
     if size == 0:
         return df.withColumn(enc, F.lit(fallback))
-    side = lookup.select(F.col("value").alias("__key"), F.col("encoded").alias("__enc"))
-    if size <= broadcast_rows:
-        side = F.broadcast(side)
+    side = broadcast_if_small(
+        lookup.select(F.col("value").alias("__key"), F.col("encoded").alias("__enc")), broadcast_rows, known_rows=size
+    )
     keyed = df.withColumn("__key", F.col(name).cast("string"))
     joined = keyed.join(side, on="__key", how="left")
     return joined.withColumn(enc, F.coalesce(F.col("__enc"), F.lit(fallback))).drop("__key", "__enc")

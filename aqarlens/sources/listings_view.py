@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aqarlens.operators.joins import broadcast_if_small
+
 # The view's column derivations (shared with the oracle SQL).
 VIEW_COLUMNS: tuple[tuple[str, str], ...] = (
     ("listing_id", "l_orderkey * 10 + l_linenumber"),
@@ -73,6 +75,8 @@ VIEW_COLUMNS: tuple[tuple[str, str], ...] = (
     ("tie_ship", "l_shipdate"),
 )
 
+GEOGRAPHY_ROWS = 10_000
+
 # Columns that give a total order within one listing_id (dedup tie-break).
 TIE_COLUMNS = ("tie_partkey", "tie_suppkey", "tie_price", "tie_ship")
 
@@ -103,20 +107,21 @@ def spread(df: DataFrame) -> DataFrame:
 def listings_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw listings (strings as scraped) derived from the star schema.
 
-    ``nation`` and ``region`` have a fixed size (25 and 5 rows) and are
-    broadcast; ``part`` and ``supplier`` grow with the scale factor, so
-    their join strategy is left to the planner's size check and AQE.
+    ``nation`` and ``region`` have a fixed size (25 and 5 rows); they are
+    broadcast after a row count confirms it.  ``part`` and ``supplier`` grow
+    with the scale factor, so their join strategy is left to the planner's
+    size estimate and AQE.
     """
     lineitem = spread(read_table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS))
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand", "p_size")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geography = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    geography = nation.join(broadcast_if_small(region, GEOGRAPHY_ROWS), nation.n_regionkey == region.r_regionkey)
     joined = (
         lineitem.join(part, lineitem.l_partkey == part.p_partkey)
         .join(supplier, lineitem.l_suppkey == supplier.s_suppkey)
-        .join(F.broadcast(geography), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(broadcast_if_small(geography, GEOGRAPHY_ROWS), F.col("s_nationkey") == F.col("n_nationkey"))
     )
     return joined.selectExpr(*[f"{expression} AS {name}" for name, expression in VIEW_COLUMNS])
 
