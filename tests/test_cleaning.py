@@ -71,3 +71,14 @@ def test_dedup_whole_row_order_and_null_keys(spark):
     kept = dedup_by_key(df, keep_null_keys=True)
     assert kept.where(F.col("listing_id").isNull()).count() == 2
     assert kept.count() == 4
+
+
+def test_dedup_hot_key_is_limited_map_side(spark):
+    # One key holds a third of the rows; the plan must cut it per map task.
+    rows = [(0 if i % 3 == 0 else i, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "listing_id long, v long").repartition(6)
+    out = dedup_by_key(df, "listing_id", ["v"])
+    assert out.count() == 2001
+    assert out.where("listing_id = 0").first()["v"] == 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
