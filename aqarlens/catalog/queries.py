@@ -107,7 +107,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return listings_view(spark, sf_dir)
+    """The raw listings, written once per session as a stage table — the
+    stored listing file of the original job, derived from the given tables."""
+    return _memo(spark, sf_dir, "raw", lambda: materialize(listings_view(spark, sf_dir)))
 
 
 def cleaning(spark: SparkSession, sf_dir: str):
