@@ -74,23 +74,29 @@ def global_mean(df: DataFrame, target: str) -> float:
     return float(value)
 
 
-def encoding_stats(
-    df: DataFrame, columns: Iterable[str], target: str, smoothing: float, mean: float
-) -> DataFrame:
-    """Lazy mapping ``(column, value, mean, count, encoded)``; null values excluded."""
+def category_stats(df: DataFrame, columns: Iterable[str], target: str) -> DataFrame:
+    """``(column, value, total, count)`` of the target per category value, in
+    one aggregate over the unpivoted columns.  Null values are kept as a
+    group, so each column's groups cover every row: the global mean is
+    Σtotal / Σcount over any one column."""
     columns = list(columns)
     stacked = df.select(
         F.col(target).cast("double").alias("__target"),
         *[F.col(name).cast("string").alias(name) for name in columns],
     ).unpivot(["__target"], columns, "column", "value")
-    grouped = (
-        stacked.where(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.avg("__target").alias("mean"), F.count("__target").alias("count"))
+    return stacked.groupBy("column", "value").agg(
+        F.sum("__target").alias("total"), F.count("__target").alias("count")
     )
-    weighted = F.col("count") * F.coalesce(F.col("mean"), F.lit(0.0)) + F.lit(float(smoothing) * mean)
+
+
+def mapping_from_stats(stats: DataFrame, smoothing: float, mean: float) -> DataFrame:
+    """Lazy mapping ``(column, value, mean, count, encoded)``; null values dropped."""
+    value_mean = F.try_divide(F.col("total"), F.col("count"))
+    weighted = F.col("count") * F.coalesce(value_mean, F.lit(0.0)) + F.lit(float(smoothing) * mean)
     encoded = F.coalesce(F.try_divide(weighted, F.col("count") + F.lit(float(smoothing))), F.lit(mean))
-    return grouped.select("column", "value", "mean", "count", encoded.alias("encoded"))
+    return stats.where(F.col("value").isNotNull()).select(
+        "column", "value", value_mean.alias("mean"), "count", encoded.alias("encoded")
+    )
 
 
 def fit_target_encoding(
@@ -100,13 +106,28 @@ def fit_target_encoding(
     smoothing: float = DEFAULT_SMOOTHING,
     materialize_mode: str = "auto",
 ) -> TargetEncodingModel:
+    """One scan of ``df`` (the unpivoted aggregate, materialized), then one
+    small aggregate over it for the global mean and the mapping sizes."""
     columns = tuple(columns)
-    mean = global_mean(df, target)
-    mapping = materialize(encoding_stats(df, columns, target, smoothing, mean), materialize_mode)
-    sizes = {name: 0 for name in columns}
-    for row in mapping.groupBy("column").count().collect():
-        sizes[row["column"]] = int(row["count"])
-    return TargetEncodingModel(mean, columns, float(smoothing), mapping, sizes)
+    if not columns:
+        raise ValueError("no categorical column to encode")
+    stats = materialize(category_stats(df, columns, target), materialize_mode)
+    summary = {
+        row["column"]: row
+        for row in stats.groupBy("column")
+        .agg(
+            F.count_if(F.col("value").isNotNull()).alias("size"),
+            F.sum("total").alias("total"),
+            F.sum("count").alias("n"),
+        )
+        .collect()
+    }
+    first = summary.get(columns[0])
+    if first is None or not first["n"]:
+        raise ValueError(f"Cannot target encode because {target!r} has no non-null values.")
+    mean = float(first["total"]) / float(first["n"])
+    sizes = {name: int(summary[name]["size"]) if name in summary else 0 for name in columns}
+    return TargetEncodingModel(mean, columns, float(smoothing), mapping_from_stats(stats, smoothing, mean), sizes)
 
 
 def _encode_column(
