@@ -234,7 +234,8 @@ def q_parse_amounts(spark, sf_dir):
     "impute_median",
     sql.pipeline("medians")
     + ", modified AS (SELECT count_if(bedrooms IS NULL) + count_if(bathrooms IS NULL) + count_if(furnished IS NULL) AS m FROM parsed)"
-    + "\nSELECT bed_med AS bedroom_median, bath_med AS bathroom_median, CAST(m AS BIGINT) AS rows_modified FROM medians, modified",
+    + "\nSELECT bed_med AS bedroom_median, bath_med AS bathroom_median, "
+    "CAST((SELECT m FROM modified) AS BIGINT) AS rows_modified FROM medians",
 )
 def q_impute_median(spark, sf_dir):
     deduped = dedup_by_key(drop_irrelevant_columns(raw(spark, sf_dir))[0], "listing_id", TIE_COLUMNS)
@@ -247,10 +248,11 @@ def q_impute_median(spark, sf_dir):
 @register(
     "fill_defaults",
     sql.pipeline("medians")
-    + "\nSELECT p.listing_id, coalesce(p.bedrooms, m.bed_med) AS bedrooms, coalesce(p.bathrooms, m.bath_med) AS bathrooms, "
+    + "\nSELECT p.listing_id, coalesce(p.bedrooms, (SELECT bed_med FROM medians)) AS bedrooms, "
+    "coalesce(p.bathrooms, (SELECT bath_med FROM medians)) AS bathrooms, "
     "coalesce(p.images_count, 0.0E0) AS images_count, coalesce(p.furnished, 'NO') AS furnished, "
     "coalesce(p.completion_status, 'unknown') AS completion_status, coalesce(p.payment_method, 'unknown') AS payment_method "
-    "FROM parsed p CROSS JOIN medians m",
+    "FROM parsed p",
 )
 def q_fill_defaults(spark, sf_dir):
     deduped = dedup_by_key(drop_irrelevant_columns(raw(spark, sf_dir))[0], "listing_id", TIE_COLUMNS)
@@ -309,7 +311,8 @@ def q_critical_null_filter(spark, sf_dir):
 @register(
     "outlier_trim",
     sql.pipeline("limits")
-    + ", kept AS (SELECT s.price_per_sqm FROM survivors s, limits l WHERE s.price_per_sqm >= l.lo AND s.price_per_sqm <= l.hi "
+    + ", kept AS (SELECT s.price_per_sqm FROM survivors s WHERE s.price_per_sqm >= (SELECT lo FROM limits) "
+    "AND s.price_per_sqm <= (SELECT hi FROM limits) "
     "AND s.area_value >= 20.0E0 AND s.area_value <= 1500.0E0)"
     "\nSELECT (SELECT lo FROM limits) AS low_limit, (SELECT hi FROM limits) AS high_limit, "
     "(SELECT count(*) FROM survivors) - (SELECT count(*) FROM kept) AS removed, "
@@ -467,10 +470,10 @@ _INSAMPLE_SQL = (
         f"FROM features WHERE {n} IS NOT NULL GROUP BY 1, 2"
         for n in ENC_COLUMNS
     )
-    + "), enc_map AS (SELECT column_name, value, coalesce((cnt * coalesce(mean, 0) + 10.0E0 * g) / (cnt + 10.0E0), g) AS encoded "
-    "FROM enc_stats CROSS JOIN gm), encoded AS (SELECT f.*, "
-    + ", ".join(f"coalesce(e_{n}.encoded, gm.g) AS {n}_enc" for n in ENC_COLUMNS)
-    + " FROM features f CROSS JOIN gm "
+    + "), enc_map AS (SELECT column_name, value, coalesce((cnt * coalesce(mean, 0) + 10.0E0 * (SELECT g FROM gm)) "
+    "/ (cnt + 10.0E0), (SELECT g FROM gm)) AS encoded FROM enc_stats), encoded AS (SELECT f.*, "
+    + ", ".join(f"coalesce(e_{n}.encoded, (SELECT g FROM gm)) AS {n}_enc" for n in ENC_COLUMNS)
+    + " FROM features f "
     + " ".join(
         f"LEFT JOIN enc_map e_{n} ON e_{n}.column_name = '{n}' AND e_{n}.value = CAST(f.{n} AS VARCHAR)" for n in ENC_COLUMNS
     )
@@ -659,8 +662,9 @@ def _price_area_trend(spark, sf_dir) -> DataFrame:
     + _TREND_SEGMENTS_SQL
     + ", fit AS (SELECT segment, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, min(x) AS min_x, "
     "max(x) AS max_x FROM seg WHERE segment IS NOT NULL GROUP BY segment HAVING regr_slope(y, x) IS NOT NULL)"
+    + ", spans AS (SELECT *, unnest(range(0, 100)) AS i FROM fit)"
     "\nSELECT segment, CAST(i AS INTEGER) AS point, round(min_x + (max_x - min_x) * i / 99.0E0, 6) AS x, "
-    "round(slope * (min_x + (max_x - min_x) * i / 99.0E0) + intercept, 1) AS y FROM fit, range(0, 100) t(i)",
+    "round(slope * (min_x + (max_x - min_x) * i / 99.0E0) + intercept, 1) AS y FROM spans",
 )
 def q_price_area_trend_line(spark, sf_dir):
     """The 100-point least-squares line drawn over each segment's scatter."""
@@ -764,8 +768,8 @@ _BASELINE_SQL = (
     sql.pipeline("model_table")
     + f", base AS (SELECT {BASELINE_KEY}, avg(label) AS gmean FROM model_table WHERE split = 'train' GROUP BY {BASELINE_KEY}), "
     "overall AS (SELECT avg(label) AS m FROM model_table WHERE split = 'train'), "
-    "scored AS (SELECT t.*, coalesce(b.gmean, o.m) AS prediction FROM model_table t "
-    f"LEFT JOIN base b ON t.{BASELINE_KEY} = b.{BASELINE_KEY} CROSS JOIN overall o)"
+    "scored AS (SELECT t.*, coalesce(b.gmean, (SELECT m FROM overall)) AS prediction FROM model_table t "
+    f"LEFT JOIN base b ON t.{BASELINE_KEY} = b.{BASELINE_KEY})"
 )
 _METRICS_SQL = (
     "count(*) AS n, round(1 - sum((label - prediction) * (label - prediction)) / (var_pop(label) * count(*)), 6) AS r2, "
