@@ -10,7 +10,8 @@ are already materialized when a later stage starts):
   profile    missing values, feature summary, correlations, histograms,
              price–area trend, category shares, top property types
   train      linear regression, decision tree, random forest (shipped
-             parameters) fitted on train, evaluated on all splits
+             parameters) fitted on train, evaluated on all splits; each
+             model's seconds are reported in "model_fit_and_evaluate"
   score      every raw listing scored with the saved bundle values
 
 Prints one JSON line.
@@ -65,8 +66,12 @@ def main() -> None:
             q.QUERIES[name](spark, sf_dir).collect()
             profile_times[name] = round(time.perf_counter() - start, 3)
 
+    model_times: dict[str, float] = {}
+
     def train():
-        results, best = q.train_models(q.model_table(spark, sf_dir), q.DEFAULT_MODEL_PARAMS, materialize_mode="none")
+        results, best = q.train_models(
+            q.model_table(spark, sf_dir), q.DEFAULT_MODEL_PARAMS, materialize_mode="none", timings=model_times
+        )
         results.collect()
         trained["best"] = best
 
@@ -80,8 +85,10 @@ def main() -> None:
         scored = q.predict_price_per_sqm(bundle, q.raw(spark, sf_dir), keep=("listing_id",))
         scored.agg(F.count("prediction")).collect()
 
+    train_rows: dict[str, int] = {}
     for name, fn in (("clean", clean), ("encode", encode), ("profile", profile), ("train", train), ("score", score)):
         timed(name, fn)
+    train_rows["train"] = q.model_table(spark, sf_dir).where(F.col("split") == "train").count()
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(
         json.dumps(
@@ -92,6 +99,8 @@ def main() -> None:
                 "queries": timings,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "profile_queries": profile_times,
+                "model_fit_and_evaluate": model_times,
+                "train_rows": train_rows.get("train"),
             }
         )
     )
