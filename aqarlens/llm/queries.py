@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from aqarlens.llm.bpe import op5_bpe
 from aqarlens.llm.digest_runs import OP4_SQL, op4_exact_dedup
+from aqarlens.llm.jaccard import op7_ngram_jaccard
 from aqarlens.llm.warc import OP1_SQL, op1_warc
 
 QUERIES = {
     "op1_warc": op1_warc,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_bpe": op5_bpe,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
 }
 
 ORACLES = {
