@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from aqarlens.llm.bpe import op5_bpe
 from aqarlens.llm.digest_runs import OP4_SQL, op4_exact_dedup
+from aqarlens.llm.hyperplanes import op6_embedding_near_dedup
 from aqarlens.llm.jaccard import op7_ngram_jaccard
 from aqarlens.llm.warc import OP1_SQL, op1_warc
 
@@ -11,6 +12,7 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_bpe": op5_bpe,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_ngram_jaccard": op7_ngram_jaccard,
 }
 
