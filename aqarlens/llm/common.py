@@ -80,6 +80,24 @@ def in_chunks(docs: DataFrame, chunks: int) -> DataFrame:
     return keyed.repartition(chunks, "chunk")
 
 
+def distinct_texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(keys, texts): (id, digest) of every row, and one row (id, digest, copies, text) per different text.
+
+    Null text counts as empty.  The row with the smallest id stands for its
+    text; rows that repeat it come with it.  Texts move in one shuffle hash
+    join on (id, digest), whose build side is narrow; copies of one text are
+    spread by their ids.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    rows = rows.withColumn("digest", F.unhex(F.sha2("text", 256)))
+    keys = stage(rows.select("id", "digest"), "text-keys")
+    first = keys.groupBy("digest").agg(F.min("id").alias("__id"), F.count("*").alias("copies"))
+    first = first.withColumnRenamed("digest", "__digest")
+    on = rows["id"].eqNullSafe(first["__id"]) & (rows["digest"] == first["__digest"])
+    texts = rows.join(first.hint("shuffle_hash"), on).select("id", "digest", "copies", "text")
+    return keys, texts
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of an undirected graph: (id, component), component the smallest id.
 

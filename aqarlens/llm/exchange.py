@@ -17,6 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 PACKED = "shard int, chunk int, keys binary, data binary"
+EMPTY = pa.table(
+    {
+        "shard": pa.array([], pa.int32()),
+        "chunk": pa.array([], pa.int32()),
+        "keys": pa.array([], pa.binary()),
+        "data": pa.array([], pa.binary()),
+    }
+)
 
 
 def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:

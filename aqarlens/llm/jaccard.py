@@ -30,26 +30,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aqarlens.llm import exchange, kernels
-from aqarlens.llm.common import chunk_count, components, in_chunks, stage, text_bytes
+from aqarlens.llm.common import chunk_count, components, distinct_texts, in_chunks, stage, text_bytes
 
 SHARED = "digest binary, id long, n long, unique_n long, shared array<long>, prefix array<long>"
 
 
-def distinct_texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(keys, texts): (id, digest) of every row, and (id, digest, text) of one row per different text.
-
-    The row with the smallest id stands for its text.  Texts move in one
-    shuffle hash join on (id, digest), whose build side is narrow; copies of
-    one text are spread by their ids.
-    """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    rows = rows.withColumn("digest", F.unhex(F.sha2("text", 256)))
-    keys = stage(rows.select("id", "digest"), "text-keys")
-    first = keys.groupBy("digest").agg(F.min("id").alias("__id")).withColumnRenamed("digest", "__digest")
-    on = rows["id"].eqNullSafe(first["__id"]) & (rows["digest"] == first["__digest"])
-    return keys, rows.join(first.hint("shuffle_hash"), on, "left_semi").select("id", "digest", "text")
-
-
 def _sets(table: pa.Table, size: int):
     """(first row, end row, shingle, row number) of runs of rows; repeated rows give empty sets."""
     seen, texts = set(), []
@@ -68,7 +53,7 @@ def _sets(table: pa.Table, size: int):
 
 def shared_shingles(texts: DataFrame, chunks: int, percent: int = 80, size: int = 5) -> DataFrame:
     """Per different text: set size, shared shingles by rising frequency, and those in the prefix."""
-    dealt = in_chunks(texts, chunks)
+    dealt = in_chunks(texts.select("id", "digest", "text"), chunks)
 
     def send(table: pa.Table) -> pa.Table:
         parts = [value for _, _, value, _ in _sets(table, size)]

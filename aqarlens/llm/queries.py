@@ -6,10 +6,12 @@ from aqarlens.llm.bpe import op5_bpe
 from aqarlens.llm.digest_runs import OP4_SQL, op4_exact_dedup
 from aqarlens.llm.hyperplanes import op6_embedding_near_dedup
 from aqarlens.llm.jaccard import op7_ngram_jaccard
+from aqarlens.llm.repeats import op2_suffix_dedup
 from aqarlens.llm.warc import OP1_SQL, op1_warc
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_bpe": op5_bpe,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
