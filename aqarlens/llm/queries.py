@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from aqarlens.llm.bpe import op5_bpe
+from aqarlens.llm.brown import op9_lm_scoring
 from aqarlens.llm.digest_runs import OP4_SQL, op4_exact_dedup
 from aqarlens.llm.hyperplanes import op6_embedding_near_dedup
 from aqarlens.llm.jaccard import op7_ngram_jaccard
+from aqarlens.llm.mixing import op8_mix_sources
 from aqarlens.llm.repeats import op2_suffix_dedup
 from aqarlens.llm.warc import OP1_SQL, op1_warc
 
@@ -16,6 +18,8 @@ QUERIES = {
     "op5_bpe": op5_bpe,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_ngram_jaccard": op7_ngram_jaccard,
+    "op8_mix_sources": op8_mix_sources,
+    "op9_lm_scoring": op9_lm_scoring,
 }
 
 ORACLES = {
