@@ -9,6 +9,7 @@ from aqarlens.llm.hyperplanes import op6_embedding_near_dedup
 from aqarlens.llm.jaccard import op7_ngram_jaccard
 from aqarlens.llm.mixing import op8_mix_sources
 from aqarlens.llm.repeats import op2_suffix_dedup
+from aqarlens.llm.toxicity import op10_toxicity
 from aqarlens.llm.warc import OP1_SQL, op1_warc
 
 QUERIES = {
@@ -20,6 +21,7 @@ QUERIES = {
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_mix_sources": op8_mix_sources,
     "op9_lm_scoring": op9_lm_scoring,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES = {
