@@ -5,6 +5,7 @@ from __future__ import annotations
 from aqarlens.llm.bpe import op5_bpe
 from aqarlens.llm.brown import op9_lm_scoring
 from aqarlens.llm.digest_runs import OP4_SQL, op4_exact_dedup
+from aqarlens.llm.fuzzy_lines import op3_fuzzy_lines
 from aqarlens.llm.hyperplanes import op6_embedding_near_dedup
 from aqarlens.llm.jaccard import op7_ngram_jaccard
 from aqarlens.llm.mixing import op8_mix_sources
@@ -15,6 +16,7 @@ from aqarlens.llm.warc import OP1_SQL, op1_warc
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_fuzzy_lines": op3_fuzzy_lines,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_bpe": op5_bpe,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
