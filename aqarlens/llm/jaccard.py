@@ -212,5 +212,12 @@ def near_duplicates(
     )
 
 
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of its component, with all their columns; rows without id stay."""
+    found = near_duplicates(docs, id_col, text_col, percent)
+    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__id")).distinct()
+    return docs.join(gone, docs[id_col] == gone["__id"], "left_anti")
+
+
 def op7_ngram_jaccard(spark, sf_dir):
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
