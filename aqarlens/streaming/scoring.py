@@ -3,20 +3,18 @@
 Scoring is row-local (parsing, saved medians, features) plus stream-static
 left joins against the small encoding mapping, so the batch scorer applies
 unchanged to a streaming DataFrame and needs no state store.  The query's
-checkpoint lives under the cluster's ``spark.checkpoint.dir`` so a restarted
-driver resumes from the last committed batch.
+checkpoint belongs to its output: the file sink keeps a log of committed
+batches there, so a restart must find the same checkpoint again.  Its place is
+therefore derived from the output path.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from aqarlens.plans.scoring import ModelBundle, predict_price_per_sqm
-from aqarlens.session import checkpoint_dir
 
 
 def read_listing_stream(
@@ -39,13 +37,13 @@ def score_listing_stream(
     checkpoint_location: str | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Append scored rows to Parquet at ``output_path``; returns the running query."""
-    spark = stream.sparkSession
+    """Append scored rows to Parquet at ``output_path``; returns the running query.
+
+    The checkpoint is ``<output_path>-checkpoint`` unless given; a later call
+    with the same output goes on after the last committed batch.
+    """
     if checkpoint_location is None:
-        shared = checkpoint_dir(spark)
-        if not shared:
-            raise RuntimeError("set spark.checkpoint.dir (or pass checkpoint_location) for a streaming query")
-        checkpoint_location = f"{shared.rstrip('/')}/aqarlens-streams/{uuid.uuid4().hex}"
+        checkpoint_location = f"{output_path.rstrip('/')}-checkpoint"
     scored = predict_price_per_sqm(bundle, stream, keep=keep)
     writer = (
         scored.writeStream.format("parquet")
