@@ -4,12 +4,17 @@ Pass an explicit schema where it is known; inference costs a full extra
 pass over CSV and guesses types from text.  Writes are parallel (one file
 per partition) unless ``single_file`` is asked for, which funnels the last
 stage through one task and is only meant for small reports.
+
+CSV text is quoted, with quotes doubled, on both sides.  A line break inside a
+value can only be read back with ``multi_line``, which makes files
+unsplittable; without it the writer refuses such values.  Prefer Parquet.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 
 def read_listings(
@@ -18,6 +23,7 @@ def read_listings(
     fmt: str = "csv",
     schema: StructType | str | None = None,
     infer_schema: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read raw listings (also scoring input): headered CSV or Parquet."""
     if fmt == "parquet":
@@ -25,7 +31,7 @@ def read_listings(
         return reader.parquet(path)
     if fmt != "csv":
         raise ValueError(f"unsupported format {fmt!r}")
-    reader = spark.read.option("header", True)
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     if schema is not None:
         reader = reader.schema(schema)
     else:
@@ -39,8 +45,11 @@ def write_table(
     fmt: str = "csv",
     single_file: bool = False,
     partition_by: list[str] | None = None,
+    multi_line: bool = False,
 ) -> None:
     """Overwrite ``path`` with ``df`` (CSV with header, or Parquet)."""
+    if fmt == "csv" and not multi_line:
+        df = _without_line_breaks(df)
     out = df.coalesce(1) if single_file else df
     writer = out.write.mode("overwrite")
     if partition_by:
@@ -48,10 +57,21 @@ def write_table(
     if fmt == "csv":
         # Keep text exactly as it is (the writer trims by default).  CSV
         # still reads an empty string back as null.
-        writer.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+        writer.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
             "ignoreTrailingWhiteSpace", False
         ).csv(path)
     elif fmt == "parquet":
         writer.parquet(path)
     else:
         raise ValueError(f"unsupported format {fmt!r}")
+
+
+def _without_line_breaks(df: DataFrame) -> DataFrame:
+    """The same rows; a text value with a line break fails the write instead of making two records."""
+    checked = {}
+    for field in df.schema.fields:
+        if isinstance(field.dataType, StringType):
+            message = F.lit(f"column {field.name} holds a line break; write CSV with multi_line or use Parquet")
+            value = F.col(f"`{field.name}`")
+            checked[field.name] = F.when(value.rlike("[\r\n]"), F.raise_error(message)).otherwise(value)
+    return df.withColumns(checked) if checked else df
