@@ -21,6 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aqarlens.operators.features import add_listing_features
 from aqarlens.operators.joins import broadcast_if_small
 from aqarlens.session import materialize
 
@@ -28,6 +29,7 @@ from aqarlens.session import materialize
 DEFAULT_CATEGORICAL_COLUMNS = ("city", "town", "district", "property_type")
 DEFAULT_TARGET = "price_per_sqm"
 DEFAULT_SMOOTHING = 10.0
+NULL_KEYS = 4096
 BROADCAST_ROWS = 200_000
 MAPPING_SCHEMA = "column string, value string, mean double, count long, encoded double"
 
@@ -67,13 +69,6 @@ class TargetEncodingModel:
         )
 
 
-def global_mean(df: DataFrame, target: str) -> float:
-    value = df.agg(F.avg(F.col(target).cast("double")).alias("g")).first()["g"]
-    if value is None:
-        raise ValueError(f"Cannot target encode because {target!r} has no non-null values.")
-    return float(value)
-
-
 def category_stats(df: DataFrame, columns: Iterable[str], target: str) -> DataFrame:
     """``(column, value, total, count)`` of the target per category value, in
     one aggregate over the unpivoted columns.  Null values are kept as a
@@ -124,7 +119,7 @@ def fit_target_encoding(
     }
     first = summary.get(columns[0])
     if first is None or not first["n"]:
-        raise ValueError(f"Cannot target encode because {target!r} has no non-null values.")
+        raise ValueError(f"column {target!r} is null in every row, so there is no mean to encode with")
     mean = float(first["total"]) / float(first["n"])
     sizes = {name: int(summary[name]["size"]) if name in summary else 0 for name in columns}
     return TargetEncodingModel(mean, columns, float(smoothing), mapping_from_stats(stats, smoothing, mean), sizes)
@@ -138,13 +133,20 @@ def _encode_column(
     fallback: float,
     broadcast_rows: int,
 ) -> DataFrame:
+    """Left join with the column's mapping.
+
+    Null keys have no mapping row.  In a shuffle join they would all meet in
+    one task, so each gets a key of its own kind, spread over ``NULL_KEYS``
+    values that begin with a control character and stay unmatched.
+    """
     enc = f"{name}_enc"
     if size == 0:
         return df.withColumn(enc, F.lit(fallback))
-    side = broadcast_if_small(
-        lookup.select(F.col("value").alias("__key"), F.col("encoded").alias("__enc")), broadcast_rows, known_rows=size
-    )
-    keyed = df.withColumn("__key", F.col(name).cast("string"))
+    side = lookup.select(F.col("value").alias("__key"), F.col("encoded").alias("__enc"))
+    if size <= broadcast_rows:
+        side = broadcast_if_small(side, broadcast_rows)
+    spread = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*df.columns), F.lit(NULL_KEYS)).cast("string"))
+    keyed = df.withColumn("__key", F.coalesce(F.col(name).cast("string"), spread))
     joined = keyed.join(side, on="__key", how="left")
     return joined.withColumn(enc, F.coalesce(F.col("__enc"), F.lit(fallback))).drop("__key", "__enc")
 
@@ -165,6 +167,13 @@ def apply_target_encoding(
     return out
 
 
+def build_model_features(
+    df: DataFrame, columns: Iterable[str] = DEFAULT_CATEGORICAL_COLUMNS, target: str = DEFAULT_TARGET, **listing_options
+) -> DataFrame:
+    """Listing features and in-sample encodings of cleaned rows: everything the models read."""
+    return add_target_encodings(add_listing_features(df, **listing_options), columns, target)
+
+
 def add_target_encodings(
     df: DataFrame,
     columns: Iterable[str] = DEFAULT_CATEGORICAL_COLUMNS,

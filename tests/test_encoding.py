@@ -1,25 +1,21 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import functions as F
-
 from aqarlens.operators.encoding import (
     TargetEncodingModel,
     add_target_encodings,
     apply_target_encoding,
     fit_target_encoding,
 )
+from aqarlens.operators.joins import broadcast_if_small
 
 
-def test_target_encoding_model_uses_training_categories_only(spark):
-    train = spark.sql(
-        "SELECT 'Cairo' AS city, 10000.0 AS price_per_sqm UNION ALL SELECT 'Cairo', 20000.0 "
-        "UNION ALL SELECT 'Giza', 40000.0"
-    )
-    validation = spark.sql("SELECT 'Unseen City' AS city, 999999.0 AS price_per_sqm")
+def test_unseen_values_get_the_training_mean(spark):
+    train = spark.createDataFrame([("k1", 3.0), ("k2", 5.0), ("k2", 7.0), ("k3", 1.0)], "city string, price_per_sqm double")
+    later = spark.createDataFrame([("k9", 1e9)], "city string, price_per_sqm double")
     model = fit_target_encoding(train, ("city",), smoothing=0.0)
-    assert apply_target_encoding(validation, model).first()["city_enc"] == pytest.approx(70_000.0 / 3.0)
-    assert model.mapping.where(F.col("value") == "Unseen City").count() == 0
+    assert [r.city_enc for r in apply_target_encoding(later, model).collect()] == [4.0]
+    assert sorted(r.value for r in model.mapping.collect()) == ["k1", "k2", "k3"]
 
 
 def test_smoothing_null_keys_and_literal_none(spark):
@@ -49,18 +45,42 @@ def test_empty_mapping_gives_global_mean(spark):
     assert {r.city_enc for r in apply_target_encoding(df, model).collect()} == {15.0}
 
 
+def _plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_broadcast_and_shuffle_join_agree_and_roundtrip(spark, tmp_path):
-    df = spark.createDataFrame(
-        [(f"c{i % 17}", f"d{i % 5}", float(i)) for i in range(400)], "city string, district string, price_per_sqm double"
-    )
+    rows = [(f"c{i % 17}" if i % 3 else None, f"d{i % 5}", float(i)) for i in range(600)]
+    df = spark.createDataFrame(rows, "city string, district string, price_per_sqm double")
     model = fit_target_encoding(df, ("city", "district"))
-    small = apply_target_encoding(df, model).orderBy("price_per_sqm").collect()
-    large = apply_target_encoding(df, model, broadcast_rows=0).orderBy("price_per_sqm").collect()
-    assert small == large
+    small = apply_target_encoding(df, model)
+    assert "BroadcastHashJoin" in _plan(small)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = apply_target_encoding(df, model, broadcast_rows=0)
+        plan = _plan(large)
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        assert large.exceptAll(small).count() == 0 and large.count() == 600
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     model.save(str(tmp_path / "enc"))
     loaded = TargetEncodingModel.load(spark, str(tmp_path / "enc"))
     assert loaded.global_mean == model.global_mean and loaded.sizes == model.sizes
-    assert apply_target_encoding(df, loaded).orderBy("price_per_sqm").collect() == small
+    assert apply_target_encoding(df, loaded).exceptAll(small).count() == 0
+
+
+def test_broadcast_needs_few_bytes_too(spark):
+    df = spark.createDataFrame([("x" * 1000,)] * 20, "t string")
+    other = spark.createDataFrame([("x" * 1000,)], "t string")
+    assert "BroadcastHashJoin" in _plan(other.join(broadcast_if_small(df, 100), "t"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" not in _plan(other.join(broadcast_if_small(df, 100, max_bytes=10_000), "t"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
 def test_insample_encoding_adds_columns(spark):
