@@ -8,14 +8,25 @@ one-row aggregate read back as a scalar.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aqarlens.functions.parsing import try_double
 
 
+#: Aggregate buffers of one node: beyond 100 fields Spark leaves whole-stage code generation.
+BUFFERS = 90
+
+
+def _grouped(items: Sequence, buffers: int) -> list[list]:
+    """Runs of items whose aggregates, ``buffers`` fields each, fit one generated aggregate."""
+    size = max(1, BUFFERS // buffers)
+    return [list(items[k : k + size]) for k in range(0, len(items), size)]
+
+
 def _explode_rows(df: DataFrame, rows: Sequence[Column]) -> DataFrame:
     """One-row aggregate → long table (one struct per output row)."""
     return df.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
@@ -34,22 +45,24 @@ def missing_values(df: DataFrame) -> DataFrame:
 
 
 def feature_summary(df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
-    """``(feature, dtype, non_null, min, max, mean)``; numeric stats as double."""
-    features = list(features or df.columns)
+    """``(feature, dtype, non_null, min, max, mean)``; numeric stats as double.
+
+    Features are taken in runs that fit one generated aggregate each; every
+    run reads its own columns only.
+    """
     types = {field.name: field.dataType.simpleString() for field in df.schema.fields}
-    stats = []
-    for i, name in enumerate(features):
-        value = try_double(name)
-        stats += [
-            F.count(F.col(name)).alias(f"n{i}"),
-            F.min(value).alias(f"lo{i}"),
-            F.max(value).alias(f"hi{i}"),
-            F.avg(value).alias(f"mu{i}"),
-        ]
-    summary = df.agg(*stats)
-    return _explode_rows(
-        summary,
-        [
+    parts = []
+    for names in _grouped(list(features or df.columns), 5):
+        stats = []
+        for i, name in enumerate(names):
+            value = try_double(name)
+            stats += [
+                F.count(F.col(name)).alias(f"n{i}"),
+                F.min(value).alias(f"lo{i}"),
+                F.max(value).alias(f"hi{i}"),
+                F.avg(value).alias(f"mu{i}"),
+            ]
+        rows = [
             F.struct(
                 F.lit(name).alias("feature"),
                 F.lit(types[name]).alias("dtype"),
@@ -58,16 +71,19 @@ def feature_summary(df: DataFrame, features: Sequence[str] | None = None) -> Dat
                 F.col(f"hi{i}").alias("max"),
                 F.col(f"mu{i}").alias("mean"),
             )
-            for i, name in enumerate(features)
-        ],
-    )
+            for i, name in enumerate(names)
+        ]
+        parts.append(_explode_rows(df.agg(*stats), rows))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def category_shares(df: DataFrame, column: str = "category") -> DataFrame:
-    """Rows per value (null is a group) and its share of all rows."""
-    total = df.count()
+    """Rows per value (null is a group) and its share of all rows; one scan.
+
+    The total is summed over the groups, one row each.
+    """
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
-    return counts.withColumn("share", F.col("count") / F.lit(float(total) if total else 1.0))
+    return counts.withColumn("share", F.col("count") / F.sum("count").over(Window.partitionBy(F.lit(0))))
 
 
 def top_k_counts(df: DataFrame, column: str = "property_type", k: int = 8) -> DataFrame:
@@ -80,17 +96,23 @@ def top_k_counts(df: DataFrame, column: str = "property_type", k: int = 8) -> Da
     )
 
 
+def _correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], label: Callable[[str, str], list[Column]]) -> DataFrame:
+    """``pearson_r`` of each pair beside its label columns, in runs that fit one generated aggregate each."""
+    parts = []
+    for run in _grouped(pairs, 6):
+        stats = df.agg(*[F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias(f"r{i}") for i, (x, y) in enumerate(run)])
+        rows = [F.struct(*label(x, y), F.col(f"r{i}").alias("pearson_r")) for i, (x, y) in enumerate(run)]
+        parts.append(_explode_rows(stats, rows))
+    return reduce(DataFrame.unionAll, parts)
+
+
 def feature_correlations(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    """Pearson r of every feature with the target in one aggregate, ascending.
+    """Pearson r of every feature with the target, ascending.
 
     Pairs with a null are skipped (``corr``), not read as zero.
     """
-    stats = df.agg(*[F.corr(F.col(name).cast("double"), F.col(target).cast("double")).alias(f"r{i}") for i, name in enumerate(features)])
-    rows = _explode_rows(
-        stats,
-        [F.struct(F.lit(name).alias("feature"), F.col(f"r{i}").alias("pearson_r")) for i, name in enumerate(features)],
-    )
-    return rows.orderBy("pearson_r")
+    rows = _correlations(df, [(name, target) for name in features], lambda x, _: [F.lit(x).alias("feature")])
+    return rows.orderBy("pearson_r", "feature")
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -101,19 +123,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     present = [name for name in columns if name in df.columns]
     values = df.select(*[try_double(name).alias(name) for name in present]).dropna()
-    pairs = [(i, j) for i in range(len(present)) for j in range(i)]
-    stats = values.agg(*[F.corr(present[i], present[j]).alias(f"r{i}_{j}") for i, j in pairs])
-    return _explode_rows(
-        stats,
-        [
-            F.struct(
-                F.lit(present[i]).alias("row_feature"),
-                F.lit(present[j]).alias("col_feature"),
-                F.col(f"r{i}_{j}").alias("pearson_r"),
-            )
-            for i, j in pairs
-        ],
-    )
+    pairs = [(present[i], present[j]) for i in range(len(present)) for j in range(i)]
+    return _correlations(values, pairs, lambda x, y: [F.lit(x).alias("row_feature"), F.lit(y).alias("col_feature")])
 
 
 def _bin_expr(value: Column, low: float, high: float, bins: int) -> Column:
@@ -123,30 +134,6 @@ def _bin_expr(value: Column, low: float, high: float, bins: int) -> Column:
     return F.least(F.floor((value - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("int")
 
 
-def histogram(df: DataFrame, column: str, bins: int = 60) -> DataFrame:
-    """Equal-width bins between min and max (last bin closed).
-
-    ``(bin, bin_low, bin_high, count)`` for non-empty bins.
-    """
-    bounds = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi")).first()
-    if bounds["lo"] is None:
-        return df.sparkSession.createDataFrame([], "bin int, bin_low double, bin_high double, count long")
-    low, high = float(bounds["lo"]), float(bounds["hi"])
-    width = (high - low) / bins
-    counted = (
-        df.where(F.col(column).isNotNull())
-        .select(_bin_expr(F.col(column), low, high, bins).alias("bin"))
-        .groupBy("bin")
-        .agg(F.count(F.lit(1)).alias("count"))
-    )
-    return counted.select(
-        "bin",
-        (F.lit(low) + F.col("bin") * F.lit(width)).alias("bin_low"),
-        (F.lit(low) + (F.col("bin") + 1) * F.lit(width)).alias("bin_high"),
-        "count",
-    )
-
-
 def segment_histograms(
     df: DataFrame,
     value: Column,

@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 1024
 DEFAULT_FINAL_ROWS = 1_000_000
-MAX_ROUNDS = 8
 
 
 def _values(df: DataFrame, column: str) -> DataFrame:
@@ -138,9 +137,7 @@ def exact_quantiles_multi(
     # targets: (column, probability slot, range, rank within range); rank None until counted.
     targets: list[list] = [[i, k, _Range(i, -math.inf, math.inf), None] for i in range(len(names)) for k in range(len(requests[names[i]]))]
     done: list[list] = []
-    for _ in range(MAX_ROUNDS):
-        if not targets:
-            break
+    while targets:
         ranges: dict[tuple, _Range] = {}
         for target in targets:
             r = target[2]
@@ -239,11 +236,9 @@ def exact_quantiles_multi(
                     break
                 running += rows
             narrowed = _Range(col, edges[piece], edges[piece + 1])
-            if (narrowed.low, narrowed.high) == (r.low, r.high) or rows == sizes[key]:
-                done.append(target)  # a hot value the sketch cannot split: few distinct values
-            else:
-                targets.append([col, slot, narrowed, rank - running])
-    done.extend(targets)
+            if (narrowed.low, narrowed.high) == (r.low, r.high):
+                raise RuntimeError(f"no cut of [{r.low}, {r.high}) was found for column {names[col]!r}")
+            targets.append([col, slot, narrowed, rank - running])
 
     if done:
         # Final job: rank each (small) range by value.

@@ -32,7 +32,6 @@ def test_empty_listings_through_operators(spark, empty_raw):
     assert profiling.feature_summary(featured, ["area_value"]).first()["non_null"] == 0
     assert profiling.category_shares(featured).count() == 0
     assert profiling.top_k_counts(featured).count() == 0
-    assert profiling.histogram(featured, "price_per_sqm").count() == 0
     assert profiling.correlation_matrix(featured, ["area_value", "lat"]).first()["pearson_r"] is None
     with pytest.raises(ValueError):
         fit_target_encoding(featured, ("city",))
