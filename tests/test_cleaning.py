@@ -8,15 +8,13 @@ from aqarlens.plans.cleaning import clean_property_data
 from aqarlens.sources.listings_view import TIE_COLUMNS, listings_view
 
 
-def test_outlier_filter_applies_business_sanity_bounds(spark):
-    df = spark.sql(
-        "SELECT 1000000.0 AS price_egp, 100.0 AS area_value UNION ALL SELECT 100.0, 100.0 "
-        "UNION ALL SELECT 500000000.0, 100.0"
-    )
-    cleaned, removed, low, high = add_target_and_remove_outliers(df)
-    assert cleaned.count() == 1
-    assert removed == 2
-    assert low == high == 10_000.0
+def test_fixed_bounds_trim_price_and_area(spark):
+    # Below and above the price bounds, below and above the area bounds, and three rows inside.
+    rows = [(50.0 * 999, 50.0), (50.0 * 300_001, 50.0), (19.0 * 5000, 19.0), (1501.0 * 5000, 1501.0)]
+    rows += [(a * p, a) for a, p in ((20.0, 1000.0), (1500.0, 300_000.0), (80.0, 7000.0))]
+    df = spark.createDataFrame(rows, "price_egp double, area_value double")
+    kept, removed, low, high = add_target_and_remove_outliers(df, price_quantiles=(0.0, 1.0))
+    assert (kept.count(), removed, low, high) == (3, 4, 1000.0, 300_000.0)
 
 
 def test_outlier_trim_on_empty_input(spark):

@@ -1,19 +1,15 @@
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from aqarlens.functions.parsing import flag_to_int, parse_amount, parse_room_count
-from aqarlens.operators.cleaning import DROP_COLUMNS, standardize_payment_method
+from aqarlens.operators.cleaning import DROP_COLUMNS, payment_method_expr, standardize_payment_method
 
 
 def _one_column(spark, values, dtype="string"):
     return spark.createDataFrame([(v,) for v in values], f"x {dtype}")
 
 
-def test_drop_columns_contains_personal_contact_fields():
-    assert "contact_phone" in DROP_COLUMNS
-    assert "agent_email" in DROP_COLUMNS
-    assert "broker_phone" in DROP_COLUMNS
+def test_contact_columns_are_dropped():
+    assert {"contact_phone", "agent_email", "broker_phone"} <= set(DROP_COLUMNS)
 
 
 def test_room_text_edge_values(spark):
@@ -51,15 +47,14 @@ def test_boolean_flags(spark):
     assert [r[0] for r in booleans.select(flag_to_int("x")).collect()] == [1, 0, 0]
 
 
-def test_payment_method_keeps_unknown_rows(spark):
-    df = spark.sql(
-        "SELECT 'cash' AS payment_method UNION ALL SELECT 'installments' UNION ALL "
-        "SELECT 'cash | installments' UNION ALL SELECT 'mortgage' UNION ALL SELECT NULL"
-    )
-    cleaned = standardize_payment_method(df)
-    assert cleaned.count() == 5
-    assert cleaned.where(F.col("payment_method") == "unknown").count() == 2
-    assert {r["payment_method"] for r in cleaned.collect()} == {"cash", "installments", "both", "unknown"}
+def test_payment_outcomes_by_words(spark):
+    words = {
+        "": "unknown", "bank transfer": "unknown", "in CASH only": "cash", "8-year instalment": "unknown",
+        "install over 5 years": "installments", "Cash down, then INSTALLMENTS": "both",
+    }
+    df = _one_column(spark, [None, *words]).withColumnRenamed("x", "payment_method")
+    got = {r[0]: r[1] for r in df.select("payment_method", payment_method_expr("payment_method").alias("o")).collect()}
+    assert got == {None: "unknown", **words}
 
 
 def test_payment_method_rules(spark):
