@@ -3,17 +3,21 @@
 A bundle folder holds the fitted ``PipelineModel``, the target-encoding
 mapping (Parquet), the cleaning values and one JSON metadata line (model
 name, features, target, metrics).  Everything is written through Spark, so
-the folder can live on the cluster's shared storage.
+the folder can live on the cluster's shared storage.  Each save makes a folder
+of its own, and the metadata comes last: a folder without it is no bundle, and
+an earlier one is never touched.
 
 Scoring applies the same parsing, imputation (saved medians), payment rules,
 features and encodings as training, so raw text never reaches the
-assembler; rows with a missing feature get a null prediction instead of
-failing the job.
+assembler.  Optional flag columns that the input lacks count as not set; rows
+with any other feature missing get a null prediction instead of failing the job.
 """
 
 from __future__ import annotations
 
 import json
+import time
+import uuid
 from dataclasses import asdict, dataclass, field
 from typing import Any
 
@@ -21,6 +25,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aqarlens.functions.features import BOOLEAN_FLAG_COLUMNS
 from aqarlens.operators.cleaning import fill_defaults, parse_listing_columns, standardize_payment_method
 from aqarlens.operators.encoding import TargetEncodingModel, apply_target_encoding
 from aqarlens.operators.features import add_listing_features
@@ -38,9 +43,12 @@ class ModelBundle:
     encoding: TargetEncodingModel | None = None
     cleaning: CleaningModel | None = None
 
-    def save(self, path: str) -> str:
+    def save(self, base: str, version: str | None = None) -> str:
+        """Write the bundle into a new folder below ``base`` and return the folder."""
         spark = SparkSession.getActiveSession()
-        self.model.write().overwrite().save(f"{path}/model")
+        name = version or f"{time.strftime('%Y%m%dT%H%M%S', time.gmtime())}-{uuid.uuid4().hex[:8]}"
+        path = f"{base.rstrip('/')}/{name}"
+        self.model.write().save(f"{path}/model")
         if self.encoding is not None:
             self.encoding.save(f"{path}/encoding")
         meta = {
@@ -52,16 +60,14 @@ class ModelBundle:
             "cleaning": asdict(self.cleaning) if self.cleaning is not None else None,
             "has_encoding": self.encoding is not None,
         }
-        spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(
-            f"{path}/meta"
-        )
+        spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.text(f"{path}/meta")
         return path
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "ModelBundle":
         meta = json.loads(spark.read.text(f"{path}/meta").first()["value"])
         if not meta.get("model_persisted", True):
-            raise RuntimeError("This bundle holds metrics but no reloadable Spark ML model.")
+            raise RuntimeError(f"{path} has the metrics of a model that was not stored")
         return cls(
             model=PipelineModel.load(f"{path}/model"),
             model_name=meta["model_name"],
@@ -77,6 +83,8 @@ def prepare_for_scoring(raw: DataFrame, bundle: ModelBundle) -> DataFrame:
     """Raw listings → model features, with the bundle's saved values."""
     df = raw
     if any(name not in df.columns for name in bundle.features):
+        absent = [name for name in BOOLEAN_FLAG_COLUMNS if name not in df.columns]
+        df = df.withColumns({name: F.lit(None).cast("string") for name in absent}) if absent else df
         df = parse_listing_columns(df)
         if bundle.cleaning is not None:
             df = fill_defaults(df, bundle.cleaning.bedroom_median, bundle.cleaning.bathroom_median)
@@ -85,6 +93,8 @@ def prepare_for_scoring(raw: DataFrame, bundle: ModelBundle) -> DataFrame:
         df = add_listing_features(df)
         if bundle.encoding is not None:
             df = apply_target_encoding(df, bundle.encoding)
+        lacking = [name for name in bundle.features if name not in df.columns]
+        df = df.withColumns({name: F.lit(None).cast("double") for name in lacking}) if lacking else df
     return df.withColumns({name: F.col(name).try_cast("double") for name in bundle.features})
 
 

@@ -5,6 +5,7 @@ Library operators never create sessions; they use ``df.sparkSession``.
 
 from __future__ import annotations
 
+import atexit
 import os
 import uuid
 
@@ -63,39 +64,58 @@ def resolve_mode(spark: SparkSession, mode: str = "auto") -> str:
     return mode
 
 
+_FOLDERS: dict[str, tuple[SparkSession, list[str]]] = {}
+
+
+def own_folder(spark: SparkSession, kind: str) -> str:
+    """A new folder below ``spark.checkpoint.dir`` that ``drop_folders`` and the end of the driver remove."""
+    shared = checkpoint_dir(spark)
+    if not shared:
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+    path = f"{shared.rstrip('/')}/aqarlens-{kind}/{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    if app not in _FOLDERS:
+        _FOLDERS[app] = (spark, [])
+        atexit.register(_drop_at_exit, app)
+    _FOLDERS[app][1].append(path)
+    return path
+
+
+def drop_folders(spark: SparkSession) -> None:
+    """Remove the session's stage tables and scratch folders; frames that read them are spent."""
+    _drop(spark.sparkContext.applicationId)
+
+
+def _drop(app: str) -> None:
+    spark, folders = _FOLDERS.get(app, (None, []))
+    while folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folders.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _drop_at_exit(app: str) -> None:
+    try:
+        _drop(app)
+    except Exception:  # the session was stopped before, or its JVM is gone
+        pass
+
+
 def materialize(df: DataFrame, mode: str = "auto") -> DataFrame:
     """Cut or cache lineage before several actions reuse one plan.
 
     ``table``: write Parquet into the cluster's shared ``spark.checkpoint.dir``
     and read it back (cuts lineage, survives executor loss, columnar and
-    compressed — cheaper than an RDD checkpoint of rows).
-    ``checkpoint``: reliable ``DataFrame.checkpoint`` into the same folder.
-    ``persist``: MEMORY_AND_DISK cache; lost blocks are recomputed from
-    lineage.  ``auto`` writes a table when a checkpoint folder is
-    configured, else persists.  ``none`` returns the plan unchanged.
+    compressed).  ``persist``: MEMORY_AND_DISK cache; lost blocks are
+    recomputed from lineage.  ``auto`` writes a table when a checkpoint folder
+    is configured, else persists.  ``none`` returns the plan unchanged.
     """
+    mode = resolve_mode(df.sparkSession, mode)
     if mode == "none":
         return df
-    spark = df.sparkSession
-    folder = checkpoint_dir(spark)
-    if mode == "auto":
-        mode = "table" if folder else "persist"
-    if mode in ("table", "checkpoint") and not folder:
-        raise RuntimeError(f"mode={mode!r} needs spark.checkpoint.dir to be set")
-    if mode == "table":
-        path = f"{folder.rstrip('/')}/aqarlens-stages/{uuid.uuid4().hex}"
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-    if mode == "checkpoint":
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(folder)
-        # Cache first: an eager checkpoint counts the plan and then writes
-        # it, which would compute an uncached plan twice.
-        df.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            return df.checkpoint(eager=True)
-        finally:
-            df.unpersist()
     if mode == "persist":
         return df.persist(StorageLevel.MEMORY_AND_DISK)
-    raise ValueError(f"unknown materialize mode {mode!r}")
+    if mode != "table":
+        raise ValueError(f"unknown materialize mode {mode!r}")
+    path = own_folder(df.sparkSession, "stages")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

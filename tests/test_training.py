@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,12 +11,11 @@ from aqarlens.plans.scoring import ModelBundle, predict_price_per_sqm
 from aqarlens.plans.training import model_specs, prepare_model_data, train_models
 
 
-def test_prepare_spark_model_data_creates_log_label(spark):
+def test_label_is_log_of_target(spark):
     cols = ", ".join(f"1.0 AS {name}" for name in FEATURES)
-    df = spark.sql(f"SELECT 'buy' AS category, {cols}, 15000.0 AS price_per_sqm")
-    out = prepare_model_data(df)
-    assert out.count() == 1
-    assert out.first()["label"] > 0
+    df = spark.sql(f"SELECT 'buy' AS category, {cols}, 8100.0 AS price_per_sqm")
+    rows = prepare_model_data(df).collect()
+    assert [round(r["label"], 9) for r in rows] == [round(math.log(8101.0), 9)]
 
 
 def test_prepare_raises_when_nothing_remains(spark):
@@ -44,12 +45,13 @@ def test_train_models_and_bundle_roundtrip(spark, sf_dir, tmp_path):
     results, best = train_models(table, params, select_on="test")
     rows = results.collect()
     assert [r.Model for r in rows] == sorted([r.Model for r in rows], key=lambda m: -[x for x in rows if x.Model == m][0].R2)
-    assert all(r.Train_R2 is not None and r.R2 > -1 for r in rows)
+    assert all(r.Train_R2 > 0 and r.R2 > 0 for r in rows)
 
     bundle = ModelBundle(best["model"], best["model_name"], encoding=q.encoding(spark, sf_dir),
                          cleaning=q.cleaning(spark, sf_dir)[2], metrics=best["metrics"])
-    bundle.save(str(tmp_path / "bundle"))
-    loaded = ModelBundle.load(spark, str(tmp_path / "bundle"))
+    folder = bundle.save(str(tmp_path / "bundle"))
+    assert bundle.save(str(tmp_path / "bundle")) != folder  # an earlier bundle is never overwritten
+    loaded = ModelBundle.load(spark, folder)
     test = table.where(F.col("split") == "test")
     before = [r.prediction for r in bundle.model.transform(test).orderBy("listing_id").collect()]
     after = [r.prediction for r in loaded.model.transform(test).orderBy("listing_id").collect()]
@@ -66,18 +68,31 @@ def test_train_models_and_bundle_roundtrip(spark, sf_dir, tmp_path):
     assert scored.where(F.col("lat").isNotNull() & F.col("prediction").isNull()).count() == 0
 
 
-def test_shipped_model_params_define_distributed_models():
+def test_default_parameters_enable_three_models():
     assert {"linear_regression", "decision_tree", "random_forest", "gbt"} <= set(DEFAULT_MODEL_PARAMS)
     assert DEFAULT_MODEL_PARAMS["tuning"]["method"] == "train_validation_split"
     assert DEFAULT_MODEL_PARAMS["gbt"]["enabled"] is False
 
 
-def test_model_params_json_roundtrip(tmp_path):
-    import json
+@pytest.mark.parametrize("flag", ["is_premium", "is_verified", "is_new_construction", "is_direct_from_dev"])
+def test_scoring_input_without_a_flag(spark, sf_dir, flag):
+    bundle, raw = q.bundle(spark, sf_dir), q.raw(spark, sf_dir)
+    without = predict_price_per_sqm(bundle, raw.drop(flag), keep=("listing_id",))
+    as_unset = predict_price_per_sqm(bundle, raw.withColumn(flag, F.lit("no")), keep=("listing_id",))
+    assert without.count() == raw.count()
+    assert without.exceptAll(as_unset).count() == 0
+
 
-    from aqarlens.plans.config import load_model_params
+def test_scoring_without_encoding_gives_null(spark, sf_dir):
+    bundle = q.bundle(spark, sf_dir)
+    bundle.encoding = None
+    scored = predict_price_per_sqm(bundle, q.raw(spark, sf_dir), keep=("listing_id",))
+    assert scored.count() == q.raw(spark, sf_dir).count()
+    assert scored.where("prediction IS NOT NULL").count() == 0
 
-    path = tmp_path / "params.json"
-    path.write_text(json.dumps(DEFAULT_MODEL_PARAMS))
-    assert load_model_params(str(path)) == DEFAULT_MODEL_PARAMS
-    assert load_model_params(str(tmp_path / "missing.json")) == {}
+
+def test_target_name_is_carried(spark, sf_dir):
+    table = q.model_table(spark, sf_dir)
+    off = {k: {"enabled": False} for k in ("decision_tree", "random_forest", "gbt")}
+    _, best = train_models(table, {"linear_regression": {"estimator": {"maxIter": 5}}, **off}, target="other")
+    assert best["target"] == "other"
