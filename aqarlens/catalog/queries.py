@@ -2,16 +2,15 @@
 
 Each query reads the driver's whole tables through the listings view and
 returns a DataFrame; floating results that sum or divide in engine-specific
-order are rounded on both sides.  Queries whose result depends on a
-random generator or an iterative fit have no oracle (rows-only check) and
-are paired with property tests in ``tests/``.
+order are rounded on both sides.  Queries of iterative fits return properties
+that must hold (row counts, signs, order); samples and splits are hash rules
+that SQL computes alike.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,16 +32,17 @@ from aqarlens.operators.cleaning import (
 from aqarlens.operators.encoding import (
     TargetEncodingModel,
     add_target_encodings,
+    build_model_features,
     apply_target_encoding,
     fit_target_encoding,
 )
 from aqarlens.operators.features import add_listing_features
-from aqarlens.operators.quantiles import quantile_table
+from aqarlens.operators.quantiles import exact_quantiles_multi, quantile_table
 from aqarlens.operators.splits import hash_split, split_frames, union_splits
 from aqarlens.plans.cleaning import clean_property_data, critical_condition_for
 from aqarlens.plans.config import FEATURES, TARGET
 from aqarlens.plans.training import prepare_model_data
-from aqarlens.session import checkpoint_dir, materialize
+from aqarlens.session import checkpoint_dir, drop_folders, materialize, own_folder
 from aqarlens.sources.files import read_listings, write_table
 from aqarlens.sources.listings_view import TIE_COLUMNS, VIEW_COLUMNS, listings_view
 
@@ -77,16 +77,20 @@ def register(name: str, oracle: str | None = None):
 
 
 def reset() -> None:
-    """Forget memoized upstream stages (and unpersist them)."""
+    """Forget memoized upstream stages, unpersist them and remove their folders."""
+    sessions = {}
     for value in _MEMO.values():
         frame = value[0] if isinstance(value, tuple) else value
         if isinstance(frame, DataFrame):
             frame.unpersist()
+            sessions[id(frame.sparkSession)] = frame.sparkSession
     _MEMO.clear()
+    for spark in sessions.values():
+        drop_folders(spark)
 
 
 def _memo(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], object]):
-    key = (spark.conf.get("spark.app.id", None) or id(spark), os.path.abspath(sf_dir), name)
+    key = (spark.conf.get("spark.app.id", None) or id(spark), sf_dir.rstrip("/"), name)
     if key not in _MEMO:
         _MEMO[key] = build()
     return _MEMO[key]
@@ -94,22 +98,19 @@ def _memo(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], objec
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder; a local
-    temporary folder only for a local-mode session."""
-    shared = checkpoint_dir(spark)
-    if shared:
-        return f"{shared.rstrip('/')}/aqarlens-scratch/{name}-{uuid.uuid4().hex}"
-    if str(spark.conf.get("spark.master", "")).startswith("local"):
+    temporary folder only for a single-JVM session without that setting."""
+    master = spark.sparkContext.master
+    if not checkpoint_dir(spark) and master.startswith("local") and not master.startswith("local-cluster"):
         return os.path.join(tempfile.mkdtemp(prefix="aqarlens-"), name)
-    raise RuntimeError("set spark.checkpoint.dir to a shared folder for round-trip writes")
+    return f"{own_folder(spark, 'scratch')}/{name}"
 
 
 # ---------------------------------------------------------------- stages
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw listings, written once per session as a stage table — the
-    stored listing file of the original job, derived from the given tables."""
-    return _memo(spark, sf_dir, "raw", lambda: materialize(listings_view(spark, sf_dir)))
+    """The raw listings, as a lazy view: each query reads the columns it needs."""
+    return listings_view(spark, sf_dir)
 
 
 def cleaning(spark: SparkSession, sf_dir: str):
@@ -498,7 +499,7 @@ def q_target_encoding_insample(spark, sf_dir):
     + " FROM encoded",
 )
 def q_build_features(spark, sf_dir):
-    out = add_target_encodings(featured(spark, sf_dir), ENC_COLUMNS, TARGET).select("listing_id", *FEATURES)
+    out = build_model_features(cleaned(spark, sf_dir), ENC_COLUMNS, TARGET).select("listing_id", *FEATURES)
     enc = [f"{n}_enc" for n in ENC_COLUMNS]
     return _round(_round(out, 4, skip=tuple(c for c in out.columns if c not in enc)), 6, skip=tuple(enc))
 
@@ -719,9 +720,40 @@ def q_quantiles_exact(spark, sf_dir):
     return quantile_table(cleaned(spark, sf_dir), QUANTILE_COLUMNS, QUANTILE_PROBS, method="exact")
 
 
-@register("quantiles_approx")
+@register("quantiles_exact_rounds", ORACLES["quantiles_exact"])
+def q_quantiles_exact_rounds(spark, sf_dir):
+    """The same values by the narrowing rounds that large tables take."""
+    wanted = {c: list(QUANTILE_PROBS) for c in QUANTILE_COLUMNS}
+    found = exact_quantiles_multi(cleaned(spark, sf_dir), wanted, buckets=16, final_rows=50)
+    rows = [(c, float(p), v) for c in QUANTILE_COLUMNS for p, v in zip(QUANTILE_PROBS, found[c], strict=True)]
+    return spark.createDataFrame(rows, '"column" string, probability double, value double'.replace('"', "`"))
+
+
+@register(
+    "quantiles_approx",
+    "SELECT * FROM (VALUES "
+    + ", ".join(f"('{c}', CAST({p} AS DOUBLE), true)" for c in QUANTILE_COLUMNS for p in QUANTILE_PROBS)
+    + ') AS t("column", probability, within)',
+)
 def q_quantiles_approx(spark, sf_dir):
-    return quantile_table(cleaned(spark, sf_dir), QUANTILE_COLUMNS, QUANTILE_PROBS, method="approx")
+    """Whether each approximate quantile's rank is within 0.01 of the one asked for."""
+    table = cleaned(spark, sf_dir)
+    found = quantile_table(table, QUANTILE_COLUMNS, QUANTILE_PROBS, method="approx").collect()
+    counts = []
+    for i, r in enumerate(found):
+        value = F.col(r["column"])
+        counts += [
+            F.count_if(value < r["value"]).alias(f"below{i}"),
+            F.count_if(value <= r["value"]).alias(f"upto{i}"),
+            F.count(value).alias(f"n{i}"),
+        ]
+    ranks = table.agg(*counts).first()
+    rows = []
+    for i, r in enumerate(found):
+        slack = 0.01 * ranks[f"n{i}"] + 1
+        rank = r["probability"] * ranks[f"n{i}"]
+        rows.append((r["column"], r["probability"], ranks[f"below{i}"] - slack <= rank <= ranks[f"upto{i}"] + slack))
+    return spark.createDataFrame(rows, "`column` string, probability double, within boolean")
 
 
 # ---------------------------------------------------------------- flagship
@@ -761,7 +793,8 @@ from aqarlens.plans.evaluation import (  # noqa: E402
     residuals,
 )
 from aqarlens.plans.scoring import ModelBundle, predict_price_per_sqm  # noqa: E402
-from aqarlens.plans.training import fit_model, model_specs, train_models, tuning_summary  # noqa: E402
+from aqarlens.plans import reports  # noqa: E402
+from aqarlens.plans.training import fit_model, model_specs, train_models, tuning_table  # noqa: E402
 
 BASELINE_KEY = "completion_score"
 _BASELINE_SQL = (
@@ -835,7 +868,7 @@ def q_linear_trend_fit(spark, sf_dir):
     )
 
 
-# ---------------------------------------------------------------- model fits (rows-only)
+# ---------------------------------------------------------------- model fits (properties)
 
 
 def _spec(key: str, params=None):
@@ -860,68 +893,136 @@ def fitted_model(spark, sf_dir, key: str):
 
 def _fit_query(key: str) -> Query:
     def run(spark, sf_dir):
+        """Rows and sign of R2 per split; a constant predictor has an R2 of 0 at best."""
         scored = fitted_model(spark, sf_dir, key).transform(model_table(spark, sf_dir))
-        return _round_metrics(metrics_by_split(scored))
+        return metrics_by_split(scored).select("split", "n", (F.col("r2") > 0).alias("r2_positive"))
 
     return run
 
 
+_FIT_SQL = sql.pipeline("model_table") + "\nSELECT split, count(*) AS n, true AS r2_positive FROM model_table GROUP BY split"
 for _key, _name in (
     ("linear_regression", "fit_linear"),
     ("decision_tree", "fit_tree"),
     ("random_forest", "fit_forest"),
     ("gbt", "fit_gbt"),
 ):
-    register(_name)(_fit_query(_key))
-
-
-def _tuning_rows(spark, tuned) -> DataFrame:
-    metrics = list(getattr(tuned, "validationMetrics", None) or getattr(tuned, "avgMetrics", None))
-    maps = tuned.getEstimatorParamMaps()
-    best_score, _ = tuning_summary(tuned)
-    rows = [
-        (
-            ", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name)),
-            float(score),
-            float(score) == best_score,
-        )
-        for m, score in zip(maps, metrics)
-    ]
-    return spark.createDataFrame(rows, "params string, validation_r2 double, best boolean")
+    register(_name, _FIT_SQL)(_fit_query(_key))
 
 
-@register("tune_tvs")
-def q_tune_tvs(spark, sf_dir):
-    name, estimator, _ = _spec("linear_regression")
+def _tuned_line(spark, sf_dir, tuning) -> list[tuple[dict, float]]:
+    """Least squares of one feature with and without an intercept, by a tuner."""
+    from pyspark.ml.regression import LinearRegression
     from pyspark.ml.tuning import ParamGridBuilder
 
-    grid = ParamGridBuilder().addGrid(estimator.regParam, [0.01, 0.1]).addGrid(estimator.elasticNetParam, [0.0]).build()
+    estimator = LinearRegression(featuresCol="features", labelCol="label", regParam=0.0, solver="normal")
+    grid = ParamGridBuilder().addGrid(estimator.fitIntercept, [True, False]).build()
     train = model_table(spark, sf_dir).where(F.col("split") == "train")
-    _, tuned = fit_model(estimator, grid, train, tuning={"method": "train_validation_split", "parallelism": 1})
-    return _tuning_rows(spark, tuned)
+    fold = F.expr("(instr('0123456789abcdef', substr(md5(cast(listing_id as string)), 9, 1)) - 1) % 3")
+    train = train.withColumn("fold", fold.cast("int"))
+    _, tuned = fit_model(estimator, grid, train, ["log_area"], {"parallelism": 1, **tuning})
+    return tuning_table(tuned)
 
 
-@register("tune_cv")
+@register(
+    "tune_tvs",
+    "SELECT 2 AS tried, true AS intercept_is_better, true AS scores_differ",
+)
+def q_tune_tvs(spark, sf_dir):
+    """What must hold of a random train-validation split: with an intercept the line is better."""
+    tried = _tuned_line(spark, sf_dir, {"method": "train_validation_split"})
+    row = (len(tried), bool(tried[0][0]["fitIntercept"]), tried[0][1] > tried[-1][1])
+    return spark.createDataFrame([row], "tried int, intercept_is_better boolean, scores_differ boolean")
+
+
+@register(
+    "tune_cv",
+    sql.pipeline("model_table")
+    + ", t AS (SELECT log_area AS x, label AS y, (instr('0123456789abcdef', substr(md5(CAST(listing_id AS VARCHAR)), 9, 1)) - 1) % 3 AS f "
+    "FROM model_table WHERE split = 'train'), folds AS (SELECT unnest(range(0, 3)) AS k), "
+    "fit AS (SELECT k, regr_slope(y, x) AS a, regr_intercept(y, x) AS b, sum(x * y) / sum(x * x) AS a0 "
+    "FROM folds, t WHERE f <> k GROUP BY k), "
+    "score AS (SELECT k, 1 - sum((y - a * x - b) * (y - a * x - b)) / (var_pop(y) * count(*)) AS r2, "
+    "1 - sum((y - a0 * x) * (y - a0 * x)) / (var_pop(y) * count(*)) AS r20 FROM t JOIN fit ON f = k GROUP BY k) "
+    "\nSELECT true AS fit_intercept, round(avg(r2), 6) AS mean_r2 FROM score "
+    "UNION ALL SELECT false, round(avg(r20), 6) FROM score",
+)
 def q_tune_cv(spark, sf_dir):
-    name, estimator, _ = _spec("decision_tree")
-    from pyspark.ml.tuning import ParamGridBuilder
+    """Three folds by a hash of the listing, through the tuner's fold column."""
+    tried = _tuned_line(spark, sf_dir, {"method": "cross_validator", "num_folds": 3, "fold_col": "fold"})
+    rows = [(bool(chosen["fitIntercept"]), round(score, 6)) for chosen, score in tried]
+    return spark.createDataFrame(rows, "fit_intercept boolean, mean_r2 double")
+
+
+def _comparison(spark, sf_dir):
+    """The trained models' results, best first, fitted once per session."""
+
+    def build():
+        return train_models(model_table(spark, sf_dir), DEFAULT_MODEL_PARAMS, select_on="test", materialize_mode="none")
+
+    return _memo(spark, sf_dir, "comparison", build)[0]
 
-    grid = ParamGridBuilder().addGrid(estimator.maxDepth, [4, 6]).addGrid(estimator.minInstancesPerNode, [20]).build()
-    train = model_table(spark, sf_dir).where(F.col("split") == "train")
-    _, tuned = fit_model(estimator, grid, train, tuning={"method": "cross_validator", "num_folds": 3, "parallelism": 1})
-    return _tuning_rows(spark, tuned)
 
+def _ranked(rows, columns) -> list[tuple]:
+    """(rank, all numbers there, not better than the row before, best value positive) of result rows."""
+    out, before = [], float("inf")
+    for rank, row in enumerate(rows, 1):
+        out.append((rank, all(row[c] is not None for c in columns), row["R2"] <= before, row["R2"] > 0))
+        before = row["R2"]
+    return out
 
-@register("model_comparison")
+
+_RANKED_SQL = "SELECT * FROM (VALUES (1, true, true, true), (2, true, true, true), (3, true, true, true)) AS t(rank, complete, ranked, r2_positive)"
+_RANKED = "rank int, complete boolean, ranked boolean, r2_positive boolean"
+
+
+@register("model_comparison", _RANKED_SQL)
 def q_model_comparison(spark, sf_dir):
-    results, _ = train_models(model_table(spark, sf_dir), DEFAULT_MODEL_PARAMS, select_on="test", materialize_mode="none")
-    return results
+    """Three enabled models, complete rows, ranked by test R2."""
+    results = _comparison(spark, sf_dir)
+    numbers = [c for c in results.columns if c not in ("Model", "Best_Params", "Tuning_Validation_R2")]
+    return spark.createDataFrame(_ranked(results.collect(), numbers), _RANKED)
+
+
+@register("holdout_table", _RANKED_SQL)
+def q_holdout_table(spark, sf_dir):
+    rows = reports.holdout_table(_comparison(spark, sf_dir))
+    return spark.createDataFrame(_ranked(rows.collect(), rows.columns), _RANKED)
+
+
+@register("split_table", _RANKED_SQL)
+def q_split_table(spark, sf_dir):
+    rows = reports.split_table(_comparison(spark, sf_dir))
+    return spark.createDataFrame(_ranked(rows.collect(), rows.columns), _RANKED)
 
 
-@register("feature_importance")
+@register("model_comparison_chart", _RANKED_SQL)
+def q_model_comparison_chart(spark, sf_dir):
+    rows = reports.model_comparison_chart(_comparison(spark, sf_dir))
+    return spark.createDataFrame(_ranked(rows.collect(), rows.columns), _RANKED)
+
+
+@register(
+    "empty_check",
+    sql.pipeline("clean") + "\nSELECT count(*) AS listings, true AS refused FROM clean",
+)
+def q_empty_check(spark, sf_dir):
+    """A category without rows is refused before any model sees it."""
+    rows = encoded(spark, sf_dir)
+    try:
+        prepare_model_data(rows, category="no such category")
+        refused = False
+    except ValueError:
+        refused = True
+    return rows.agg(F.count(F.lit(1)).alias("listings")).withColumn("refused", F.lit(refused))
+
+
+@register("feature_importance", "SELECT 20 AS features, true AS descending, true AS within_one, true AS first_positive")
 def q_feature_importance(spark, sf_dir):
-    ranked = feature_importance(fitted_model(spark, sf_dir, "random_forest"), FEATURES, 20)
-    return spark.createDataFrame(ranked, "feature string, importance double")
+    """What must hold of a forest's ranked importances."""
+    ranked = [score for _, score in feature_importance(fitted_model(spark, sf_dir, "random_forest"), FEATURES, 20)]
+    row = (len(ranked), ranked == sorted(ranked, reverse=True), 0.5 < sum(ranked) <= 1 + 1e-9, ranked[0] > 0)
+    return spark.createDataFrame([row], "features int, descending boolean, within_one boolean, first_positive boolean")
 
 
 def bundle(spark, sf_dir) -> ModelBundle:
@@ -934,44 +1035,95 @@ def bundle(spark, sf_dir) -> ModelBundle:
     )
 
 
-@register("score_listings")
+def line_bundle(spark, sf_dir) -> ModelBundle:
+    """A least-squares line on the area, whose predictions SQL can compute."""
+    from pyspark.ml.regression import LinearRegression
+
+    def build():
+        train = model_table(spark, sf_dir).where(F.col("split") == "train")
+        estimator = LinearRegression(featuresCol="features", labelCol="label", regParam=0.0, solver="normal")
+        return fit_model(estimator, [], train, ["log_area"])[0]
+
+    model = _memo(spark, sf_dir, "fit:line", build)
+    return ModelBundle(model, "line", ("log_area",), encoding=None, cleaning=cleaning(spark, sf_dir)[2])
+
+
+@register(
+    "score_listings",
+    sql.pipeline("model_table")
+    + ", fit AS (SELECT regr_slope(label, log_area) AS a, regr_intercept(label, log_area) AS b FROM model_table WHERE split = 'train'), "
+    f"r AS (SELECT listing_id, {sql._amount('area_value')} AS area FROM listings)"
+    "\nSELECT listing_id, round((SELECT a FROM fit) * ln(1 + area) + (SELECT b FROM fit), 6) AS prediction, "
+    "round(exp((SELECT a FROM fit) * ln(1 + area) + (SELECT b FROM fit)) - 1, 3) AS predicted_price_per_sqm FROM r",
+)
 def q_score_listings(spark, sf_dir):
-    """Score every raw listing with the saved cleaning values and encodings."""
-    scored = predict_price_per_sqm(bundle(spark, sf_dir), raw(spark, sf_dir), keep=("listing_id",))
-    return scored.select("listing_id", "prediction", "predicted_price_per_sqm")
+    """Score every raw listing with the saved cleaning values; null where the area is missing."""
+    scored = predict_price_per_sqm(line_bundle(spark, sf_dir), raw(spark, sf_dir), keep=("listing_id",))
+    return scored.select(
+        "listing_id", F.round("prediction", 6).alias("prediction"), F.round("predicted_price_per_sqm", 3).alias("predicted_price_per_sqm")
+    )
 
 
-@register("model_roundtrip_scores")
+@register("model_roundtrip_scores", sql.pipeline("listings") + "\nSELECT listing_id, true AS same FROM listings")
 def q_model_roundtrip_scores(spark, sf_dir):
+    """Every raw listing, scored in one pass by the bundle and by its reloaded copy."""
     original = bundle(spark, sf_dir)
-    path = scratch_path(spark, "bundle")
-    original.save(path)
-    reloaded = ModelBundle.load(spark, path)
-    test = model_table(spark, sf_dir).where(F.col("split") == "test")
-    before = original.model.transform(test).select("listing_id", F.col("prediction").alias("before"))
-    after = reloaded.model.transform(test).select("listing_id", F.col("prediction").alias("after"))
-    return before.join(after, "listing_id").select(
-        "listing_id", F.col("after").alias("prediction"), (F.col("before") == F.col("after")).alias("same")
-    )
+    reloaded = ModelBundle.load(spark, original.save(scratch_path(spark, "bundle")))
+    rows = raw(spark, sf_dir)
+    # Scoring parses its columns, so the raw values travel beside them.
+    once = predict_price_per_sqm(original, rows.withColumn("given", F.struct(*rows.columns)), keep=("given",))
+    once = once.select("given.*", F.col("prediction").alias("before"))
+    twice = predict_price_per_sqm(reloaded, once, keep=("listing_id", "before"))
+    return twice.select("listing_id", F.col("before").eqNullSafe(F.col("prediction")).alias("same"))
+
+
+# ---------------------------------------------------------------- hashed splits and samples
+
 
+def _md5_rule(key: str = "listing_id") -> str:
+    return f"substr(md5('42:' || CAST({key} AS VARCHAR)), 1, 8)"
 
-# ---------------------------------------------------------------- random splits and samples (rows-only)
 
+def _share(fraction: str) -> str:
+    return f"printf('%08x', CAST(floor({fraction} * 4294967296.0) AS BIGINT))"
 
-@register("random_split")
+
+@register(
+    "random_split",
+    sql.pipeline("clean")
+    + "\nSELECT listing_id, category, "
+    + sql.split_rule().replace("md5(CAST(listing_id AS VARCHAR))", "md5('42:' || CAST(listing_id AS VARCHAR))")
+    + " AS split FROM clean",
+)
 def q_random_split(spark, sf_dir):
     parts = random_split(cleaned(spark, sf_dir).select("listing_id", "category"))
     return union_splits(parts, column="split")
 
 
-@register("map_sample")
+@register(
+    "map_sample",
+    sql.pipeline("listings")
+    + ", points AS (SELECT listing_id, category, TRY_CAST(lat AS DOUBLE) AS lat, TRY_CAST(lon AS DOUBLE) AS lon FROM listings), "
+    "good AS (SELECT * FROM points WHERE lat IS NOT NULL AND lon IS NOT NULL), n AS (SELECT count(*) AS n FROM good)"
+    f"\nSELECT * FROM good WHERE (SELECT n FROM n) <= 5000 OR {_md5_rule()} < "
+    + _share("(5000.0E0 / (SELECT n FROM n))"),
+)
 def q_map_sample(spark, sf_dir):
     points = raw(spark, sf_dir).select(
-        "category", F.col("lat").try_cast("double").alias("lat"), F.col("lon").try_cast("double").alias("lon")
+        "listing_id", "category", F.col("lat").try_cast("double").alias("lat"), F.col("lon").try_cast("double").alias("lon")
     ).dropna(subset=["lat", "lon"])
     return map_sample(points, 5_000)
 
 
-@register("segment_sample")
+@register(
+    "segment_sample",
+    sql.pipeline("clean")
+    + "\nSELECT listing_id, category, area_value, price_egp FROM clean WHERE "
+    f"(category = 'buy' AND price_egp < 50000000 AND area_value < 1000 AND {_md5_rule()} < {_share('0.2E0')}) OR "
+    f"(category = 'rent' AND price_egp < 100000 AND area_value < 500 AND {_md5_rule()} < {_share('0.5E0')})",
+)
 def q_segment_sample(spark, sf_dir):
-    return segment_sample(cleaned(spark, sf_dir).select("listing_id", "category", "area_value", "price_egp"))
+    """A fifth of the buy rows and half of the rent rows, of those inside the chart's caps."""
+    price, area = F.col("price_egp"), F.col("area_value")
+    caps = {"buy": (price < 50_000_000) & (area < 1_000), "rent": (price < 100_000) & (area < 500)}
+    return segment_sample(cleaned(spark, sf_dir).select("listing_id", "category", "area_value", "price_egp"), caps=caps)

@@ -11,6 +11,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from aqarlens.catalog.queries import ORACLES, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -42,37 +43,25 @@ def test_entry_runs(spark):
     assert "avg_price_per_sqm" in out.columns
 
 
-def test_every_oracle_has_a_query():
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+def test_every_query_has_an_oracle():
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, sf_dir, duck, name):
-    df = entry.queries()[name](spark, sf_dir)
-    rel = duck.sql(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, sf_dir)
+    rel = duck.sql(ORACLES[name])
     assert sorted(df.columns) == sorted(rel.columns)
     assert _multiset(df.columns, [tuple(r) for r in df.collect()]) == _multiset(rel.columns, rel.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
-def test_rows_only_query_runs(spark, sf_dir, name):
-    rows = entry.queries()[name](spark, sf_dir).collect()
-    assert len(rows) > 0
-    if name in ("fit_linear", "fit_tree", "fit_forest", "fit_gbt"):
-        assert {r["split"] for r in rows} == {"train", "validation", "test"}
-    if name == "model_roundtrip_scores":
-        assert all(r["same"] for r in rows)
-    if name in ("tune_tvs", "tune_cv"):
-        assert sum(r["best"] for r in rows) >= 1
-    if name == "quantiles_approx":
-        # Greenwald–Khanna guarantee: the value's rank is within ε·n (+1) of q·n.
-        from aqarlens.catalog.queries import cleaned
-
-        frame = cleaned(spark, sf_dir)
-        for r in rows:
-            values = sorted(v[0] for v in frame.select(r["column"]).collect() if v[0] is not None)
-            n = len(values)
-            lo = sum(1 for v in values if v < r["value"])
-            hi = sum(1 for v in values if v <= r["value"])
-            target = r["probability"] * n
-            assert lo - 0.01 * n - 1 <= target <= hi + 0.01 * n + 1
+def test_correlations_are_sorted(spark, sf_dir):
+    values = [r["pearson_r"] for r in QUERIES["feature_correlations"](spark, sf_dir).collect()]
+    known = [v for v in values if v is not None]
+    assert known == sorted(known) and len(values) == 33
+
+
+def test_top_types_are_sorted(spark, sf_dir):
+    rows = [(-r["count"], r["property_type"]) for r in QUERIES["top_property_types"](spark, sf_dir).collect()]
+    assert rows == sorted(rows)
