@@ -142,7 +142,13 @@ def encoding(spark: SparkSession, sf_dir: str) -> TargetEncodingModel:
 
 
 def encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return apply_target_encoding(split_featured(spark, sf_dir), encoding(spark, sf_dir))
+    """Feature columns of every cleaned listing, staged: the model table and the summaries share them."""
+
+    def build():
+        rows = apply_target_encoding(split_featured(spark, sf_dir), encoding(spark, sf_dir))
+        return materialize(rows.select("listing_id", "category", "split", *FEATURES, TARGET))
+
+    return _memo(spark, sf_dir, "encoded", build)
 
 
 def model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
