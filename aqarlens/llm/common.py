@@ -80,30 +80,12 @@ def in_chunks(docs: DataFrame, chunks: int) -> DataFrame:
     return keyed.repartition(chunks, "chunk")
 
 
-def distinct_texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(keys, texts): (id, digest) of every row, and one row (id, digest, copies, text) per different text.
-
-    Null text counts as empty.  The row with the smallest id stands for its
-    text; rows that repeat it come with it.  Texts move in one shuffle hash
-    join on (id, digest), whose build side is narrow; copies of one text are
-    spread by their ids.
-    """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    rows = rows.withColumn("digest", F.unhex(F.sha2("text", 256)))
-    keys = stage(rows.select("id", "digest"), "text-keys")
-    first = keys.groupBy("digest").agg(F.min("id").alias("__id"), F.count("*").alias("copies"))
-    first = first.withColumnRenamed("digest", "__digest")
-    on = rows["id"].eqNullSafe(first["__id"]) & (rows["digest"] == first["__digest"])
-    texts = rows.join(first.hint("shuffle_hash"), on).select("id", "digest", "copies", "text")
-    return keys, texts
-
-
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of an undirected graph: (id, component), component the smallest id.
 
     ``edges`` has long columns ``a`` and ``b``.  Large-star and small-star
-    rounds alternate until the edges no longer change.  Each round joins the
-    edges with their nodes' smallest neighbours (a partially aggregated
+    rounds alternate until the edges are stars around roots.  Each round joins
+    the edges with their nodes' smallest neighbours (a partially aggregated
     minimum), so a node with very many edges is a skewed join key, which AQE
     splits, and never one group in a task.  Each round's edges are a stage
     table.  Nodes without edges are not returned.
@@ -111,20 +93,22 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     pairs = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
     pairs = pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     pairs = stage(pairs, name)
-    seen = None
-    while True:
+    while not _are_stars(pairs):
         # Large star: every larger neighbour of a node is moved to the node's smallest neighbour.
         both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         # Small star: a node and its smaller neighbours are moved to the smallest of these.
-        large = large.where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low)
         pairs = stage(small.where("a <> b").distinct(), name)
-        now = tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == seen or not now[0]:
-            break
-        seen = now
     roots = pairs.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     return pairs.select(F.col("a").alias("id"), F.col("b").alias("component")).union(roots)
+
+
+def _are_stars(pairs: DataFrame) -> bool:
+    """Whether each node on the larger side has one edge only and is on no smaller side."""
+    upper = pairs.select(F.col("a").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("low"))
+    lower = pairs.select(F.col("b").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("low"))
+    nodes = upper.union(lower).groupBy("x").agg(F.sum("up").alias("up"), F.max("low").alias("low"))
+    return nodes.where("up > 1 or (up = 1 and low = 1)").limit(1).count() == 0

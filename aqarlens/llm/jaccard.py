@@ -3,17 +3,19 @@
 Documents become sets of distinct word shingles (64-bit fingerprints).  Two
 documents link when ``100 * |x ∩ y| >= percent * |x ∪ y|``.
 
-1. Equal texts are collapsed to one representative by digest.
+1. Equal texts are collapsed to one representative by digest.  Texts move in
+   one shuffle, by chunk, which the steps share.
 2. Chunks of documents send their distinct shingles to shards, which answer
    with those that occur in two documents or more.  A shingle of one document
    cannot link anything, so only shared ones are kept, in order of rising
    document frequency.  A document whose prefix has no shared shingle is done.
 3. Documents with the same size and the same shared prefix form one group, and
    an inverted index holds groups, not documents.
-4. Stars: in every index entry each group is compared with the entry's first
-   group, in every group each member with the first one.  Verified links give
-   components; a large family of near copies is joined this way with a
-   number of comparisons in proportion to its members.
+4. Stars: in every index entry each group is compared with the entry's least
+   edited group, in every group each member with the first one.  Verified links
+   give components; a large family of near copies is joined this way with a
+   number of comparisons in proportion to its members.  Entries that stay open
+   get further stars around other sets while that shortens the next step.
 5. The rest: groups that share an index entry but lie in different components
    are paired, pairs that fail the size or position filter go, and all members
    of the others are compared.  Pairs within a component cannot change it.
@@ -30,35 +32,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aqarlens.llm import exchange, kernels
-from aqarlens.llm.common import chunk_count, components, distinct_texts, in_chunks, stage, text_bytes
-
-SHARED = "digest binary, id long, n long, unique_n long, shared array<long>, prefix array<long>"
-
-
-def _sets(table: pa.Table, size: int):
-    """(first row, end row, shingle, row number) of runs of rows; repeated rows give empty sets."""
-    seen, texts = set(), []
-    for key, text in zip(
-        zip(table.column("id").to_pylist(), table.column("digest").to_pylist(), strict=True),
-        table.column("text").to_pylist(),
-        strict=True,
-    ):
-        texts.append("" if key in seen else text)
-        seen.add(key)
-    for first, last, data, ends in kernels.batches(texts):
+from aqarlens.llm.common import chunk_count, components, stage, text_bytes
+from aqarlens.llm.exchange import distinct_texts, pick
+
+#: Further stars around each open index entry, in each round.
+STARS = 3
+
+SHARED = "digest binary, id long, n long, unique_n long, reach int, shared array<long>"
+
+
+def _sets(texts: pa.Table, size: int):
+    """(first row, end row, shingle, row number) of runs of rows."""
+    for first, last, data, ends in kernels.batches(texts.column("text").to_pylist()):
         hashes, doc = kernels.words(data, ends)
-        value, owner = kernels.shingles(hashes, doc, last - first, size)
-        yield first, last, value, owner
+        yield first, last, *kernels.shingles(hashes, doc, last - first, size)
 
 
-def shared_shingles(texts: DataFrame, chunks: int, percent: int = 80, size: int = 5) -> DataFrame:
-    """Per different text: set size, shared shingles by rising frequency, and those in the prefix."""
-    dealt = in_chunks(texts.select("id", "digest", "text"), chunks)
+def shared_shingles(
+    dealt: DataFrame, chosen: DataFrame, chunks: int, width: int = 8, percent: int = 80, size: int = 5
+) -> DataFrame:
+    """Per different text: set size, shared shingles by rising frequency, and how many begin its prefix.
+
+    Shingles travel to shards by their first ``width`` bytes; two that agree
+    in these pass for shared, which costs comparisons and no link.
+    """
 
-    def send(table: pa.Table) -> pa.Table:
-        parts = [value for _, _, value, _ in _sets(table, size)]
+    def send(rows: pa.Table, side: pa.Table) -> pa.Table:
+        number = side.column("chunk")[0].as_py() if side.num_rows else -1
+        parts = [exchange.shorten(value, width) for _, _, value, _ in _sets(pick(rows, side)[0], size)]
+        if not parts:
+            return exchange.EMPTY
         keys, counts = np.unique(np.concatenate(parts), return_counts=True)
-        return exchange.pack(table.column("chunk")[0].as_py(), keys, np.minimum(counts, 65535).astype(np.uint16), chunks)
+        return exchange.pack(number, keys, np.minimum(counts, 65535).astype(np.uint16), chunks, width)
 
     def answer(chunk, keys, counts):
         _, inverse = np.unique(keys, return_inverse=True)
@@ -66,43 +71,44 @@ def shared_shingles(texts: DataFrame, chunks: int, percent: int = 80, size: int
         common = total > 1
         return chunk[common], keys[common], total[common].astype(np.uint32)
 
-    def order(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        known, frequency = exchange.answers_of(answers, np.uint32)
-        n, unique_n, shared, prefix = [], [], [], []
-        for first, last, value, owner in _sets(rows, size) if rows.num_rows else ():
-            hit, at = exchange.find(known, value)
+    def order(rows: pa.Table, side: pa.Table) -> pa.Table:
+        texts, answers = pick(rows, side)
+        known, frequency = exchange.answers_of(answers, np.uint32, width)
+        n, unique_n, reach, shared = [], [], [], []
+        for first, last, value, owner in _sets(texts, size):
+            hit, at = exchange.find(known, exchange.shorten(value, width))
             sizes = np.bincount(owner, minlength=last - first)
             value, owner, rank = value[hit], owner[hit], frequency[at[hit]]
             by = np.lexsort((value, rank, owner))
             value = value[by].view(np.int64)
             kept = np.bincount(owner, minlength=last - first)
             end = np.cumsum(kept)
-            longest = sizes - -(-percent * sizes // 100) + 1
-            for k in range(last - first):
-                own = value[end[k] - kept[k] : end[k]]
-                reach = max(0, int(longest[k] - (sizes[k] - kept[k]))) if sizes[k] else 0
-                n.append(int(sizes[k]))
-                unique_n.append(int(sizes[k] - kept[k]))
-                # Sets without a shared shingle in their prefix can't link: nothing of them is sent on.
-                shared.append(own if reach and len(own) else own[:0])
-                prefix.append(own[:reach])
-        lists = [
-            pa.ListArray.from_arrays(
-                pa.array(np.cumsum([0, *map(len, x)], dtype=np.int32)),
-                pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()),
-            )
-            for x in (shared, prefix)
-        ]
-        digest = rows.column("digest") if rows.num_rows else pa.array([], pa.binary())
-        ids = rows.column("id") if rows.num_rows else pa.array([], pa.int64())
-        names = ("digest", "id", "n", "unique_n", "shared", "prefix")
-        columns = (digest, ids, pa.array(n, pa.int64()), pa.array(unique_n, pa.int64()), *lists)
-        return pa.table(dict(zip(names, columns, strict=True)))
-
-    packed = dealt.groupBy("chunk").applyInArrow(send, exchange.PACKED)
-    answers = exchange.merged(packed, chunks, np.uint16, answer)
-    joined = dealt.groupBy("chunk").cogroup(answers.repartition(chunks, "chunk").groupBy("chunk"))
-    return joined.applyInArrow(order, SHARED)
+            alone = sizes - kept
+            begin = np.clip(np.where(sizes > 0, sizes - -(-percent * sizes // 100) + 1 - alone, 0), 0, kept)
+            n.append(sizes)
+            unique_n.append(alone)
+            reach.append(begin)
+            # Sets without a shared shingle in their prefix can't link: nothing of them is sent on.
+            shared += [value[end[k] - kept[k] : end[k]] if begin[k] else value[:0] for k in range(last - first)]
+        flat = pa.array(np.concatenate(shared) if shared else np.zeros(0, np.int64), pa.int64())
+        ends = pa.array(np.cumsum([0, *map(len, shared)], dtype=np.int32))
+        n, unique_n, reach = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (n, unique_n, reach))
+        return pa.table(
+            {
+                "digest": texts.column("digest"),
+                "id": texts.column("id"),
+                "n": pa.array(n, pa.int64()),
+                "unique_n": pa.array(unique_n, pa.int64()),
+                "reach": pa.array(reach.astype(np.int32)),
+                "shared": pa.ListArray.from_arrays(ends, flat),
+            }
+        )
+
+    by_chunk = dealt.groupBy("chunk")
+    packed = by_chunk.cogroup(chosen.groupBy("chunk")).applyInArrow(send, exchange.PACKED)
+    answers = exchange.merged(packed, chunks, np.uint16, answer, width)
+    side = chosen.union(answers).repartition(chunks, "chunk").groupBy("chunk")
+    return by_chunk.cogroup(side).applyInArrow(order, SHARED)
 
 
 def _similar_sizes(a: str, b: str, percent: int) -> Column:
@@ -119,18 +125,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def similar_components(texts: DataFrame, percent: int = 80) -> DataFrame:
     """(id, component) of the texts of ``shared_shingles`` that link with another."""
-    sets = stage(texts.where("id is not null and size(prefix) > 0").drop("digest"), "shingle-sets")
+    sets = texts.where("id is not null and reach > 0")
     # A group: one size, one prefix. Its first member stands for it in the index.
-    groups = sets.groupBy("n", "unique_n", "prefix").agg(F.min("id").alias("unit"))
-    members = stage(sets.select("id", "n", "unique_n", "prefix").join(groups, ["n", "unique_n", "prefix"]), "groups")
-    band = F.floor(F.log("n") / np.log(100 / percent)).cast("int")
-    index = members.where("id = unit").select(
-        "unit", "n", band.alias("band"), F.posexplode("prefix").alias("at", "token"), "unique_n"
-    )
-    index = index.select("token", "band", "unit", "n", (F.col("n") - F.col("unique_n") - F.col("at")).alias("left"))
+    prefixes = sets.select("id", "n", "unique_n", F.slice("shared", F.lit(1), F.col("reach")).alias("prefix"))
+    groups = prefixes.groupBy("n", "unique_n", "prefix").agg(F.min("id").alias("unit"))
+    members = stage(prefixes.join(groups, ["n", "unique_n", "prefix"]), "groups")
 
-    # Stars within groups, and within each index entry's size band.
-    first = index.groupBy("token", "band").agg(F.min(F.struct("unit", "n", "left")).alias("f"), F.count("*").alias("c"))
+    # Stars within groups, and within each index entry's size band around its least edited set.
+    index = _index(members, percent)
+    first = index.groupBy("token", "band").agg(F.min(F.struct("unique_n", "unit", "n", "left")).alias("f"), F.count("*").alias("c"))
     star = index.join(first.where("c > 1"), ["token", "band"]).where("unit <> f.unit")
     star = star.where(_position("n", "left", "f.n", "f.left", percent))
     star = star.select(F.col("unit").alias("a"), F.col("f.unit").alias("b"))
@@ -141,20 +144,21 @@ def similar_components(texts: DataFrame, percent: int = 80) -> DataFrame:
     loose = inner.join(links, ["a", "b"], "left_anti").select(F.col("a").alias("id"))
     own = members.join(loose.withColumn("alone", F.lit(True)), "id", "left")
     own = own.withColumn("unit", F.when(F.col("alone"), F.col("id")).otherwise(F.col("unit"))).drop("alone")
-    parts = components(links, "star-components")
-    own = stage(
-        own.join(parts, "id", "left").withColumn("part", F.coalesce("component", "id")).drop("component"), "units"
-    )
-    rows = own.where("id = unit").select(
-        "unit", "part", "n", band.alias("band"), F.posexplode("prefix").alias("at", "token"), "unique_n"
-    )
-    rows = rows.select("token", "band", "unit", "part", "n", (F.col("n") - F.col("unique_n") - F.col("at")).alias("left"))
+    own = stage(own, "units")
+    index = _index(own, percent)
+    parts, before, round_ = components(links, "star-components"), None, 0
+    while True:
+        rows = stage(_open_entries(index, parts), "open-entries")
+        sizes = rows.groupBy("token", "band").agg(F.count_if(F.col("part") != F.col("major")).alias("m"), F.count("*").alias("c"))
+        entries, pairs = sizes.agg(F.sum("c"), F.sum(F.expr("m * c"))).first()
+        # More stars as long as pairing what is open costs much more than they do, and they help.
+        if not entries or pairs <= 4 * entries or (before is not None and pairs > 0.75 * before):
+            break
+        before, round_ = pairs, round_ + 1
+        more = stage(_verified(_star_pairs(rows, round_, percent), sets, percent), "more-links")
+        links = links.union(more)
+        parts = components(links, "star-components")
     # Entries with several components: all units outside the largest one against all units.
-    shares = rows.groupBy("token", "part").count()
-    open_ = shares.groupBy("token").agg(
-        F.max(F.struct("count", "part")).getField("part").alias("major"), F.count("*").alias("parts")
-    )
-    rows = rows.join(open_.where("parts > 1").drop("parts"), "token")
     minor = rows.where("part <> major").select(
         "token",
         F.explode(F.array(*(F.col("band") + k for k in (-1, 0, 1)))).alias("band"),
@@ -173,6 +177,52 @@ def similar_components(texts: DataFrame, percent: int = 80) -> DataFrame:
     return components(links.union(late))
 
 
+def _index(members: DataFrame, percent: int) -> DataFrame:
+    """(token, band, unit, n, unique_n, left): a row per unit and shingle of its shared prefix.
+
+    Sets of one link lie in one size band or in adjoining ones.
+    """
+    band = F.floor(F.log("n") / np.log(100 / percent)).cast("int")
+    rows = members.where("id = unit").select("unit", "n", "unique_n", band.alias("band"), F.posexplode("prefix").alias("at", "token"))
+    left = F.col("n") - F.col("unique_n") - F.col("at")
+    return rows.select("token", "band", "unit", "n", "unique_n", left.alias("left"))
+
+
+def _open_entries(index: DataFrame, parts: DataFrame) -> DataFrame:
+    """The rows of entries that hold several components, with ``part`` and the entry's largest, ``major``."""
+    rows = index.join(parts.withColumnRenamed("id", "unit"), "unit", "left")
+    rows = rows.withColumn("part", F.coalesce("component", "unit")).drop("component")
+    shares = rows.groupBy("token", "part").count()
+    several = shares.groupBy("token").agg(
+        F.max(F.struct("count", "part")).getField("part").alias("major"), F.count("*").alias("parts")
+    )
+    return rows.join(several.where("parts > 1").drop("parts"), "token")
+
+
+def _star_pairs(rows: DataFrame, round_: int, percent: int) -> DataFrame:
+    """Open units with a few others of their entry.
+
+    Units outside the entry's largest component meet its least edited one and
+    ``STARS`` more inside it, wherever the entry stands in their prefixes, and
+    every unit meets the least edited one outside.
+    """
+
+    def centre(order, inside):
+        named = F.struct(order.alias("o"), F.col("unit").alias("u"), F.col("part").alias("p"), F.col("n").alias("m"), F.col("left").alias("l"))
+        return F.min(F.when((F.col("part") == F.col("major")) == inside, named))
+
+    chance = [centre(F.xxhash64(F.lit(f"{round_}/{k}"), F.col("unit")), True) for k in range(STARS)]
+    centres = rows.groupBy("token", "band").agg(
+        F.array_compact(F.array(centre(F.col("unique_n"), True), *chance)).alias("inside"),
+        centre(F.col("unique_n"), False).alias("c"),
+    )
+    inner = rows.where("part <> major").join(centres.select("token", "band", F.inline("inside")), ["token", "band"])
+    outer = rows.join(centres.select("token", "band", "c.*"), ["token", "band"])
+    outer = outer.where("part <> p").where(_position("n", "left", "m", "l", percent))
+    pairs = inner.where(_similar_sizes("n", "m", percent)).unionByName(outer)
+    return pairs.select(F.col("unit").alias("a"), F.col("u").alias("b")).distinct()
+
+
 def _position(n: str, left: str, m: str, m_left: str, percent: int) -> Column:
     """Sizes agree, and the shared shingles from this one on can still make a link.
 
@@ -195,15 +245,16 @@ def near_duplicates(
     columns, whatever their names, are not read.  An empty table gives an
     empty result.
     """
-    keys, texts = distinct_texts(docs, id_col, text_col)
-    sets = stage(shared_shingles(texts, chunk_count(text_bytes(docs, text_col)), percent, size), "shingles")
+    total = text_bytes(docs, text_col)
+    chunks = chunk_count(total)
+    keys, dealt, chosen = distinct_texts(docs, id_col, text_col, chunks)
+    sets = stage(shared_shingles(dealt, chosen, chunks, exchange.key_bytes(total), percent, size), "shingles")
     parts = similar_components(sets, percent)
     # Equal texts link with each other unless they are empty.
     first = sets.where("id is not null").join(parts, "id", "left")
     first = first.select("digest", "n", F.coalesce("component", "id").alias("component")).unionByName(
         sets.where("id is null").select("digest", "n", F.lit(None).cast("long").alias("component"))
     )
-    first = first.groupBy("digest").agg(F.max("n").alias("n"), F.min("component").alias("component"))
     own = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component"))
     return keys.join(first, "digest", "left").select(
         F.col("id").alias(id_col),

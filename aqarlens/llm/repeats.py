@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aqarlens.llm import exchange, kernels
-from aqarlens.llm.common import chunk_count, distinct_texts, in_chunks, stage, text_bytes
+from aqarlens.llm.common import chunk_count, stage, text_bytes
+from aqarlens.llm.exchange import distinct_texts, pick
 from aqarlens.llm.suffix_groups import suffix_array
 
 U64 = np.uint64
@@ -179,16 +180,19 @@ def _anchored(table: pa.Table, length: int):
         yield first, last, data, ends, prefix, anchor, low, high, key
 
 
-def repeated_spans(texts: DataFrame, chunks: int, length: int = 200, hot: int = HOT) -> DataFrame:
-    """Per row of ``texts`` (id, digest, copies, text): its byte spans to remove, and the bytes kept."""
+def repeated_spans(
+    dealt: DataFrame, chosen: DataFrame, chunks: int, length: int = 200, hot: int = HOT
+) -> DataFrame:
+    """Per different text of ``distinct_texts``: its byte spans to remove, and the bytes kept."""
     context, masks = context_type(length), mask_type(length)
-    dealt = in_chunks(texts, chunks)
 
-    def send_keys(table: pa.Table) -> pa.Table:
-        found = [key for *_, key in _anchored(table, length)]
+    def send_keys(rows: pa.Table, side: pa.Table) -> pa.Table:
+        found = [key for *_, key in _anchored(pick(rows, side)[0], length)]
+        if not found:
+            return exchange.EMPTY
         keys, counts = np.unique(np.concatenate(found), return_counts=True)
         counts = np.minimum(counts, 65535).astype(np.uint16)
-        return exchange.pack(table.column("chunk")[0].as_py(), keys, counts, chunks)
+        return exchange.pack(side.column("chunk")[0].as_py(), keys, counts, chunks)
 
     def repeated_keys(chunk, keys, counts):
         _, inverse = np.unique(keys, return_inverse=True)
@@ -196,10 +200,11 @@ def repeated_spans(texts: DataFrame, chunks: int, length: int = 200, hot: int =
         several = total > 1
         return chunk[several], keys[several], np.where(total[several] > hot, 2, 1).astype(np.uint8)
 
-    def send_contexts(rows: pa.Table, answers: pa.Table) -> pa.Table:
+    def send_contexts(rows: pa.Table, side: pa.Table) -> pa.Table:
+        texts, answers = pick(rows, side)
         known, kind = exchange.answers_of(answers, np.uint8)
         cold, single = [], []
-        for _, _, data, _, prefix, anchor, low, high, key in _anchored(rows, length) if rows.num_rows else ():
+        for _, _, data, _, prefix, anchor, low, high, key in _anchored(texts, length):
             hit, at = exchange.find(known, key)
             many = hit.copy()
             many[hit] = kind[at[hit]] == 2
@@ -220,7 +225,7 @@ def repeated_spans(texts: DataFrame, chunks: int, length: int = 200, hot: int =
             record["check"], record["anchor"], record["n"] = check, np.repeat(key[many], count), 1
             single.append((whole, record))
         parts = []
-        number = rows.column("chunk")[0].as_py() if rows.num_rows else -1
+        number = side.column("chunk")[0].as_py() if side.num_rows else -1
         for found, field, base in ((cold, "ctx", 0), (single, "check", chunks)):
             if not found:
                 continue
@@ -263,7 +268,8 @@ def repeated_spans(texts: DataFrame, chunks: int, length: int = 200, hot: int =
         total = np.add.reduceat(record["n"].astype(np.int64), np.flatnonzero(new))[np.cumsum(new) - 1]
         return exchange.by_chunk(chunk[total > 1], keys[total > 1], record[total > 1], shard)
 
-    def remove(rows: pa.Table, answers: pa.Table) -> pa.Table:
+    def remove(rows: pa.Table, side: pa.Table) -> pa.Table:
+        texts, answers = pick(rows, side)
         kind = answers.column("shard").to_numpy() < chunks
         known, found = exchange.answers_of(answers.filter(pa.array(kind)), masks)
         twin, single = exchange.answers_of(answers.filter(pa.array(~kind)), WINDOW)
@@ -274,8 +280,8 @@ def repeated_spans(texts: DataFrame, chunks: int, length: int = 200, hot: int =
         hot_anchors = np.unique(single["anchor"])
         pair = np.sort(kernels.mix(twin + kernels.mix(single["check"])))
         columns = {"id": [], "digest": [], "n_bytes": [], "spans": [], "kept": []}
-        copies = rows.column("copies").to_pylist() if rows.num_rows else []
-        for first, last, data, ends, prefix, anchor, low, high, key in _anchored(rows, length) if rows.num_rows else ():
+        copies = texts.column("copies").to_pylist()
+        for first, last, data, ends, prefix, anchor, low, high, key in _anchored(texts, length):
             ctx = _context_hash(prefix, anchor, low, high, length)
             hit, at = exchange.find(joint, kernels.mix(key + kernels.mix(ctx)))
             run, distance = np.nonzero(bits[at[hit], : length // 2 + 1]) if hit.any() else (np.zeros(0, int),) * 2
@@ -298,20 +304,23 @@ def repeated_spans(texts: DataFrame, chunks: int, length: int = 200, hot: int =
                 columns["n_bytes"].append(end - begin)
                 columns["spans"].append([{"start": int(a), "end": int(b)} for a, b in edge.reshape(-1, 2)])
                 columns["kept"].append(data[begin:end][~gone].tobytes())
-        columns["id"] = rows.column("id") if rows.num_rows else []
-        columns["digest"] = rows.column("digest") if rows.num_rows else []
+        columns["id"], columns["digest"] = texts.column("id"), texts.column("digest")
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         types = (pa.int64(), pa.binary(), pa.int64(), span, pa.binary())
         return pa.table(
             {n: c if isinstance(c, pa.ChunkedArray) else pa.array(c, t) for (n, c), t in zip(columns.items(), types, strict=True)}
         )
 
-    packed = dealt.groupBy("chunk").applyInArrow(send_keys, exchange.PACKED)
-    repeated = exchange.merged(packed, chunks, np.uint16, repeated_keys).repartition(chunks, "chunk")
-    contexts = dealt.groupBy("chunk").cogroup(repeated.groupBy("chunk")).applyInArrow(send_contexts, exchange.PACKED)
+    by_chunk = dealt.groupBy("chunk")
+
+    def side(answers: DataFrame):
+        return chosen.union(answers).repartition(chunks, "chunk").groupBy("chunk")
+
+    packed = by_chunk.cogroup(chosen.groupBy("chunk")).applyInArrow(send_keys, exchange.PACKED)
+    repeated = exchange.merged(packed, chunks, np.uint16, repeated_keys)
+    contexts = by_chunk.cogroup(side(repeated)).applyInArrow(send_contexts, exchange.PACKED)
     shards = contexts.repartition(2 * chunks, "shard").groupBy("shard").applyInArrow(find_repeats, exchange.PACKED)
-    answers = shards.repartition(chunks, "chunk").groupBy("chunk")
-    return dealt.groupBy("chunk").cogroup(answers).applyInArrow(remove, RESULT)
+    return by_chunk.cogroup(side(shards)).applyInArrow(remove, RESULT)
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200) -> DataFrame:
@@ -324,13 +333,13 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     empty table gives an empty result.
     """
     keys, found = _found(docs, id_col, text_col, length)
-    found = found.drop("id").dropDuplicates(["digest"])
-    return keys.join(found, "digest").drop("digest").withColumnRenamed("id", id_col)
+    return keys.join(found.drop("id"), "digest").drop("digest").withColumnRenamed("id", id_col)
 
 
 def _found(docs: DataFrame, id_col: str, text_col: str, length: int) -> tuple[DataFrame, DataFrame]:
-    keys, texts = distinct_texts(docs, id_col, text_col)
-    return keys, repeated_spans(texts, chunk_count(text_bytes(docs, text_col)), length)
+    chunks = chunk_count(text_bytes(docs, text_col))
+    keys, dealt, chosen = distinct_texts(docs, id_col, text_col, chunks)
+    return keys, repeated_spans(dealt, chosen, chunks, length)
 
 
 def op2_suffix_dedup(spark, sf_dir):
@@ -344,5 +353,5 @@ def op2_suffix_dedup(spark, sf_dir):
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
-    found = stage(found, "repeats").dropDuplicates(["digest"])
+    found = stage(found, "repeats")
     return keys.withColumnRenamed("id", "doc_id").join(found, "digest").drop("digest")
