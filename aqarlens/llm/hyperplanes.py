@@ -42,7 +42,7 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def signatures(rows: DataFrame, tables: int, bits: int, seed: int) -> DataFrame:
-    """(id, vector, size, signature array<int>) of vectors; one plane set per number of dimensions."""
+    """(id, vector, copies, signature array<int>) of vectors, scaled to length one; planes by dimensions."""
 
     def run(batches):
         planes: dict[int, np.ndarray] = {}
@@ -53,12 +53,17 @@ def signatures(rows: DataFrame, tables: int, bits: int, seed: int) -> DataFrame:
                 part = batch.filter(pa.array(size == width))
                 if width not in planes:
                     planes[width] = hyperplanes(int(width), tables, bits, seed)
-                signs = (_matrix(part.column(1)) @ planes[width] > 0).reshape(part.num_rows, tables, bits) @ weights
+                vectors = _matrix(part.column(1))
+                # Scaled by the largest component first: squares neither overflow nor vanish.
+                vectors = vectors / np.abs(vectors).max(1, keepdims=True)
+                vectors /= np.sqrt((vectors * vectors).sum(1, keepdims=True))
+                signs = (vectors @ planes[width] > 0).reshape(part.num_rows, tables, bits) @ weights
                 flat = pa.array(signs.reshape(-1).astype(np.int32))
                 ends = pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * tables)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.ListArray.from_arrays(ends, flat)], names=["id", "vector", "copies", "signature"]
-                )
+                unit = pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * int(width))
+                unit = pa.ListArray.from_arrays(unit, pa.array(vectors.reshape(-1)))
+                columns = [part.column(0), unit, part.column(2), pa.ListArray.from_arrays(ends, flat)]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "vector", "copies", "signature"])
 
     return rows.mapInArrow(run, "id long, vector array<double>, copies long, signature array<int>")
 
@@ -90,7 +95,8 @@ def _block_links(group: pa.Table, threshold: float) -> pa.Table:
     same = group.column("low")[0].as_py() == group.column("high")[0].as_py()
     rows = np.flatnonzero(left)
     cols = rows if same else np.flatnonzero(~left)
-    found_a, found_b = [], []
+    # A block may hold no row of the bucket.
+    found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for at in range(0, len(rows), 256):
         r = rows[at : at + 256]
         near = unit[r] @ unit[cols].T >= threshold
@@ -164,11 +170,8 @@ def near_duplicates(
     same = F.transform("vector", lambda x: x + F.lit(0.0))
     good = rows.where("usable").select("id", same.alias("vector"))
     first = good.groupBy("vector").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
-    scaled = F.transform("vector", lambda x: x / F.array_max(F.transform("vector", F.abs)))
-    length = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda s, x: s + x * x))
-    unit = F.transform(scaled, lambda x: x / length)
-    first = stage(first.withColumn("unit", unit), "distinct-vectors")
-    found = stage(links(first.select("id", "unit", "copies"), threshold, tables, bits, block), "vector-links")
+    first = stage(first, "distinct-vectors")
+    found = stage(links(first.select("id", "vector", "copies"), threshold, tables, bits, block), "vector-links")
     counts = found.where("other is null").groupBy("id").agg(F.sum("n").alias("found"))
     parts = components(found.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")))
     per = first.select("id", "vector", "copies").join(counts, "id", "left").join(parts, "id", "left")
