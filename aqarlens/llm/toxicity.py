@@ -12,7 +12,7 @@
    leave the matches.
 4. A match inside quotation marks or next to words of reporting counts as
    quoted, others as abuse; both are summed over the document.
-5. A logistic regression on these sums, fitted on at most ``FIT_ROWS`` labelled
+5. A logistic regression on these sums, fitted on about ``FIT_ROWS`` labelled
    training rows, gives the score.
 
 Scores come from texts alone; no label, language, source or id enters them.
@@ -162,6 +162,13 @@ def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) ->
     return rows.select("text", F.col("toxic").cast("int").alias("toxic"), F.xxhash64(F.lit(7), "id").alias("h"))
 
 
+def _sampled(rows: DataFrame, total: int, wanted: int) -> DataFrame:
+    """About ``wanted`` of ``total`` rows, by their chance number; rows stay where they are."""
+    if total <= wanted:
+        return rows
+    return rows.where(F.pmod("h", F.lit(1_000_003)) < int(1_000_003 * wanted / total))
+
+
 def held_out_of(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
@@ -228,7 +235,7 @@ def learn_lexicon(train: DataFrame, fit_rows: int = FIT_ROWS, candidates: int =
         surprise = total * (rate * math.log(rate / share) + ((1 - rate) * math.log((1 - rate) / (1 - share)) if rate < 1 else 0))
         if surprise > needed:
             good.append(term)
-    support = _families(train, set(good), fit_rows)
+    support = _families(_sampled(train.where("toxic = 1"), toxic, fit_rows), set(good))
     least = math.ceil(needed / -math.log(share))
     reach = {term: n for term, n in support.items() if n >= least}
     kept = []
@@ -245,8 +252,8 @@ def learn_lexicon(train: DataFrame, fit_rows: int = FIT_ROWS, candidates: int =
 SKETCH = 8
 
 
-def _families(train: DataFrame, terms: set[str], fit_rows: int) -> dict[str, int]:
-    """Of at most ``fit_rows`` sampled toxic rows, the number of families of near copies with each term.
+def _families(train: DataFrame, terms: set[str]) -> dict[str, int]:
+    """The number of families of near copies with each term, among sampled toxic rows.
 
     Texts that share one of ``SKETCH`` smallest hashes of their word triples
     are one family: a toxic text's other words, repeated by its copies, are no
@@ -269,8 +276,8 @@ def _families(train: DataFrame, terms: set[str], fit_rows: int) -> dict[str, int
             arrays = [pa.array(found, pa.list_(pa.string())), pa.array(sketches, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(arrays, names=["terms", "sketch"])
 
-    sample = train.where("toxic = 1").orderBy("h").limit(fit_rows).select("text").distinct()
-    rows = [(r["terms"], r["sketch"]) for r in sample.mapInArrow(run, "terms array<string>, sketch array<long>").toLocalIterator()]
+    found = train.select("text").distinct().mapInArrow(run, "terms array<string>, sketch array<long>")
+    rows = [(r["terms"], r["sketch"]) for r in found.toLocalIterator()]
     root = list(range(len(rows)))
 
     def top(x):
@@ -314,7 +321,11 @@ def quoted(words: list[str], at: int, window: int = WINDOW) -> bool:
 
 
 def text_features(text: str, trie: FuzzyTrie, memo: dict[str, int], ordinary: frozenset[str]) -> list[float]:
-    """log1p of exact abuse, misspelt abuse and quoted matches, and abuse per word."""
+    """log1p of the weighed matches, of the misspelt and of the quoted ones, and abuse per word.
+
+    A misspelt match weighs a third of an exact one, a quoted match a quarter;
+    the other features let the training rows correct that.
+    """
     found = _hits(text, trie, memo, ordinary)
     if not found:
         return [0.0, 0.0, 0.0, 0.0]
@@ -327,7 +338,8 @@ def text_features(text: str, trie: FuzzyTrie, memo: dict[str, int], ordinary: fr
             exact += 1
         else:
             fuzzy += 1
-    return [math.log1p(exact), math.log1p(fuzzy), math.log1p(quotes), (exact + fuzzy) / len(words)]
+    weighed = exact + fuzzy / 3 + quotes / 4
+    return [math.log1p(weighed), math.log1p(fuzzy), math.log1p(quotes), (exact + fuzzy) / len(words)]
 
 
 def _ordinary(train: DataFrame, model) -> frozenset[str]:
@@ -392,8 +404,7 @@ def score_toxicity(
     ordinary = spark.sparkContext.broadcast(_ordinary(train, model) if lexicon else frozenset())
     weights = None
     if lexicon:
-        sample = train.orderBy("h").limit(fit_rows)
-        rows = _features(sample, model, ordinary, "toxic").toLocalIterator()
+        rows = _features(_sampled(train, train.count(), fit_rows), model, ordinary, "toxic").toLocalIterator()
         y, x = zip(*((r["toxic"], r["features"]) for r in rows), strict=True)
         weights = fit_logistic(np.array(x), np.array(y, float))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
