@@ -112,7 +112,9 @@ def mix_sources(
     over its source, and one more if its place in the last permutation comes
     before the budget is met (the document that crosses it is taken).  A
     document without tokens is taken in whole passes only, once at least if
-    the source gives anything.  Null sources are a source of their own.  Rows
+    the source gives anything.  With ``keep_all`` every document is taken once
+    at least, also where its source has no token.  Null sources are a source of
+    their own.  Rows
     that repeat an id and its token count share a place.  Other columns are not
     read.  An empty table gives an empty result.
     """
@@ -142,7 +144,7 @@ def mix_sources(
         "tokens",
         "weight",
         "budget",
-        (whole + (F.col("taken") & (F.col("tokens") > 0)).cast("long")).alias("copies"),
+        F.greatest(whole + (F.col("taken") & (F.col("tokens") > 0)).cast("long"), F.lit(int(keep_all))).alias("copies"),
     )
 
 

@@ -8,7 +8,7 @@ import tiktoken
 from aqarlens.llm.bpe import read_ranks
 from aqarlens.llm.common import components, stage
 
-from conftest import SCHEMA, edge_rows
+from conftest import SCHEMA, edge_rows, prose
 
 
 def _write(spark, folder, rows, marks):
@@ -18,7 +18,7 @@ def _write(spark, folder, rows, marks):
 
 def test_stages_keep_columns_and_clean_rows(spark, tmp_path):
     folder = str(tmp_path)
-    rows = edge_rows() + [(1000 + k, f"vermin number {k} and more words {k * 7}", "en", "t") for k in range(40)]
+    rows = edge_rows() + [(1000 + k, f"{prose(700 + k, 12)} vermin {prose(800 + k, 9)}", "en", "t") for k in range(40)]
     rows += [(2000 + k, f"clean sentence {k} about {k * 13} quiet things", "en", "c") for k in range(80)]
     marks = [(r[0], 1, int(r[0] is not None and 1000 <= r[0] < 2000)) for r in rows if r[0] is not None]
     _write(spark, folder, rows, marks)
