@@ -26,6 +26,8 @@ from aqarlens.llm.common import stage
 #: Blocks of a permutation, and of each block within it (a power of two).
 BLOCK_BITS = 8
 BLOCKS = 1 << BLOCK_BITS
+#: Bits of a place; a shift by so many gives 0, the path of the first level.
+PLACE_BITS = 63
 BROADCAST_ROWS = 10_000
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -135,7 +137,8 @@ def mix_sources(
     plan, known = docs.sparkSession.createDataFrame(plan, schema).withColumnRenamed("source", "__source"), len(plan)
     placed = rows.join(_small(plan, known), rows["source"].eqNullSafe(plan["__source"])).drop("__source")
     order = F.xxhash64(F.lit(seed), F.col("passes"), F.col("source"), F.col("id"), F.col("tokens"))
-    placed = placed.withColumn("place", order)
+    # 63 bits: a place is its own unsigned value at every level.
+    placed = placed.withColumn("place", F.shiftrightunsigned(order, 1))
     placed = _taken(placed)
     whole = F.when((F.col("tokens") == 0) & (F.col("budget") > 0), F.greatest("passes", F.lit(1))).otherwise(F.col("passes"))
     return placed.select(
@@ -160,10 +163,11 @@ def _taken(placed: DataFrame) -> DataFrame:
     cuts = [(r["source"], 0, r["rest"], 2) for r in rests.toLocalIterator()]
     schema, bits = "__s string, path long, left long, n long", 0
     cut = spark.createDataFrame(cuts, schema)
-    while bits + BLOCK_BITS <= 64 and any(n > 1 for *_, n in cuts):
+    while bits < PLACE_BITS and any(n > 1 for *_, n in cuts):
         # Blocks of this level within the block in which each source's budget ends.
-        block = F.shiftrightunsigned("place", 64 - bits - BLOCK_BITS)
-        inside = F.shiftrightunsigned("place", 64 - bits) == F.col("path") if bits else F.lit(True)
+        finer = min(bits + BLOCK_BITS, PLACE_BITS)
+        block = F.shiftright("place", PLACE_BITS - finer)
+        inside = F.shiftright("place", PLACE_BITS - bits) == F.col("path")
         sums = placed.join(_small(cut, len(cuts)), placed["source"].eqNullSafe(F.col("__s")) & inside)
         sums = sums.groupBy("__s", block.alias("block")).agg(
             F.sum("tokens").alias("t"), F.first("left").alias("left"), F.count("*").alias("n")
@@ -174,10 +178,10 @@ def _taken(placed: DataFrame) -> DataFrame:
         last = sums.where("left > 0").groupBy("__s").agg(F.max(F.struct("block", "left", "n")).alias("m"))
         cuts = [(r["__s"], r["m"]["block"], r["m"]["left"], r["m"]["n"]) for r in last.toLocalIterator()]
         cut = spark.createDataFrame(cuts, schema)
-        bits += BLOCK_BITS
+        bits = finer
     # Documents that share all bits of their place are taken together.
     joined = placed.join(_small(cut, len(cuts)), placed["source"].eqNullSafe(F.col("__s")), "left")
-    place = F.shiftrightunsigned("place", 64 - bits) if bits else F.lit(0).cast("long")
+    place = F.shiftright("place", PLACE_BITS - bits)
     return joined.withColumn("taken", F.coalesce(place <= F.col("path"), F.lit(False)))
 
 

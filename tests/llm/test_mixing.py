@@ -75,3 +75,27 @@ def test_empty_and_without_tokens(spark, no_docs):
     assert mix_sources(no_docs).count() == 0
     blank = spark.createDataFrame([(1, None, None, "a"), (2, " ", None, None)], SCHEMA)
     assert {r.copies for r in mix_sources(blank).collect()} == {0}
+
+
+def test_cut_among_repeated_rows(spark):
+    """Every row occurs twice, so cuts fall on shared places; rows with a place below the cut are taken, others not."""
+    rows = [(k, prose(k, 5 + k % 20), "en", f"s{k % 5}") for k in range(400)] * 2
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = mix_sources(docs, max_repeats=1.5).collect()
+    assert len(got) == len(rows)
+    totals = {}
+    for r in got:
+        totals[r.source] = totals.get(r.source, 0) + r.tokens
+    checked = 0
+    for source, n in totals.items():
+        own = {r.doc_id: r for r in got if r.source == source}
+        passes, rest = divmod(next(iter(own.values())).budget, n)
+        order = spark.createDataFrame(
+            [(source, k, r.tokens) for k, r in own.items()], "source string, id long, tokens long"
+        ).select("id", "tokens", F.xxhash64(F.lit(1), F.lit(passes).cast("long"), "source", "id", "tokens").alias("p"))
+        before = 0
+        for r in sorted(order.collect(), key=lambda r: r.p % 2**64):
+            assert {x.copies for x in got if x.doc_id == r.id} == {passes + (before < rest)}, (source, r)
+            before += 2 * r.tokens
+        checked += 0 < rest
+    assert checked >= 3
