@@ -3,8 +3,8 @@
 1. Lexicon: among the training labels, words and word beginnings that mark
    toxic documents far beyond chance (a bound on the binomial tail, corrected
    for the number of candidates), whole words or stems, and that occur in
-   several families of near copies in a bounded sample.  Candidates are the commonest ``CANDIDATES``
-   of the toxic training rows.
+   several families of near copies in a bounded sample.  Every term
+   of two toxic training rows is a candidate; counts and tests are Spark tables.
 2. The lexicon's trie is intersected with Levenshtein automata of distance one:
    the product is made into a deterministic automaton as words need it, so a
    word costs one step per character and most words fail after a few.
@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 from aqarlens.llm import kernels
 from aqarlens.llm.common import stage
 
-CANDIDATES = 20_000
 FIT_ROWS = 20_000
 #: Beginnings of words that can be lexicon terms, and the shortest that may be misspelt.
 SHORTEST, LONGEST, FUZZY = 4, 16, 5
@@ -186,8 +185,8 @@ def _terms(text: str) -> set[str]:
     return found
 
 
-def _counted(rows: DataFrame, wanted=None) -> DataFrame:
-    """(term, n) over the texts: documents with the term, of those ``wanted`` (a broadcast set) if given."""
+def _counted(rows: DataFrame, whole: bool) -> DataFrame:
+    """(term, n) over the texts: documents with the term; whole words beside beginnings if asked for."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
@@ -200,7 +199,7 @@ def _counted(rows: DataFrame, wanted=None) -> DataFrame:
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 found = _terms(text)
-                total.update(found if wanted is None else found & wanted.value)
+                total.update(found if whole else (t for t in found if not t.endswith(WHOLE)))
                 if len(total) > 500_000:
                     yield flush()
         if total:
@@ -209,8 +208,8 @@ def _counted(rows: DataFrame, wanted=None) -> DataFrame:
     return rows.select("text").mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def learn_lexicon(train: DataFrame, fit_rows: int = FIT_ROWS, candidates: int = CANDIDATES) -> dict[str, bool]:
-    """Word beginnings that mark toxic rows, the longest ones of equal reach, at most ``candidates``.
+def learn_lexicon(train: DataFrame, fit_rows: int = FIT_ROWS) -> dict[str, bool]:
+    """Word beginnings that mark toxic rows, the longest ones of equal reach.
 
     The value tells whether the term is mostly a whole word there.
     """
@@ -218,23 +217,23 @@ def learn_lexicon(train: DataFrame, fit_rows: int = FIT_ROWS, candidates: int =
     toxic, clean = n.get(1, 0), n.get(0, 0)
     if not toxic or not clean:
         return {}
-    in_toxic = stage(_counted(train.where("toxic = 1")), "toxic-terms")
-    found = {r["term"]: r["n"] for r in in_toxic.where("n > 1").orderBy(F.desc("n"), "term").limit(candidates).collect()}
-    begins = {term: n for term, n in found.items() if not term.endswith(WHOLE)}
-    wanted = train.sparkSession.sparkContext.broadcast(set(begins))
-    other = {r["term"]: r["n"] for r in _counted(train.where("toxic = 0"), wanted).toLocalIterator()}
+    in_toxic = stage(_counted(train.where("toxic = 1"), True).where("n > 1"), "toxic-terms")
+    is_whole = F.col("term").endswith(WHOLE)
+    begins = in_toxic.where(~is_whole).withColumnRenamed("n", "hits")
+    words = in_toxic.where(is_whole).select(F.expr("left(term, char_length(term) - 1)").alias("term"), F.col("n").alias("whole"))
     share = toxic / (toxic + clean)
-    needed = math.log(max(1, sum(n > 2 for n in begins.values())) / CHANCE)
-    good = []
-    for term, hits in begins.items():
-        total = hits + other.get(term, 0)
-        rate = hits / total
-        if rate < max(PRECISION, share):
-            continue
-        # Chernoff's bound on drawing so many toxic documents by chance.
-        surprise = total * (rate * math.log(rate / share) + ((1 - rate) * math.log((1 - rate) / (1 - share)) if rate < 1 else 0))
-        if surprise > needed:
-            good.append(term)
+    needed = math.log(max(1, begins.where("hits > 2").count()) / CHANCE)
+    # Terms with too few hits fail even if no clean row has them.
+    begins = begins.where(F.col("hits") * -math.log(share) > needed)
+    other = _counted(train.where("toxic = 0"), False).withColumnRenamed("n", "other")
+    counted = begins.join(other, "term", "left").withColumn("total", F.col("hits") + F.coalesce("other", F.lit(0)))
+    counted = counted.withColumn("rate", F.col("hits") / F.col("total")).where(F.col("rate") >= max(PRECISION, share))
+    # Chernoff's bound on drawing so many toxic documents by chance.
+    rest = F.when(F.col("rate") < 1, (1 - F.col("rate")) * F.log((1 - F.col("rate")) / (1 - share))).otherwise(0.0)
+    surprise = F.col("total") * (F.col("rate") * F.log(F.col("rate") / share) + rest)
+    passed = counted.where(surprise > needed).join(words, "term", "left")
+    passed = passed.select("term", F.coalesce(2 * F.col("whole") > F.col("hits"), F.lit(False)).alias("mostly"))
+    good = {r["term"]: r["mostly"] for r in passed.toLocalIterator()}
     support = _families(_sampled(train.where("toxic = 1"), toxic, fit_rows), set(good))
     least = math.ceil(needed / -math.log(share))
     reach = {term: n for term, n in support.items() if n >= least}
@@ -245,7 +244,7 @@ def learn_lexicon(train: DataFrame, fit_rows: int = FIT_ROWS, candidates: int =
         # Of a beginning and longer ones with nearly the same reach, the longest.
         same = (t for t, n in reach.items() if t.startswith(root) and n >= 0.95 * reach[root])
         kept.append(max(same, key=lambda t: (len(t), t)))
-    return {term: 2 * found.get(term + WHOLE, 0) > found[term] for term in kept}
+    return {term: good[term] for term in kept}
 
 
 #: Smallest hashes kept of a text's word triples.

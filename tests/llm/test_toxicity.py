@@ -4,7 +4,7 @@ import random
 import zlib
 
 import numpy as np
-from aqarlens.llm.toxicity import FuzzyTrie, fit_logistic, quoted, score_toxicity, without_toxic
+from aqarlens.llm.toxicity import FuzzyTrie, fit_logistic, learn_lexicon, quoted, score_toxicity, without_toxic
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -92,3 +92,18 @@ def test_empty_tables(spark, no_docs):
     docs, labels = _corpus(spark)
     assert score_toxicity(no_docs, labels).count() == 0
     assert {r.score for r in score_toxicity(docs.limit(5), labels.limit(0)).collect()} == {0.0}
+
+
+def test_rare_terms_among_many_candidates(spark):
+    """30,000 commoner beginnings and words of both kinds of rows do not crowd out a term of a few toxic rows."""
+    rng = random.Random(4)
+    common = ["".join(rng.choice("abcdefghijklm") for _ in range(9)) for _ in range(6_000)]
+    rows = []
+    for k in range(400):
+        toxic = int(k % 4 == 0)
+        words = rng.sample(common, 1_500)
+        if toxic and k < 60:
+            words[rng.randrange(1_500)] = "zyxwvut"
+        rows.append((" ".join(words), toxic, k))
+    train = spark.createDataFrame(rows, "text string, toxic int, h long").repartition(4)
+    assert learn_lexicon(train) == {"zyxwvut": True}
