@@ -8,8 +8,9 @@
 2. The lexicon's trie is intersected with Levenshtein automata of distance one:
    the product is made into a deterministic automaton as words need it, so a
    word costs one step per character and most words fail after a few.
-3. Misspelt forms that clean training documents use are ordinary words and
-   leave the matches.
+3. Misspelt forms whose share of toxic documents, among the training documents
+   that use them, is below that of lexicon terms are ordinary words and leave
+   the matches.
 4. A match inside quotation marks or next to words of reporting counts as
    quoted, others as abuse; both are summed over the document.
 5. A logistic regression on these sums, fitted on about ``FIT_ROWS`` labelled
@@ -342,17 +343,27 @@ def text_features(text: str, trie: FuzzyTrie, memo: dict[str, int], ordinary: fr
 
 
 def _ordinary(train: DataFrame, model) -> frozenset[str]:
-    """Misspelt forms in clean training rows; their number is bounded by the lexicon's one-edit forms."""
+    """Misspelt forms whose share of toxic training rows is below that of terms.
+
+    Their number is bounded by the lexicon's one-edit forms.  Forms without a
+    training row are not among them.
+    """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, memo, seen = FuzzyTrie(model.value), {}, set()
+        trie, memo, toxic, rows = FuzzyTrie(model.value), {}, Counter(), Counter()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen.update(word for _, word, kind in _hits(text, trie, memo, frozenset()) if kind == 1)
-        yield pa.RecordBatch.from_pydict({"word": pa.array(sorted(seen), pa.string())})
-
-    rows = train.where("toxic = 0").select("text").mapInArrow(find, "word string").distinct()
-    return frozenset(r["word"] for r in rows.toLocalIterator())
+            for mark, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                forms = {word for _, word, kind in _hits(text, trie, memo, frozenset()) if kind == 1}
+                rows.update(forms)
+                if mark == 1:
+                    toxic.update(forms)
+        counts = [pa.array([x[w] for w in rows], pa.int64()) for x in (toxic, rows)]
+        yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.string()), *counts], names=["word", "toxic", "n"])
+
+    found = train.select("toxic", "text").mapInArrow(find, "word string, toxic long, n long")
+    found = found.groupBy("word").agg((F.sum("toxic") / F.sum("n")).alias("rate"))
+    base = train.agg(F.avg("toxic")).first()[0]
+    return frozenset(r["word"] for r in found.where(F.col("rate") < max(PRECISION, base)).toLocalIterator())
 
 
 def _features(rows: DataFrame, model, ordinary, keep: str) -> DataFrame:

@@ -4,7 +4,7 @@ import random
 import zlib
 
 import numpy as np
-from aqarlens.llm.toxicity import FuzzyTrie, fit_logistic, learn_lexicon, quoted, score_toxicity, without_toxic
+from aqarlens.llm.toxicity import FuzzyTrie, _ordinary, fit_logistic, learn_lexicon, quoted, score_toxicity, without_toxic
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -107,3 +107,13 @@ def test_rare_terms_among_many_candidates(spark):
         rows.append((" ".join(words), toxic, k))
     train = spark.createDataFrame(rows, "text string, toxic int, h long").repartition(4)
     assert learn_lexicon(train) == {"zyxwvut": True}
+
+
+def test_one_clean_row_does_not_exempt_a_misspelt_form(spark):
+    """Of two misspelt forms in one clean row each, the one that toxic rows use 19 times stays a match."""
+    words = ["horible"] * 19 + ["horrble"]
+    rows = [(f"{prose(k, 20)} {w} {prose(99 + k, 20)}", 1, k) for k, w in enumerate(words)]
+    rows += [(f"{prose(900 + k, 20)} {w}", 0, 100 + k) for k, w in enumerate(["horible", "horrble", "horriblo", "fine", "fine"])]
+    train = spark.createDataFrame(rows, "text string, toxic int, h long").repartition(3)
+    model = spark.sparkContext.broadcast({"horrible": True})
+    assert _ordinary(train, model) == {"horrble", "horriblo"}
