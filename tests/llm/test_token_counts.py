@@ -5,7 +5,10 @@ import random
 
 import public_tokenizers
 import pytest
+from aqarlens.llm import token_counts as tc
 from aqarlens.llm.token_counts import provable, token_counts
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from conftest import prose
@@ -48,6 +51,20 @@ def test_chunks_match_whole_texts(spark, known, step, overlap):
     assert got == expected(frame.collect(), known, 100)
 
 
+def test_segments_add_up(known, monkeypatch):
+    monkeypatch.setattr(tc, "MEMO", 300)
+    monkeypatch.setattr(tc, "JOINED", 5)
+    counts = tc.SegmentCounts(known)
+    mixed = st.lists(st.sampled_from([" ", "  ", "\t", "\n", "\r", "\x1c", "\x85", "\xa0", "\u2003", "'", "re", "<|endoftext|>", "<|", "a", "9", ".", "é"]))
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.lists(mixed.map("".join) | st.text(max_size=40), max_size=6))
+    def check(texts):
+        assert counts(texts) == [len(known.encode(t, add_special_tokens=False)) for t in texts]
+
+    check()
+
+
 def test_one_joint_needs_wider_overlaps(spark, known):
     """A run without any beginning inside the overlap is cut again, not guessed."""
     text = "alpha " * 20 + "z" * 400 + " omega" * 20
