@@ -14,16 +14,18 @@ import base64
 import heapq
 import uuid
 from collections.abc import Iterator
-from itertools import chain
+from itertools import pairwise
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MEMO = 300_000
+MEMO = 150_000
 #: Words of a bucket: displacement search stays short and the table small.
 BUCKET = 4
 PRIME = (1 << 31) - 1
@@ -94,6 +96,8 @@ class PerfectHash:
         return self.values[slot] if self.keys[slot] == key else None
 
 
+#: Ids that are decoded by one gather.
+GATHER = 1 << 18
 #: Stands for "this pair is no vocabulary entry" among ranks.
 NO_RANK = 1 << 31
 
@@ -151,20 +155,21 @@ def merge_parts(ids: list[int], ranks: PairRanks) -> list[int]:
 
 
 class Encoder(dict):
-    """Pre-token to ids; remembers what it has resolved in two generations of ``MEMO`` entries."""
+    """Pre-token to its ids as 32-bit integers; remembers what it has resolved in two generations of ``MEMO`` entries."""
 
     def __init__(self, tier: PerfectHash, pattern: str):
         super().__init__()
         self.tier, self.ranks, self.split = tier, PairRanks(tier), regex.compile(pattern).findall
         self.byte = [tier.get(bytes([b])) for b in range(256)]
-        self.old: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, bytes] = {}
 
-    def __missing__(self, token: str) -> tuple[int, ...]:
+    def __missing__(self, token: str) -> bytes:
         ids = self.old.get(token)
         if ids is None:
             piece = token.encode()
             whole = self.tier.get(piece)
-            ids = (whole,) if whole is not None else tuple(merge_parts([self.byte[b] for b in piece], self.ranks))
+            parts = [whole] if whole is not None else merge_parts([self.byte[b] for b in piece], self.ranks)
+            ids = pack(f"<{len(parts)}i", *parts)
         if len(token) <= 64:
             if len(self) >= MEMO:
                 self.old = dict(self)
@@ -172,8 +177,11 @@ class Encoder(dict):
             self[token] = ids
         return ids
 
+    def packed(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, self.split(text)))
+
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.__getitem__, self.split(text))))
+        return np.frombuffer(self.packed(text), "<i4").tolist()
 
 
 #: A worker process keeps its encoder for the tasks that follow.
@@ -206,9 +214,9 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
         encoder = _encoder(name, tables)
         for whole in batches:
             for batch in _slices(whole):
-                lists = [encoder.encode(text or "") for text in batch.column(1).to_pylist()]
-                ends = np.cumsum([0, *map(len, lists)], dtype=np.int32)
-                flat = np.fromiter(chain.from_iterable(lists), np.int32, ends[-1])
+                lists = [encoder.packed(text or "") for text in batch.column(1).to_pylist()]
+                ends = np.cumsum([0, *(len(x) // 4 for x in lists)], dtype=np.int32)
+                flat = np.frombuffer(b"".join(lists), "<i4")
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["id", "ids"])
 
@@ -216,17 +224,33 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
     return rows.mapInArrow(run, "id long, ids array<int>").withColumnRenamed("id", id_col)
 
 
+def _joined(pieces: np.ndarray, begin: np.ndarray, size: np.ndarray, ids: np.ndarray) -> bytes:
+    """The pieces of ids, one after another, by one gather from the vocabulary's bytes."""
+    n = size[ids]
+    shift = begin[ids] - (np.cumsum(n) - n)
+    return pieces[np.repeat(shift, n) + np.arange(n.sum())].tobytes()
+
+
 def decode(tokens: DataFrame, vocabulary: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``tokens`` with the bytes its ids stand for, as binary column ``out_col``; null ids as empty."""
-    pieces = {rank: token for token, rank in read_ranks(vocabulary).items()}
-    table = tokens.sparkSession.sparkContext.broadcast(pieces)
+    ranks = read_ranks(vocabulary)
+    size = np.zeros(max(ranks.values(), default=-1) + 1, np.int64)
+    size[list(ranks.values())] = list(map(len, ranks))
+    pieces = b"".join(sorted(ranks, key=ranks.__getitem__))
+    table = tokens.sparkSession.sparkContext.broadcast((pieces, size))
     at = tokens.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = table.value.__getitem__
+        pieces, size = table.value
+        pieces, begin = np.frombuffer(pieces, np.uint8), np.cumsum(size) - size
         for whole in batches:
             for batch in _slices(whole):
-                texts = [b"".join(map(piece, ids or ())) for ids in batch.column(at).to_pylist()]
+                lists = batch.column(at)
+                n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+                flat = lists.flatten().to_numpy()
+                far = np.concatenate([[0], np.cumsum(size[flat])])[np.concatenate([[0], np.cumsum(n)])]
+                texts = b"".join(_joined(pieces, begin, size, flat[low : low + GATHER]) for low in range(0, len(flat), GATHER))
+                texts = [texts[a:b] for a, b in pairwise(far.tolist())]
                 arrays = [*batch.columns, pa.array(texts, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, out_col])
 
