@@ -25,7 +25,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MEMO = 150_000
+from aqarlens.llm.common import row_slices, worker_state
+
+MEMO = 300_000
 #: Words of a bucket: displacement search stays short and the table small.
 BUCKET = 4
 PRIME = (1 << 31) - 1
@@ -102,32 +104,28 @@ GATHER = 1 << 18
 NO_RANK = 1 << 31
 
 
-class PairRanks(dict):
-    """Rank of two adjoining parts, by their ids; asks the perfect hash once per pair."""
-
-    def __init__(self, tier: PerfectHash):
-        super().__init__()
-        self.tier = tier
-        self.piece = dict(zip(tier.values, tier.keys, strict=True))
-
-    def __missing__(self, pair: int) -> int:
-        rank = self.tier.get(self.piece[pair >> 32] + self.piece[pair & 0xFFFFFFFF])
-        if len(self) >= MEMO:
-            self.clear()
-        self[pair] = rank = NO_RANK if rank is None else rank
-        return rank
+def pair_ranks(tier: PerfectHash) -> dict[int, int]:
+    """The rank of what each mergeable pair of parts makes, by the parts' ids; one entry per split of a vocabulary entry."""
+    ids = dict(zip(tier.keys, tier.values, strict=True))
+    ranks = {}
+    for piece, rank in ids.items():
+        for at in range(1, len(piece)):
+            left, right = ids.get(piece[:at]), ids.get(piece[at:])
+            if left is not None and right is not None:
+                ranks[left << 32 | right] = rank
+    return ranks
 
 
-def merge_parts(ids: list[int], ranks: PairRanks) -> list[int]:
+def merge_parts(ids: list[int], ranks: dict[int, int]) -> list[int]:
     """Merge the lowest-ranked, leftmost pair of parts until none is in the vocabulary.
 
     Parts form a linked list, named by their first position; the heap holds
     ``rank << 32 | position``.  ``pair`` has the present rank of each
     position's pair, so entries that no longer hold are passed over.
     """
-    n = len(ids)
+    n, rank_of = len(ids), ranks.get
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    pair = [ranks[a << 32 | b] for a, b in zip(ids, ids[1:], strict=False)]
+    pair = [rank_of(a << 32 | b, NO_RANK) for a, b in pairwise(ids)]
     pair.append(NO_RANK)
     heap = [rank << 32 | at for at, rank in enumerate(pair) if rank != NO_RANK]
     heapq.heapify(heap)
@@ -141,64 +139,51 @@ def merge_parts(ids: list[int], ranks: PairRanks) -> list[int]:
         ids[at], ids[gone], pair[gone] = rank, -1, NO_RANK
         if right < n:
             before[right] = at
-            new = pair[at] = ranks[rank << 32 | ids[right]]
+            new = pair[at] = rank_of(rank << 32 | ids[right], NO_RANK)
             if new != NO_RANK:
                 heapq.heappush(heap, new << 32 | at)
         else:
             pair[at] = NO_RANK
         left = before[at]
         if left >= 0:
-            new = pair[left] = ranks[ids[left] << 32 | rank]
+            new = pair[left] = rank_of(ids[left] << 32 | rank, NO_RANK)
             if new != NO_RANK:
                 heapq.heappush(heap, new << 32 | left)
     return [x for x in ids if x >= 0]
 
 
-class Encoder(dict):
-    """Pre-token to its ids as 32-bit integers; remembers what it has resolved in two generations of ``MEMO`` entries."""
+class Encoder:
+    """Texts to ids; remembers the pre-tokens it has resolved in two generations of ``MEMO`` entries."""
 
     def __init__(self, tier: PerfectHash, pattern: str):
-        super().__init__()
-        self.tier, self.ranks, self.split = tier, PairRanks(tier), regex.compile(pattern).findall
+        self.tier, self.ranks, self.split = tier, pair_ranks(tier), regex.compile(pattern).findall
         self.byte = [tier.get(bytes([b])) for b in range(256)]
+        self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def __missing__(self, token: str) -> bytes:
-        ids = self.old.get(token)
-        if ids is None:
-            piece = token.encode()
-            whole = self.tier.get(piece)
-            parts = [whole] if whole is not None else merge_parts([self.byte[b] for b in piece], self.ranks)
-            ids = pack(f"<{len(parts)}i", *parts)
-        if len(token) <= 64:
-            if len(self) >= MEMO:
-                self.old = dict(self)
-                self.clear()
-            self[token] = ids
-        return ids
-
-    def packed(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self.split(text)))
+    def resolve(self, token: str) -> bytes:
+        """The ids of a pre-token as 32-bit integers."""
+        piece = token.encode()
+        whole = self.tier.get(piece)
+        if whole is not None:
+            return pack("<i", whole)
+        parts = merge_parts([self.byte[b] for b in piece], self.ranks)
+        return pack(f"<{len(parts)}i", *parts)
+
+    def packed(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; a pre-token is asked for once, however often the texts hold it."""
+        split = list(map(self.split, texts))
+        here = {}
+        for token in set().union(*split):
+            ids = self.new.get(token) or self.old.get(token)
+            here[token] = self.resolve(token) if ids is None else ids
+        if len(self.new) + len(here) > MEMO:
+            self.old, self.new = self.new, {}
+        self.new.update((token, ids) for token, ids in here.items() if len(token) <= 64)
+        return [b"".join(map(here.__getitem__, tokens)) for tokens in split]
 
     def encode(self, text: str) -> list[int]:
-        return np.frombuffer(self.packed(text), "<i4").tolist()
-
-
-#: A worker process keeps its encoder for the tasks that follow.
-_WORKER: dict[str, Encoder] = {}
-
-
-def _encoder(name: str, tables) -> Encoder:
-    if name not in _WORKER:
-        _WORKER.clear()
-        _WORKER[name] = Encoder(*tables.value)
-    return _WORKER[name]
-
-
-def _slices(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """Pieces of a batch, so that results of many long texts do not pile up."""
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
+        return np.frombuffer(self.packed([text])[0], "<i4").tolist()
 
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -211,10 +196,10 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
     tables = docs.sparkSession.sparkContext.broadcast((PerfectHash(read_ranks(vocabulary)), pattern))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(name, tables)
+        encoder = worker_state(name, lambda: Encoder(*tables.value))
         for whole in batches:
-            for batch in _slices(whole):
-                lists = [encoder.packed(text or "") for text in batch.column(1).to_pylist()]
+            for batch in row_slices(whole):
+                lists = encoder.packed([text or "" for text in batch.column(1).to_pylist()])
                 ends = np.cumsum([0, *(len(x) // 4 for x in lists)], dtype=np.int32)
                 flat = np.frombuffer(b"".join(lists), "<i4")
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
@@ -244,7 +229,7 @@ def decode(tokens: DataFrame, vocabulary: str, ids_col: str = "ids", out_col: st
         pieces, size = table.value
         pieces, begin = np.frombuffer(pieces, np.uint8), np.cumsum(size) - size
         for whole in batches:
-            for batch in _slices(whole):
+            for batch in row_slices(whole):
                 lists = batch.column(at)
                 n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
                 flat = lists.flatten().to_numpy()

@@ -5,12 +5,36 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 _LOCAL: dict[str, str] = {}
 _CLEANED: set[str] = set()
+_HELD: dict[str, object] = {}
+
+
+def worker_state(name: str, make: Callable[[], T]) -> T:
+    """What a Python worker keeps from task to task under ``name``.
+
+    Workers serve one operator after another; the first task of the next one
+    drops what the last one left, so tables and memos of several never add up.
+    """
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
+def row_slices(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Pieces of an Arrow batch, so that a batch of long texts is not unpacked at once."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
 
 
 def shared_dir(spark: SparkSession) -> str:

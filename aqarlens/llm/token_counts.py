@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aqarlens.llm.common import stage
+from aqarlens.llm.common import stage, worker_state
 
 STEP = 32_768
 OVERLAP = 256
@@ -59,9 +59,6 @@ SEGMENTS = re.compile(r"(?<=\S)(?=[ \t\n\r])").split
 #: The longest look-ahead of the pattern beyond a pre-token's first character: a three-letter contraction.
 REACH = 3
 
-#: A worker process keeps its tokenizer for the tasks that follow.
-_WORKER: dict[str, object] = {}
-
 
 def _overlaps(one: str, other: str) -> bool:
     """Whether a proper end of ``one`` begins ``other``."""
@@ -94,17 +91,15 @@ def provable(source: str) -> int | None:
     return REACH + max([1, *map(len, special)])
 
 
-def _tokenizer(name: str, source):
-    if name not in _WORKER:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+def _loaded(source: str):
+    """The library's tokenizer of a file's text, in one thread, without truncation and padding."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
 
-        made = Tokenizer.from_str(source.value)
-        made.no_truncation()
-        made.no_padding()
-        _WORKER.clear()
-        _WORKER[name] = made
-    return _WORKER[name]
+    made = Tokenizer.from_str(source)
+    made.no_truncation()
+    made.no_padding()
+    return made
 
 
 def _calls(texts: list[str]) -> Iterator[list[str]]:
@@ -161,8 +156,8 @@ def _whole(docs: DataFrame, name: str, source, segments: bool) -> DataFrame:
     """(id, n_bytes, n_tokens) of texts that are not cut, by their segments if these are proven to add up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(name, source)
-        by_segment = _WORKER.setdefault(f"{name}-segments", SegmentCounts(tokenizer))
+        by_segment = worker_state(name, lambda: SegmentCounts(_loaded(source.value)))
+        tokenizer = by_segment.tokenizer
         for batch in batches:
             counts = []
             for texts in _calls(batch.column(2).to_pylist()):
@@ -214,7 +209,7 @@ def _zones(chunks: DataFrame, name: str, source, step: int, overlap: int, margin
         return (places[inside] - low).tolist(), first[inside].tolist()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _tokenizer(name, source).encode_batch
+        encode = worker_state(name, lambda: SegmentCounts(_loaded(source.value))).tokenizer.encode_batch
         for batch in batches:
             for at in range(0, batch.num_rows, 16):
                 part = batch.slice(at, 16)

@@ -25,6 +25,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aqarlens.llm import kernels
-from aqarlens.llm.common import stage
+from aqarlens.llm.common import row_slices, stage, worker_state
 
 FIT_ROWS = 20_000
 #: Beginnings of words that can be lexicon terms, and the shortest that may be misspelt.
@@ -197,7 +198,8 @@ def _counted(rows: DataFrame, whole: bool) -> DataFrame:
             total.clear()
             return out
 
-        for batch in batches:
+        worker_state("toxicity", dict)
+        for batch in chain.from_iterable(map(row_slices, batches)):
             for text in batch.column(0).to_pylist():
                 found = _terms(text)
                 total.update(found if whole else (t for t in found if not t.endswith(WHOLE)))
@@ -350,8 +352,9 @@ def _ordinary(train: DataFrame, model) -> frozenset[str]:
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("toxicity", dict)
         trie, memo, toxic, rows = FuzzyTrie(model.value), {}, Counter(), Counter()
-        for batch in batches:
+        for batch in chain.from_iterable(map(row_slices, batches)):
             for mark, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 forms = {word for _, word, kind in _hits(text, trie, memo, frozenset()) if kind == 1}
                 rows.update(forms)
@@ -370,8 +373,9 @@ def _features(rows: DataFrame, model, ordinary, keep: str) -> DataFrame:
     """Column ``keep`` and the features of each row's text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("toxicity", dict)
         trie, memo = FuzzyTrie(model.value), {}
-        for batch in batches:
+        for batch in chain.from_iterable(map(row_slices, batches)):
             x = [text_features(t or "", trie, memo, ordinary.value) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=[keep, "features"]
