@@ -800,7 +800,12 @@ from aqarlens.plans.evaluation import (  # noqa: E402
 )
 from aqarlens.plans.scoring import ModelBundle, predict_price_per_sqm  # noqa: E402
 from aqarlens.plans import reports  # noqa: E402
-from aqarlens.plans.training import fit_model, model_specs, train_models, tuning_table  # noqa: E402
+from aqarlens.plans.training import RESULT_FIELDS, fit_model, model_specs, train_models, tuning_table  # noqa: E402
+from aqarlens.plans.trees import node_table  # noqa: E402
+from aqarlens.operators.moments import ridge  # noqa: E402
+from aqarlens.operators.split_gains import boosted_stumps, split_gains  # noqa: E402
+from aqarlens.catalog import model_sql as msql  # noqa: E402
+from pyspark.ml.tuning import ParamGridBuilder  # noqa: E402
 
 BASELINE_KEY = "completion_score"
 _BASELINE_SQL = (
@@ -874,7 +879,7 @@ def q_linear_trend_fit(spark, sf_dir):
     )
 
 
-# ---------------------------------------------------------------- model fits (properties)
+# ---------------------------------------------------------------- model fits
 
 
 def _spec(key: str, params=None):
@@ -897,23 +902,113 @@ def fitted_model(spark, sf_dir, key: str):
     return _memo(spark, sf_dir, f"fit:{key}", build)
 
 
-def _fit_query(key: str) -> Query:
-    def run(spark, sf_dir):
-        """Rows and sign of R2 per split; a constant predictor has an R2 of 0 at best."""
-        scored = fitted_model(spark, sf_dir, key).transform(model_table(spark, sf_dir))
-        return metrics_by_split(scored).select("split", "n", (F.col("r2") > 0).alias("r2_positive"))
+#: Features with few values, whose every threshold a tree tries, and two that a ridge line in SQL can take.
+TREE_FEATURES = ("bedrooms", "bathrooms", "total_rooms", "images_count", "completion_score", "amenity_count", "is_furnished")
+LINE_FEATURES = ("total_rooms", "images_count")
+MIN_ROWS = 20
+PENALTY = 0.1
 
-    return run
+
+def fitted_on(spark, sf_dir, key: str, features, **options):
+    """A model fitted on the training rows with the roster's estimator of ``key`` and these options."""
+    _, estimator, grid = _spec(key, {key: {"estimator": options}})
+    train = model_table(spark, sf_dir).where(F.col("split") == "train")
+    return fit_model(estimator, grid, train, features)[0]
+
+
+def _nodes(spark, model, features, *keep) -> DataFrame:
+    name = F.when(F.col("feature").isNotNull(), F.element_at(F.array(*[F.lit(n) for n in features]), F.col("feature") + 1))
+    return _round(node_table(spark, model).select(*keep, "node", name.alias("feature"), "threshold", "gain", "prediction"))
+
+
+_FEATURE_NAMES = "[" + ", ".join(f"'{n}'" for n in TREE_FEATURES) + "]"
+_TREE_SQL = msql.rows(TREE_FEATURES) + msql.tree("dt", len(TREE_FEATURES), MIN_ROWS)
+_NODES_SQL = (
+    f"CAST(node AS BIGINT) AS node, {_FEATURE_NAMES}[k + 1] AS feature, round(threshold, 6) AS threshold, "
+    "round(gain, 6) AS gain, round(mean, 6) AS prediction FROM dt_nodes"
+)
+
+
+@register("fit_tree", _TREE_SQL + "\nSELECT " + _NODES_SQL)
+def q_fit_tree(spark, sf_dir):
+    """The nodes of a tree of depth two: every split, gain and mean."""
+    model = fitted_on(spark, sf_dir, "decision_tree", TREE_FEATURES, maxDepth=2, minInstancesPerNode=MIN_ROWS)
+    return _nodes(spark, model, TREE_FEATURES)
+
+
+@register("fit_forest", _TREE_SQL + ", trees AS (SELECT CAST(unnest(range(3)) AS INTEGER) AS tree)\nSELECT tree, " + _NODES_SQL + ", trees")
+def q_fit_forest(spark, sf_dir):
+    """Without bootstrap and with all features at every node, each tree of a forest is the one tree."""
+    options = {"numTrees": 3, "bootstrap": False, "featureSubsetStrategy": "all", "maxDepth": 2, "minInstancesPerNode": MIN_ROWS}
+    return _nodes(spark, fitted_on(spark, sf_dir, "random_forest", TREE_FEATURES, **options), TREE_FEATURES, "tree")
+
+
+@register(
+    "tree_split_gains",
+    msql.rows(TREE_FEATURES)
+    + msql.split("one", "tr", len(TREE_FEATURES), MIN_ROWS)
+    + f"\nSELECT {_FEATURE_NAMES}[k + 1] AS feature, (value + after) / 2 AS threshold, CAST(n AS BIGINT) AS n, CAST(nl AS BIGINT) AS n_left, "
+    "round(sl / nl, 6) AS left_mean, round((s - sl) / (n - nl), 6) AS right_mean, round((q / n - (s / n) ** 2) - (nl / n) * (ql / nl - (sl / nl) ** 2) "
+    f"- ((n - nl) / n) * ((q - ql) / (n - nl) - ((s - sl) / (n - nl)) ** 2), 6) AS gain FROM one_r WHERE after IS NOT NULL AND nl >= {MIN_ROWS} AND n - nl >= {MIN_ROWS}",
+)
+def q_tree_split_gains(spark, sf_dir):
+    """The gain of every threshold of every feature at a tree's root, as a table."""
+    train = model_table(spark, sf_dir).where(F.col("split") == "train")
+    gains = split_gains(train, TREE_FEATURES, F.col("label"), MIN_ROWS)
+    name = F.element_at(F.array(*[F.lit(n) for n in TREE_FEATURES]), F.col("feature") + 1)
+    return _round(gains.withColumn("feature", name))
+
+
+_BOOSTED_SQL = (
+    msql.rows(TREE_FEATURES)
+    + msql.boosted("gb", len(TREE_FEATURES))
+    + f"\nSELECT listing_id, split, round({msql.stump_value('gb1')} + 0.1E0 * {msql.stump_value('gb2')}, 6) AS prediction FROM m"
+)
 
 
-_FIT_SQL = sql.pipeline("model_table") + "\nSELECT split, count(*) AS n, true AS r2_positive FROM model_table GROUP BY split"
-for _key, _name in (
-    ("linear_regression", "fit_linear"),
-    ("decision_tree", "fit_tree"),
-    ("random_forest", "fit_forest"),
-    ("gbt", "fit_gbt"),
-):
-    register(_name, _FIT_SQL)(_fit_query(_key))
+@register("fit_gbt", _BOOSTED_SQL)
+def q_fit_gbt(spark, sf_dir):
+    """Two boosted rounds of depth one at step 0.1: the prediction of every row."""
+    model = fitted_on(spark, sf_dir, "gbt", TREE_FEATURES, maxIter=2, maxDepth=1, stepSize=0.1)
+    return _round(model.transform(model_table(spark, sf_dir)).select("listing_id", "split", "prediction"))
+
+
+@register("boosted_stumps", _BOOSTED_SQL)
+def q_boosted_stumps(spark, sf_dir):
+    """The same from split tables, round by round."""
+    table = model_table(spark, sf_dir)
+    prediction, _ = boosted_stumps(table.where(F.col("split") == "train"), TREE_FEATURES, "label", rounds=2, step=0.1)
+    return _round(table.select("listing_id", "split", prediction.alias("prediction")))
+
+
+_LINE_SQL = msql.rows(LINE_FEATURES) + msql.line("lr", "tr", PENALTY)
+_LINE_COLUMNS = "round(w1, 6) AS total_rooms, round(w2, 6) AS images_count, round(b, 6) AS intercept"
+
+
+@register(
+    "fit_linear",
+    _LINE_SQL
+    + ", scored AS (SELECT split, y, w1 * x[1] + w2 * x[2] + b AS p, w1, w2, b FROM m, lr)"
+    + "\nSELECT split, count(*) AS n, "
+    + ", ".join(f"round({msql.METRICS[m]}, {msql.DIGITS[m]}) AS {c}" for m, c in (("R2", "r2"), ("RMSE_log", "rmse_log"), ("MAE_log", "mae_log"), ("RMSE_EGP", "rmse_units")))
+    + f", {_LINE_COLUMNS} FROM scored GROUP BY split, w1, w2, b",
+)
+def q_fit_linear(spark, sf_dir):
+    """The shipped ridge regression on two features: coefficients, and metrics of every split."""
+    model = fitted_on(spark, sf_dir, "linear_regression", LINE_FEATURES, maxIter=50, regParam=PENALTY, elasticNetParam=0.0)
+    scored = metrics_by_split(model.transform(model_table(spark, sf_dir)))
+    line = model.stages[-1]
+    found = dict(zip(LINE_FEATURES, line.coefficients.toArray().tolist(), strict=True), intercept=line.intercept)
+    return _round(_round(scored, 3, skip=("r2", "rmse_log", "mae_log")).withColumns({k: F.lit(float(v)) for k, v in found.items()}))
+
+
+@register("ridge_equations", _LINE_SQL + f"\nSELECT {_LINE_COLUMNS} FROM lr")
+def q_ridge_equations(spark, sf_dir):
+    """The same line from the normal equations of one aggregate."""
+    train = model_table(spark, sf_dir).where(F.col("split") == "train")
+    weights, intercept = ridge(train, LINE_FEATURES, "label", PENALTY)
+    row = [tuple(round(float(v), 6) for v in (*weights, intercept))]
+    return spark.createDataFrame(row, "total_rooms double, images_count double, intercept double")
 
 
 def _tuned_line(spark, sf_dir, tuning) -> list[tuple[dict, float]]:
@@ -930,15 +1025,34 @@ def _tuned_line(spark, sf_dir, tuning) -> list[tuple[dict, float]]:
     return tuning_table(tuned)
 
 
+_VALIDATES = "instr('0123456789abc', substr(md5(cast(listing_id as string)), 9, 1)) between 1 and 3"
+
+
 @register(
     "tune_tvs",
-    "SELECT 2 AS tried, true AS intercept_is_better, true AS scores_differ",
+    msql.rows(LINE_FEATURES)
+    + f", fitted AS (SELECT * FROM tr WHERE NOT ({_VALIDATES})), held AS (SELECT * FROM tr WHERE {_VALIDATES})"
+    + "".join(msql.line(f"line{k}", "fitted", p) + msql.line(f"all{k}", "tr", p) for k, p in enumerate((0.1, 0.0, 1.0)))
+    + ", tried AS ("
+    + " UNION ALL ".join(
+        f"SELECT CAST({p} AS DOUBLE) AS reg_param, (SELECT {msql.METRICS['R2']} FROM (SELECT y, w1 * x[1] + w2 * x[2] + b AS p FROM held, line{k})) AS r2, "
+        f"all{k}.* FROM all{k}"
+        for k, p in enumerate((0.1, 0.0, 1.0))
+    )
+    + ")\nSELECT reg_param, round(r2, 6) AS validation_r2, r2 = max(r2) OVER () AS chosen, "
+    "CASE WHEN r2 = max(r2) OVER () THEN round(b, 6) END AS refitted_intercept FROM tried",
 )
 def q_tune_tvs(spark, sf_dir):
-    """What must hold of a random train-validation split: with an intercept the line is better."""
-    tried = _tuned_line(spark, sf_dir, {"method": "train_validation_split"})
-    row = (len(tried), bool(tried[0][0]["fitIntercept"]), tried[0][1] > tried[-1][1])
-    return spark.createDataFrame([row], "tried int, intercept_is_better boolean, scores_differ boolean")
+    """The shipped ridge regression and two other penalties, validated on rows that a hash names."""
+    _, estimator, _ = _spec("linear_regression")
+    grid = ParamGridBuilder().addGrid(estimator.regParam, [0.1, 0.0, 1.0]).build()
+    train = model_table(spark, sf_dir).where(F.col("split") == "train").withColumn("held", F.expr(_VALIDATES))
+    tuning = {"method": "train_validation_split", "validation_col": "held"}
+    model, tuned = fit_model(estimator, grid, train, LINE_FEATURES, tuning)
+    tried = tuning_table(tuned)
+    intercept = round(model.stages[-1].intercept, 6)
+    rows = [(chosen["regParam"], round(score, 6), k == 0, intercept if k == 0 else None) for k, (chosen, score) in enumerate(tried)]
+    return spark.createDataFrame(rows, "reg_param double, validation_r2 double, chosen boolean, refitted_intercept double")
 
 
 @register(
@@ -960,52 +1074,55 @@ def q_tune_cv(spark, sf_dir):
     return spark.createDataFrame(rows, "fit_intercept boolean, mean_r2 double")
 
 
+#: Four models whose every number SQL can compute: the shipped line, and trees on two features.
+COMPARED_PARAMS = {
+    "linear_regression": DEFAULT_MODEL_PARAMS["linear_regression"],
+    "decision_tree": {"param_grid": {"maxDepth": [2], "minInstancesPerNode": [MIN_ROWS]}},
+    "random_forest": {
+        "estimator": {"bootstrap": False},
+        "param_grid": {"numTrees": [3], "maxDepth": [1], "minInstancesPerNode": [MIN_ROWS], "featureSubsetStrategy": ["all"]},
+    },
+    "gbt": {"param_grid": {"maxIter": [2], "maxDepth": [1], "stepSize": [0.1]}},
+}
+
+
 def _comparison(spark, sf_dir):
     """The trained models' results, best first, fitted once per session."""
 
     def build():
-        return train_models(model_table(spark, sf_dir), DEFAULT_MODEL_PARAMS, select_on="test", materialize_mode="none")
+        return train_models(model_table(spark, sf_dir), COMPARED_PARAMS, LINE_FEATURES, select_on="test", materialize_mode="none")
 
     return _memo(spark, sf_dir, "comparison", build)[0]
 
 
-def _ranked(rows, columns) -> list[tuple]:
-    """(rank, all numbers there, not better than the row before, best value positive) of result rows."""
-    out, before = [], float("inf")
-    for rank, row in enumerate(rows, 1):
-        out.append((rank, all(row[c] is not None for c in columns), row["R2"] <= before, row["R2"] > 0))
-        before = row["R2"]
-    return out
+def _metrics(rows: DataFrame) -> DataFrame:
+    """Metrics to as many digits as their SQL."""
+    digits = {c: msql.DIGITS[m] for c in rows.columns for m in msql.METRICS if c == m or c.endswith(f"_{m}")}
+    return rows.select(*[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in rows.columns])
 
 
-_RANKED_SQL = "SELECT * FROM (VALUES (1, true, true, true), (2, true, true, true), (3, true, true, true)) AS t(rank, complete, ranked, r2_positive)"
-_RANKED = "rank int, complete boolean, ranked boolean, r2_positive boolean"
+_COMPARED_SQL = msql.rows(LINE_FEATURES) + msql.compared(MIN_ROWS, PENALTY)
 
 
-@register("model_comparison", _RANKED_SQL)
+@register("model_comparison", _COMPARED_SQL + f"SELECT {', '.join(RESULT_FIELDS)} FROM compared")
 def q_model_comparison(spark, sf_dir):
-    """Three enabled models, complete rows, ranked by test R2."""
-    results = _comparison(spark, sf_dir)
-    numbers = [c for c in results.columns if c not in ("Model", "Best_Params", "Tuning_Validation_R2")]
-    return spark.createDataFrame(_ranked(results.collect(), numbers), _RANKED)
+    """All fifteen result columns of every model."""
+    return _metrics(_comparison(spark, sf_dir))
 
 
-@register("holdout_table", _RANKED_SQL)
+@register("holdout_table", _COMPARED_SQL + "SELECT Model, R2, RMSE_log, MAE_log, RMSE_EGP FROM compared")
 def q_holdout_table(spark, sf_dir):
-    rows = reports.holdout_table(_comparison(spark, sf_dir))
-    return spark.createDataFrame(_ranked(rows.collect(), rows.columns), _RANKED)
+    return _metrics(reports.holdout_table(_comparison(spark, sf_dir)))
 
 
-@register("split_table", _RANKED_SQL)
+@register("split_table", _COMPARED_SQL + "SELECT Model, Train_R2, Validation_R2, R2, RMSE_EGP FROM compared")
 def q_split_table(spark, sf_dir):
-    rows = reports.split_table(_comparison(spark, sf_dir))
-    return spark.createDataFrame(_ranked(rows.collect(), rows.columns), _RANKED)
+    return _metrics(reports.split_table(_comparison(spark, sf_dir)))
 
 
-@register("model_comparison_chart", _RANKED_SQL)
+@register("model_comparison_chart", _COMPARED_SQL + "SELECT Model, R2, RMSE_EGP FROM compared")
 def q_model_comparison_chart(spark, sf_dir):
-    rows = reports.model_comparison_chart(_comparison(spark, sf_dir))
-    return spark.createDataFrame(_ranked(rows.collect(), rows.columns), _RANKED)
+    return _metrics(reports.model_comparison_chart(_comparison(spark, sf_dir)))
 
 
 @register(
@@ -1023,12 +1140,16 @@ def q_empty_check(spark, sf_dir):
     return rows.agg(F.count(F.lit(1)).alias("listings")).withColumn("refused", F.lit(refused))
 
 
-@register("feature_importance", "SELECT 20 AS features, true AS descending, true AS within_one, true AS first_positive")
+@register(
+    "feature_importance",
+    _TREE_SQL
+    + f", per AS (SELECT k, sum(gain * n) AS g FROM dt_inner GROUP BY k), names AS (SELECT unnest({_FEATURE_NAMES}) AS feature, unnest(range({len(TREE_FEATURES)})) AS k)"
+    + "\nSELECT feature, round(coalesce(g / (SELECT sum(g) FROM per), 0), 6) AS score FROM names LEFT JOIN per USING (k)",
+)
 def q_feature_importance(spark, sf_dir):
-    """What must hold of a forest's ranked importances."""
-    ranked = [score for _, score in feature_importance(fitted_model(spark, sf_dir, "random_forest"), FEATURES, 20)]
-    row = (len(ranked), ranked == sorted(ranked, reverse=True), 0.5 < sum(ranked) <= 1 + 1e-9, ranked[0] > 0)
-    return spark.createDataFrame([row], "features int, descending boolean, within_one boolean, first_positive boolean")
+    """Gains of a tree of depth two, weighed by rows and summed per feature."""
+    model = fitted_on(spark, sf_dir, "decision_tree", TREE_FEATURES, maxDepth=2, minInstancesPerNode=MIN_ROWS)
+    return _round(feature_importance(spark, model, top_n=20))
 
 
 def bundle(spark, sf_dir) -> ModelBundle:
