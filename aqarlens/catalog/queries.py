@@ -37,13 +37,13 @@ from aqarlens.operators.encoding import (
     fit_target_encoding,
 )
 from aqarlens.operators.features import add_listing_features
-from aqarlens.operators.quantiles import exact_quantiles_multi, quantile_table
+from aqarlens.operators.quantiles import exact_quantiles_multi, quantile_table, sketch_quantiles
 from aqarlens.operators.splits import hash_split, split_frames, union_splits
 from aqarlens.plans.cleaning import clean_property_data, critical_condition_for
 from aqarlens.plans.config import FEATURES, TARGET
 from aqarlens.plans.training import prepare_model_data
 from aqarlens.session import checkpoint_dir, drop_folders, materialize, own_folder
-from aqarlens.sources.files import read_listings, write_table
+from aqarlens.sources.files import read_checked, read_listings, write_table
 from aqarlens.sources.listings_view import TIE_COLUMNS, VIEW_COLUMNS, listings_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,9 +108,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 # ---------------------------------------------------------------- stages
 
 
-def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw listings, as a lazy view: each query reads the columns it needs."""
-    return listings_view(spark, sf_dir)
+def raw(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The raw listings, as a lazy view: each query reads the columns, and joins the tables, that it needs."""
+    return listings_view(spark, sf_dir, columns)
 
 
 def cleaning(spark: SparkSession, sf_dir: str):
@@ -204,7 +204,7 @@ def q_csv_roundtrip(spark, sf_dir):
 )
 def q_try_cast_numeric(spark, sf_dir):
     names = ("price_egp", "area_value", "bedrooms", "bathrooms", "images_count", "lat")
-    return raw(spark, sf_dir).select("listing_id", *[F.col(n).try_cast("double").alias(n) for n in names])
+    return raw(spark, sf_dir, "listing_id", *names).select("listing_id", *[F.col(n).try_cast("double").alias(n) for n in names])
 
 
 # ---------------------------------------------------------------- cleaning scalars
@@ -216,7 +216,7 @@ def q_try_cast_numeric(spark, sf_dir):
     + f"\nSELECT listing_id, {sql._rooms('bedrooms', True)} AS bedrooms, {sql._rooms('bathrooms', False)} AS bathrooms FROM listings",
 )
 def q_parse_rooms(spark, sf_dir):
-    df = raw(spark, sf_dir)
+    df = raw(spark, sf_dir, "listing_id", "bedrooms", "bathrooms")
     types = {f.name: f.dataType for f in df.schema.fields}
     return df.select(
         "listing_id",
@@ -232,7 +232,7 @@ def q_parse_rooms(spark, sf_dir):
     f"{sql._amount('images_count')} AS images_count FROM listings",
 )
 def q_parse_amounts(spark, sf_dir):
-    df = raw(spark, sf_dir)
+    df = raw(spark, sf_dir, "listing_id", "price_egp", "area_value", "images_count")
     types = {f.name: f.dataType for f in df.schema.fields}
     return df.select("listing_id", *[parse_amount(n, types[n]).alias(n) for n in ("price_egp", "area_value", "images_count")])
 
@@ -278,7 +278,7 @@ def q_fill_defaults(spark, sf_dir):
     + " AS payment_method FROM listings",
 )
 def q_payment_method(spark, sf_dir):
-    return raw(spark, sf_dir).select("listing_id", payment_method_expr("payment_method").alias("payment_method"))
+    return raw(spark, sf_dir, "listing_id", "payment_method").select("listing_id", payment_method_expr("payment_method").alias("payment_method"))
 
 
 @register(
@@ -289,7 +289,7 @@ def q_payment_method(spark, sf_dir):
     + " FROM listings",
 )
 def q_boolean_flags(spark, sf_dir):
-    return raw(spark, sf_dir).select("listing_id", *[flag_to_int(n).alias(n) for n in fx.BOOLEAN_FLAG_COLUMNS])
+    return raw(spark, sf_dir, "listing_id", *fx.BOOLEAN_FLAG_COLUMNS).select("listing_id", *[flag_to_int(n).alias(n) for n in fx.BOOLEAN_FLAG_COLUMNS])
 
 
 # ---------------------------------------------------------------- filters, dedup, funnel
@@ -574,7 +574,7 @@ def q_feature_summary(spark, sf_dir):
     "FROM listings GROUP BY category",
 )
 def q_category_shares(spark, sf_dir):
-    return profiling.category_shares(raw(spark, sf_dir), "category").withColumn("share", F.round("share", 6))
+    return profiling.category_shares(raw(spark, sf_dir, "category"), "category").withColumn("share", F.round("share", 6))
 
 
 @register(
@@ -584,7 +584,7 @@ def q_category_shares(spark, sf_dir):
     "ORDER BY count DESC, property_type ASC NULLS LAST LIMIT 8",
 )
 def q_top_property_types(spark, sf_dir):
-    return profiling.top_k_counts(raw(spark, sf_dir), "property_type", 8)
+    return profiling.top_k_counts(raw(spark, sf_dir, "property_type"), "property_type", 8)
 
 
 def _histogram_sql(source: str, value: str, segment_sql: str, bins: int = 60) -> str:
@@ -762,6 +762,51 @@ def q_quantiles_approx(spark, sf_dir):
     return spark.createDataFrame(rows, "`column` string, probability double, within boolean")
 
 
+@register(
+    "quantiles_by_city",
+    sql.pipeline("clean")
+    + "\nSELECT city, CAST(p AS DOUBLE) AS probability, count(price_per_sqm) AS n, true AS within FROM clean, "
+    + f"(SELECT unnest([{', '.join(map(str, QUANTILE_PROBS))}]) AS p) GROUP BY city, p",
+)
+def q_quantiles_by_city(spark, sf_dir):
+    """Sketched quantiles of every city, and whether their ranks among the city's rows are within 0.01."""
+    table = cleaned(spark, sf_dir).select("city", TARGET)
+    found = sketch_quantiles(table, TARGET, QUANTILE_PROBS, ("city",))
+    joined = table.join(F.broadcast(found.withColumnRenamed("city", "of")), F.col("city").eqNullSafe(F.col("of")))
+    ranks = joined.groupBy("city", "probability", "value").agg(
+        F.count(TARGET).alias("n"), F.count_if(F.col(TARGET) < F.col("value")).alias("below"), F.count_if(F.col(TARGET) <= F.col("value")).alias("upto")
+    )
+    rank, slack = F.col("probability") * F.col("n"), 0.01 * F.col("n") + 1
+    within = (F.col("below") - slack <= rank) & (rank <= F.col("upto") + slack)
+    return ranks.select("city", "probability", "n", within.alias("within"))
+
+
+# Every 97th listing has text where a number should be, every 101st too few fields.
+_DAMAGE = "CASE WHEN listing_id % 101 = 0 THEN 2 WHEN listing_id % 97 = 0 THEN 1 ELSE 0 END"
+
+
+@register(
+    "csv_checked",
+    sql.pipeline("clean")
+    + "\nSELECT listing_id, CASE d WHEN 0 THEN round(price_egp, 2) END AS price_egp, CASE d WHEN 0 THEN city END AS city, "
+    "CASE d WHEN 1 THEN 'price_egp' WHEN 2 THEN 'fields' END AS reason, 'listing_id bigint,city string,price_egp double' AS found FROM "
+    f"(SELECT *, {_DAMAGE} AS d FROM clean)",
+)
+def q_csv_checked(spark, sf_dir):
+    """A headerless CSV with damaged records: typed good rows, bad rows with the reason, the inferred schema."""
+    damage = F.expr(_DAMAGE)
+    listing, price = F.col("listing_id").cast("string"), F.format_string("%.2f", "price_egp")
+    whole = F.concat_ws(",", listing, F.col("city"), F.when(damage == 1, F.lit("unknown")).otherwise(price))
+    path = scratch_path(spark, "csv_checked")
+    cleaned(spark, sf_dir).select(F.when(damage == 2, listing).otherwise(whole).alias("value")).write.text(path)
+    read = read_checked(spark, path, columns=("listing_id", "city", "price_egp"))
+    found = ",".join(f"{f.name} {f.dataType.simpleString()}" for f in read.schema.fields)
+    good = read.good.select("listing_id", F.round("price_egp", 2).alias("price_egp"), "city", F.lit(None).cast("string").alias("reason"))
+    empty = [F.lit(None).cast(t).alias(n) for n, t in (("price_egp", "double"), ("city", "string"))]
+    bad = read.bad.select(F.expr("cast(split(record, ',')[0] as long)").alias("listing_id"), *empty, "reason")
+    return good.unionByName(bad).withColumn("found", F.lit(found))
+
+
 # ---------------------------------------------------------------- flagship
 
 

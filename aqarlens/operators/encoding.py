@@ -7,9 +7,9 @@ and null keys get ``G``.
 Fit: the category columns are unpivoted to ``(column, value, target)`` and
 aggregated once (partial aggregation map-side, so a value holding a third
 of all rows is combined before the shuffle).  Apply: one left join per
-column.  The mapping side is broadcast only when its row count — counted
-at fit time — is under ``broadcast_rows``; larger mappings use a shuffle
-join, where AQE splits skewed partitions.
+column.  The mapping side is broadcast only when its counted rows and bytes
+are under bounds; of a larger mapping the frequent values are broadcast and
+the others joined by a shuffle.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aqarlens.operators.features import add_listing_features
-from aqarlens.operators.joins import broadcast_if_small
+from aqarlens.operators.joins import DEFAULT_BROADCAST_BYTES, row_bytes
 from aqarlens.session import materialize
 
 # Defaults of the original job.
@@ -30,6 +30,8 @@ DEFAULT_CATEGORICAL_COLUMNS = ("city", "town", "district", "property_type")
 DEFAULT_TARGET = "price_per_sqm"
 DEFAULT_SMOOTHING = 10.0
 NULL_KEYS = 4096
+#: A value with one row in so many is frequent; there are so many frequent values at most.
+HOT_VALUES = 1000
 BROADCAST_ROWS = 200_000
 MAPPING_SCHEMA = "column string, value string, mean double, count long, encoded double"
 
@@ -41,6 +43,16 @@ class TargetEncodingModel:
     smoothing: float
     mapping: DataFrame
     sizes: dict[str, int] = field(default_factory=dict)
+    _bounds: dict[str, tuple[int, int, int]] | None = None
+
+    def bounds(self, column: str) -> tuple[int, int, int]:
+        """(values, bytes, fitted rows) of a column's mapping, counted once for all columns."""
+        if self._bounds is None:
+            counted = self.mapping.groupBy("column").agg(
+                F.count(F.lit(1)).alias("n"), F.sum(row_bytes(self.mapping)).alias("size"), F.sum("count").alias("rows")
+            )
+            self._bounds = {r["column"]: (r["n"], r["size"], r["rows"] or 0) for r in counted.collect()}
+        return self._bounds.get(column, (0, 0, 0))
 
     def save(self, path: str) -> None:
         """Mapping as Parquet, scalars as one JSON row, both written by Spark."""
@@ -129,26 +141,38 @@ def _encode_column(
     df: DataFrame,
     name: str,
     lookup: DataFrame,
-    size: int,
+    bounds: tuple[int, int, int],
     fallback: float,
     broadcast_rows: int,
 ) -> DataFrame:
-    """Left join with the column's mapping.
-
-    Null keys have no mapping row.  In a shuffle join they would all meet in
-    one task, so each gets a key of its own kind, spread over ``NULL_KEYS``
-    values that begin with a control character and stay unmatched.
+    """Left join with the column's mapping, broadcast if its rows and bytes are few, else split by frequency.
+
+    The fit counted each value, so a large mapping names its frequent values:
+    those with at least one row in ``HOT_VALUES``, of which there are so many at
+    most.  They are broadcast; the other values go through a shuffle join.  There
+    the rows that need no match any more, and null keys, would meet in one task;
+    each gets a key of its own kind, spread over ``NULL_KEYS`` values that begin
+    with a control character and stay unmatched.
     """
     enc = f"{name}_enc"
-    if size == 0:
+    rows, size_bytes, total = bounds
+    if rows == 0:
         return df.withColumn(enc, F.lit(fallback))
-    side = lookup.select(F.col("value").alias("__key"), F.col("encoded").alias("__enc"))
-    if size <= broadcast_rows:
-        side = broadcast_if_small(side, broadcast_rows)
-    spread = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*df.columns), F.lit(NULL_KEYS)).cast("string"))
-    keyed = df.withColumn("__key", F.coalesce(F.col(name).cast("string"), spread))
-    joined = keyed.join(side, on="__key", how="left")
-    return joined.withColumn(enc, F.coalesce(F.col("__enc"), F.lit(fallback))).drop("__key", "__enc")
+    key = F.col(name).cast("string")
+    side = lookup.select(F.col("value").alias("__key"), F.col("encoded").alias("__enc"), F.col("count").alias("__rows"))
+    if rows <= broadcast_rows and size_bytes <= DEFAULT_BROADCAST_BYTES:
+        joined = df.join(F.broadcast(side.drop("__rows")), key == F.col("__key"), "left")
+        return joined.withColumn(enc, F.coalesce(F.col("__enc"), F.lit(fallback))).drop("__key", "__enc")
+    frequent = F.col("__rows") * HOT_VALUES >= total
+    hot = side.where(frequent).select(F.col("__key").alias("__hot"), F.col("__enc").alias("__hot_enc"))
+    cold = side.where(~frequent).drop("__rows")
+    flat = [field.name for field in df.schema.fields if "map<" not in field.dataType.simpleString()]
+    spread = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*flat), F.lit(NULL_KEYS)).cast("string"))
+    marked = df.join(F.broadcast(hot), key == F.col("__hot"), "left")
+    open_key = F.when(F.col("__hot").isNull(), key)
+    joined = marked.withColumn("__open", F.coalesce(open_key, spread)).join(cold, F.col("__open") == F.col("__key"), "left")
+    value = F.coalesce("__hot_enc", "__enc", F.lit(fallback))
+    return joined.withColumn(enc, value).drop("__open", "__hot", "__hot_enc", "__key", "__enc")
 
 
 def apply_target_encoding(
@@ -163,7 +187,7 @@ def apply_target_encoding(
     wanted = model.columns if columns is None else tuple(columns)
     for name in wanted:
         lookup = model.mapping.where(F.col("column") == name)
-        out = _encode_column(out, name, lookup, model.sizes.get(name, 0), model.global_mean, broadcast_rows)
+        out = _encode_column(out, name, lookup, model.bounds(name), model.global_mean, broadcast_rows)
     return out
 
 

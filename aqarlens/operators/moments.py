@@ -24,16 +24,25 @@ def unfolded(df: DataFrame, items: Sequence[Mapping[str, Column]]) -> DataFrame:
 def item_stats(df: DataFrame, items: Sequence[Mapping[str, Column]], stats: Sequence[Column], labels: Mapping[str, Sequence[str]]) -> DataFrame:
     """``labels`` (a text per item) and ``stats`` of every item; items without a row have null statistics."""
     found = unfolded(df, items).groupBy("item").agg(*stats)
-    rows = [(k, *texts) for k, texts in enumerate(zip(*labels.values(), strict=True))]
-    named = df.sparkSession.createDataFrame(rows, ", ".join(["number int", *(f"`{name}` string" for name in labels)]))
-    joined = named.join(found, named["number"] == found["item"], "left")
-    return joined.drop("number", "item")
+    number = F.col("id").cast("int")
+    texts = [F.element_at(F.array(*map(F.lit, values)), number + 1).alias(name) for name, values in labels.items()]
+    named = df.sparkSession.range(0, len(items), 1, 1).select(number.alias("number"), *texts)
+    # At most a row per item.
+    return named.join(F.broadcast(found), F.col("number") == F.col("item"), "left").drop("number", "item")
 
 
 def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], labels: Mapping[str, Sequence[str]]) -> DataFrame:
-    """``labels`` and ``pearson_r`` of each pair of columns; rows with a null in the pair are skipped."""
-    items = [{"x": F.col(x).cast("double"), "y": F.col(y).cast("double")} for x, y in pairs]
-    return item_stats(df, items, [F.corr("x", "y").alias("pearson_r")], labels)
+    """``labels`` and ``pearson_r`` of each pair of columns; rows with a null in the pair are skipped.
+
+    A pair with a column that never changes has a null.
+    """
+    items = []
+    for x, y in pairs:
+        one, other = F.col(x).cast("double"), F.col(y).cast("double")
+        items.append({"x": F.when(other.isNotNull(), one), "y": F.when(one.isNotNull(), other)})
+    # Not corr(), which fails on a constant column in ANSI mode.
+    r = F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y"))
+    return item_stats(df, items, [r.alias("pearson_r")], labels)
 
 
 def covariances(df: DataFrame, columns: Sequence[str]) -> tuple[int, np.ndarray, np.ndarray]:

@@ -8,23 +8,13 @@ one-row aggregate read back as a scalar.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aqarlens.functions.parsing import try_double
-
-
-#: Aggregate buffers of one node: beyond 100 fields Spark leaves whole-stage code generation.
-BUFFERS = 90
-
-
-def _grouped(items: Sequence, buffers: int) -> list[list]:
-    """Runs of items whose aggregates, ``buffers`` fields each, fit one generated aggregate."""
-    size = max(1, BUFFERS // buffers)
-    return [list(items[k : k + size]) for k in range(0, len(items), size)]
+from aqarlens.operators.moments import item_stats, pair_correlations
 
 
 def _explode_rows(df: DataFrame, rows: Sequence[Column]) -> DataFrame:
@@ -45,45 +35,29 @@ def missing_values(df: DataFrame) -> DataFrame:
 
 
 def feature_summary(df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
-    """``(feature, dtype, non_null, min, max, mean)``; numeric stats as double.
-
-    Features are taken in runs that fit one generated aggregate each; every
-    run reads its own columns only.
-    """
+    """``(feature, dtype, non_null, min, max, mean)``; numeric stats as double, one scan for any number of features."""
+    names = list(features or df.columns)
     types = {field.name: field.dataType.simpleString() for field in df.schema.fields}
-    parts = []
-    for names in _grouped(list(features or df.columns), 5):
-        stats = []
-        for i, name in enumerate(names):
-            value = try_double(name)
-            stats += [
-                F.count(F.col(name)).alias(f"n{i}"),
-                F.min(value).alias(f"lo{i}"),
-                F.max(value).alias(f"hi{i}"),
-                F.avg(value).alias(f"mu{i}"),
-            ]
-        rows = [
-            F.struct(
-                F.lit(name).alias("feature"),
-                F.lit(types[name]).alias("dtype"),
-                F.col(f"n{i}").alias("non_null"),
-                F.col(f"lo{i}").alias("min"),
-                F.col(f"hi{i}").alias("max"),
-                F.col(f"mu{i}").alias("mean"),
-            )
-            for i, name in enumerate(names)
-        ]
-        parts.append(_explode_rows(df.agg(*stats), rows))
-    return reduce(DataFrame.unionAll, parts)
+    items = [{"there": F.col(name).isNotNull(), "value": try_double(name)} for name in names]
+    stats = [
+        F.count_if("there").alias("non_null"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        F.avg("value").alias("mean"),
+    ]
+    found = item_stats(df, items, stats, {"feature": names, "dtype": [types[name] for name in names]})
+    return found.withColumn("non_null", F.coalesce("non_null", F.lit(0)))
 
 
 def category_shares(df: DataFrame, column: str = "category") -> DataFrame:
     """Rows per value (null is a group) and its share of all rows; one scan.
 
-    The total is summed over the groups, one row each.
+    The total is one row, summed from the groups' partial sums and joined back,
+    so no task holds all groups.
     """
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
-    return counts.withColumn("share", F.col("count") / F.sum("count").over(Window.partitionBy(F.lit(0))))
+    total = counts.agg(F.sum("count").alias("total"))
+    return counts.crossJoin(F.broadcast(total)).withColumn("share", F.col("count") / F.col("total")).drop("total")
 
 
 def top_k_counts(df: DataFrame, column: str = "property_type", k: int = 8) -> DataFrame:
@@ -96,27 +70,17 @@ def top_k_counts(df: DataFrame, column: str = "property_type", k: int = 8) -> Da
     )
 
 
-def _correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], label: Callable[[str, str], list[Column]]) -> DataFrame:
-    """``pearson_r`` of each pair beside its label columns, in runs that fit one generated aggregate each."""
-    parts = []
-    for run in _grouped(pairs, 6):
-        stats = df.agg(*[F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias(f"r{i}") for i, (x, y) in enumerate(run)])
-        rows = [F.struct(*label(x, y), F.col(f"r{i}").alias("pearson_r")) for i, (x, y) in enumerate(run)]
-        parts.append(_explode_rows(stats, rows))
-    return reduce(DataFrame.unionAll, parts)
-
-
 def feature_correlations(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    """Pearson r of every feature with the target, ascending.
+    """Pearson r of every feature with the target, ascending; one scan.
 
     Pairs with a null are skipped (``corr``), not read as zero.
     """
-    rows = _correlations(df, [(name, target) for name in features], lambda x, _: [F.lit(x).alias("feature")])
-    return rows.orderBy("pearson_r", "feature")
+    pairs = [(name, target) for name in features]
+    return pair_correlations(df, pairs, {"feature": list(features)}).orderBy("pearson_r", "feature")
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Strictly lower triangle ``(row_feature, col_feature, pearson_r)``.
+    """Strictly lower triangle ``(row_feature, col_feature, pearson_r)``; one scan.
 
     Values are try-cast to double; rows with any null are dropped first
     (listwise), as a complete-case correlation matrix.
@@ -124,7 +88,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     present = [name for name in columns if name in df.columns]
     values = df.select(*[try_double(name).alias(name) for name in present]).dropna()
     pairs = [(present[i], present[j]) for i in range(len(present)) for j in range(i)]
-    return _correlations(values, pairs, lambda x, y: [F.lit(x).alias("row_feature"), F.lit(y).alias("col_feature")])
+    return pair_correlations(values, pairs, {"row_feature": [x for x, _ in pairs], "col_feature": [y for _, y in pairs]})
 
 
 def _bin_expr(value: Column, low: float, high: float, bins: int) -> Column:

@@ -336,3 +336,31 @@ def quantile_table(
         for p, value in zip(probabilities, found[column])
     ]
     return df.sparkSession.createDataFrame(rows, "column string, probability double, value double")
+
+
+#: Size parameter of the sketches: ranks are within about 0.4% with it.
+SKETCH_SIZE = 800
+
+
+def sketch_quantiles(
+    df: DataFrame, column: str, probabilities: Sequence[float], group: Sequence[str] = (), size: int = SKETCH_SIZE
+) -> DataFrame:
+    """``(*group, probability, value)``: approximate quantiles of every group from one mergeable sketch each.
+
+    A sketch is a partial aggregate of bounded size, so a group that holds most
+    rows is combined before the shuffle.  Nulls and NaN do not count; a group
+    without a number has null values.
+    """
+    number = F.col(column).cast("double")
+    # Groups without numbers keep a row: their sketch is null, and so are their values.
+    sketched = df.groupBy(*group).agg(
+        F.kll_sketch_agg_double(F.when(~F.isnan(number), number), size).alias("__sketch"), F.count_if(number.isNotNull() & ~F.isnan(number)).alias("__n")
+    )
+    values = [
+        F.struct(
+            F.lit(float(p)).alias("probability"),
+            F.when(F.col("__n") > 0, F.kll_sketch_get_quantile_double("__sketch", F.lit(float(p)))).alias("value"),
+        )
+        for p in probabilities
+    ]
+    return sketched.select(*group, F.explode(F.array(*values)).alias("__r")).select(*group, "__r.*")

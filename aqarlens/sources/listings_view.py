@@ -10,11 +10,11 @@ plain SELECT.  The view therefore grows linearly with ``lineitem``.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aqarlens.operators.joins import broadcast_if_small
-
 # The view's column derivations (shared with the oracle SQL).
 VIEW_COLUMNS: tuple[tuple[str, str], ...] = (
     ("listing_id", "l_orderkey * 10 + l_linenumber"),
@@ -75,8 +75,6 @@ VIEW_COLUMNS: tuple[tuple[str, str], ...] = (
     ("tie_ship", "l_shipdate"),
 )
 
-GEOGRAPHY_ROWS = 10_000
-
 # Columns that give a total order within one listing_id (dedup tie-break).
 TIE_COLUMNS = ("tie_partkey", "tie_suppkey", "tie_price", "tie_ship")
 
@@ -104,26 +102,41 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if splits < cores else df
 
 
-def listings_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw listings (strings as scraped) derived from the star schema.
+def _tokens(names: tuple[str, ...]) -> set[str]:
+    """The table columns that the view columns' expressions name."""
+    return {token for name, expression in VIEW_COLUMNS if name in names for token in re.findall(r"[a-z]+_[a-z]+", expression)}
 
-    ``nation`` and ``region`` have a fixed size (25 and 5 rows); they are
-    broadcast after a row count confirms it.  ``part`` and ``supplier`` grow
-    with the scale factor, so their join strategy is left to the planner's
-    size estimate and AQE.
+
+def listings_view(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] = ()) -> DataFrame:
+    """Raw listings (strings as scraped) derived from the star schema; ``columns`` keeps some of them only.
+
+    A dimension that none of the columns reads is not joined: every line has
+    its part and supplier, every supplier its nation, every nation its region
+    (foreign keys), so such a join would change no row.  ``nation`` and
+    ``region`` have a fixed size (25 and 5 rows), ``part`` and ``supplier`` grow
+    with the scale factor; all are left to the planner, which knows the files'
+    sizes, and to AQE.
     """
-    lineitem = spread(read_table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS))
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand", "p_size")
-    supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geography = nation.join(broadcast_if_small(region, GEOGRAPHY_ROWS), nation.n_regionkey == region.r_regionkey)
-    joined = (
-        lineitem.join(part, lineitem.l_partkey == part.p_partkey)
-        .join(supplier, lineitem.l_suppkey == supplier.s_suppkey)
-        .join(broadcast_if_small(geography, GEOGRAPHY_ROWS), F.col("s_nationkey") == F.col("n_nationkey"))
-    )
-    return joined.selectExpr(*[f"{expression} AS {name}" for name, expression in VIEW_COLUMNS])
+    wanted = columns or tuple(name for name, _ in VIEW_COLUMNS)
+    read = _tokens(wanted)
+
+    def table(name: str, *names: str) -> DataFrame:
+        return read_table(spark, sf_dir, name).select(*names)
+
+    by_part, by_region = {"p_type", "p_brand", "p_size"} & read, "r_name" in read
+    by_nation = by_region or "n_name" in read
+    keys = {"l_partkey"} & (read if not by_part else {"l_partkey"}) | {"l_suppkey"} & (read if not by_nation else {"l_suppkey"})
+    lines = [name for name in LINEITEM_COLUMNS if name in read | keys]
+    joined = spread(table("lineitem", *lines))
+    if by_part:
+        joined = joined.join(table("part", "p_partkey", *sorted(by_part)), F.col("l_partkey") == F.col("p_partkey"))
+    if by_nation:
+        nations = table("nation", "n_nationkey", "n_name", "n_regionkey")
+        if by_region:
+            nations = nations.join(table("region", "r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"))
+        joined = joined.join(table("supplier", "s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+        joined = joined.join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+    return joined.selectExpr(*[f"{expression} AS {name}" for name, expression in VIEW_COLUMNS if name in wanted])
 
 
 def listings_sql() -> str:

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
+
+from aqarlens.operators import encoding
 from aqarlens.operators.encoding import (
     TargetEncodingModel,
     add_target_encodings,
@@ -61,7 +64,8 @@ def test_broadcast_and_shuffle_join_agree_and_roundtrip(spark, tmp_path):
     try:
         large = apply_target_encoding(df, model, broadcast_rows=0)
         plan = _plan(large)
-        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        # The frequent values are broadcast, the others shuffled.
+        assert "SortMergeJoin" in plan
         assert large.exceptAll(small).count() == 0 and large.count() == 600
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
@@ -71,6 +75,29 @@ def test_broadcast_and_shuffle_join_agree_and_roundtrip(spark, tmp_path):
     assert apply_target_encoding(df, loaded).exceptAll(small).count() == 0
 
 
+@pytest.mark.parametrize("hot_values", [2, 10, 10_000])
+def test_large_mapping_splits_by_frequency(spark, monkeypatch, hot_values):
+    """A value with half of all rows, nulls with a quarter, unseen values: the same as a broadcast join gives."""
+    monkeypatch.setattr(encoding, "HOT_VALUES", hot_values)
+    rows = [("hot" if k % 2 else None if k % 4 else f"v{k % 300}", float(k % 13)) for k in range(4000)]
+    df = spark.createDataFrame(rows, "city string, price_per_sqm double").withColumn("m", F.expr("map('a', 1)"))
+    model = fit_target_encoding(df.drop("m"), ("city",))
+    other = df.unionByName(df.limit(3).withColumn("city", F.lit("unseen")))
+    small, large = apply_target_encoding(other, model), apply_target_encoding(other, model, broadcast_rows=0)
+    assert large.drop("m").exceptAll(small.drop("m")).count() == 0 and large.count() == 4003 and large.columns == small.columns
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        large = apply_target_encoding(other, model, broadcast_rows=0)
+        sizes = large.where("city = 'hot'").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        # Rows of the hot value need no match in the shuffle and are dealt over its partitions.
+        assert hot_values < 10 or max(r["count"] for r in sizes) < 1500
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_broadcast_needs_few_bytes_too(spark):
     df = spark.createDataFrame([("x" * 1000,)] * 20, "t string")
     other = spark.createDataFrame([("x" * 1000,)], "t string")

@@ -7,6 +7,8 @@ import re
 import pytest
 
 from aqarlens.catalog import queries as q
+from aqarlens.operators import profiling
+from aqarlens.sources.listings_view import listings_view
 from aqarlens.session import _FOLDERS, drop_folders, own_folder
 
 
@@ -23,15 +25,66 @@ def test_wide_aggregates_stay_in_generated_code(spark, sf_dir, name):
     assert aggregates and all(re.search(r"\*\(\d+\) HashAggregate", line) for line in aggregates)
 
 
-def test_single_pass_queries_read_their_columns_only(spark, sf_dir):
-    plan = q.QUERIES["top_property_types"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-    schemas = re.findall(r"ReadSchema: struct<(.*?)>", plan)
-    columns = {c.split(":")[0] for schema in schemas for c in schema.split(",") if c}
-    assert columns <= {"l_partkey", "l_suppkey", "p_partkey", "p_type", "p_brand", "s_suppkey", "s_nationkey",
-                       "n_nationkey", "n_regionkey", "r_regionkey", "l_orderkey", "l_linenumber"}
+def _read(plan):
+    return [{c.split(":")[0] for c in schema.split(",") if c} for schema in re.findall(r"ReadSchema: struct<(.*?)>", plan)]
+
+
+def _planned(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["feature_summary", "feature_correlations", "correlation_matrix"])
+def test_profiles_take_one_scan(spark, tmp_path, name):
+    path = str(tmp_path / "t")
+    spark.range(50).selectExpr(*[f"cast(id * {k + 1} % 17 as double) AS c{k}" for k in range(40)]).write.parquet(path)
+    names = [f"c{k}" for k in range(39)]
+    frame = spark.read.parquet(path)
+    made = {
+        "feature_summary": lambda: profiling.feature_summary(frame, names),
+        "feature_correlations": lambda: profiling.feature_correlations(frame, names, "c39"),
+        "correlation_matrix": lambda: profiling.correlation_matrix(frame, names[:12]),
+    }[name]()
+    assert len(re.findall(r"FileScan parquet", _final(made))) == 1
+
+
+def test_constant_columns_have_no_correlation(spark):
+    frame = spark.range(5).selectExpr("cast(id as double) as a", "1.0D as b", "2.0D * id as c", "if(id = 1, null, 3.0D * id) as d")
+    got = {r.feature: r.pearson_r for r in profiling.feature_correlations(frame, ["a", "b", "d"], "c").collect()}
+    assert got == {"a": pytest.approx(1.0), "b": None, "d": pytest.approx(1.0)}
+
+
+@pytest.mark.parametrize(
+    ("name", "columns"),
+    [("category_shares", [{"l_returnflag"}]), ("top_property_types", [{"l_partkey"}, {"p_partkey", "p_type"}])],
+)
+def test_queries_join_and_read_what_they_need(spark, sf_dir, name, columns):
+    plan = _planned(q.QUERIES[name](spark, sf_dir))
+    assert _read(plan)[: len(columns)] == columns and all(c in columns for c in _read(plan))
     assert "aqarlens-stages" not in plan
 
 
+def test_shares_keep_groups_apart(spark, sf_dir):
+    """Only partial sums, a row per task, meet in one task."""
+    plan = _planned(q.QUERIES["category_shares"](spark, sf_dir))
+    assert "Window" not in plan
+    for line in re.findall(r"Exchange SinglePartition.*\n(.*)", plan):
+        assert "HashAggregate" in line and "partial_sum" in line
+
+
+def test_one_encoding_reads_its_columns(spark, sf_dir):
+    plan = _planned(q.QUERIES["city_price_summary"](spark, sf_dir))
+    rows = [columns for columns in _read(plan) if "listing_id" in columns or "price_per_sqm" in columns]
+    assert all(columns <= {"category", "city", "price_per_sqm"} for columns in rows)
+
+
+def test_view_columns_alone_are_those_of_the_whole_view(spark, sf_dir):
+    whole = listings_view(spark, sf_dir)
+    for columns in (("listing_id", "town"), ("city", "bedrooms"), ("images_count", "lat"), ("district",)):
+        part, same = listings_view(spark, sf_dir, columns), whole.select(*columns)
+        assert set(part.columns) == set(columns)
+        assert part.select(*columns).exceptAll(same).count() == 0 and same.exceptAll(part.select(*columns)).count() == 0
+
+
 def test_folders_are_removed(spark, tmp_path):
     path = own_folder(spark, "scratch")
     spark.range(3).write.parquet(path)

@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from aqarlens.operators.quantiles import approx_quantiles, exact_quantiles, exact_quantiles_multi
+from aqarlens.operators.quantiles import approx_quantiles, exact_quantiles, exact_quantiles_multi, sketch_quantiles
 
 
 def brute(values, q):
@@ -61,3 +61,23 @@ def test_single_job_path_matches_round_path(spark):
     assert exact_quantiles_multi(df, requests, row_hint=len(values))["x"] == [brute(values, q) for q in requests["x"]]
     empty = spark.createDataFrame([], "x double")
     assert exact_quantiles_multi(empty, {"x": [0.5]}, row_hint=0) == {"x": [None]}
+
+
+def test_sketched_quantiles_of_groups(spark):
+    """A hot group, a small one, a null key and a group without numbers; ranks within 0.01."""
+    rng = random.Random(4)
+    rows = [("hot", rng.gauss(0, 1)) for _ in range(20000)] + [("few", float(k)) for k in range(7)]
+    rows += [(None, 5.0), ("none", None), ("none", math.nan), ("few", None)]
+    frame = spark.createDataFrame(rows, "g string, x double").repartition(5)
+    probs = (0.0, 0.1, 0.5, 0.99, 1.0)
+    got = {(r.g, r.probability): r.value for r in sketch_quantiles(frame, "x", probs, ("g",)).collect()}
+    assert len(got) == 4 * len(probs)
+    for group in ("hot", "few", None):
+        values = sorted(x for g, x in rows if g == group and x is not None)
+        for p in probs:
+            low = sum(v < got[group, p] for v in values)
+            high = sum(v <= got[group, p] for v in values)
+            slack = 0.01 * len(values) + 1
+            assert low - slack <= p * len(values) <= high + slack
+    assert {got["none", p] for p in probs} == {None}
+    assert [r.value for r in sketch_quantiles(frame.where("g = 'few'"), "x", (0.5,)).collect()] == [3.0]

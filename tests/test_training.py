@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from aqarlens.catalog import queries as q
 from aqarlens.plans.config import DEFAULT_MODEL_PARAMS, FEATURES
 from aqarlens.plans.scoring import ModelBundle, predict_price_per_sqm
-from aqarlens.plans.training import model_specs, prepare_model_data, train_models
+from aqarlens.plans.evaluation import feature_importance, metrics_by_split
+from aqarlens.plans.training import fit_model, model_specs, prepare_model_data, train_models, tuning_table
+from aqarlens.plans.trees import node_table, predict_by_nodes
 
 
 def test_label_is_log_of_target(spark):
@@ -96,3 +98,41 @@ def test_target_name_is_carried(spark, sf_dir):
     off = {k: {"enabled": False} for k in ("decision_tree", "random_forest", "gbt")}
     _, best = train_models(table, {"linear_regression": {"estimator": {"maxIter": 5}}, **off}, target="other")
     assert best["target"] == "other"
+
+
+def test_validation_column_ignores_partitions(spark):
+    """The same scores whatever the partitions; null flags train; the best set is fitted on all rows."""
+    from pyspark.ml.regression import LinearRegression
+    from pyspark.ml.tuning import ParamGridBuilder
+
+    rows = spark.range(400).selectExpr("cast(id % 23 as double) as x", "2.0 * (id % 23) + id % 5 as label", "if(id % 4 = 0, true, if(id % 4 = 1, null, false)) as held")
+    estimator = LinearRegression(featuresCol="features", labelCol="label")
+    grid = ParamGridBuilder().addGrid(estimator.regParam, [5.0, 0.0]).build()
+    tuning = {"method": "train_validation_split", "validation_col": "held", "materialize": "none"}
+    found = []
+    for n in (1, 7):
+        model, tuned = fit_model(estimator, grid, rows.repartition(n), ["x"], tuning)
+        found.append([(chosen["regParam"], round(score, 9)) for chosen, score in tuning_table(tuned)])
+        whole, _ = fit_model(estimator, [{estimator.regParam: 0.0}], rows, ["x"])
+        assert model.stages[-1].intercept == pytest.approx(whole.stages[-1].intercept)
+    assert found[0] == found[1] and [p for p, _ in found[0]] == [0.0, 5.0]
+
+
+def test_shipped_forest_and_boosting_fit(spark, sf_dir):
+    """All 33 features: better than the mean on every split; node tables predict alike."""
+    table = q.model_table(spark, sf_dir)
+    for key in ("random_forest", "gbt"):
+        model = q.fitted_model(spark, sf_dir, key)
+        assert all(r.r2 > 0 for r in metrics_by_split(model.transform(table)).collect())
+        own = predict_by_nodes(table, node_table(spark, model), FEATURES, "listing_id").withColumnRenamed("prediction", "own")
+        apart = model.transform(table).join(own, "listing_id").agg(F.max(F.abs(F.col("prediction") - F.col("own"))), F.count("*")).first()
+        assert apart[0] < 1e-9 and apart[1] == table.count()
+
+
+def test_importance_names_come_from_the_model(spark, sf_dir):
+    ranked = feature_importance(spark, q.fitted_model(spark, sf_dir, "random_forest"), 20).collect()
+    scores = [r.score for r in ranked]
+    assert len(scores) == 20 and scores == sorted(scores, reverse=True) and scores[0] > 0 and {r.feature for r in ranked} <= set(FEATURES)
+    line = q.fitted_on(spark, sf_dir, "linear_regression", q.LINE_FEATURES)
+    weights = dict(zip(q.LINE_FEATURES, line.stages[-1].coefficients.toArray(), strict=True))
+    assert {r.feature: r.score for r in feature_importance(spark, line).collect()} == {k: abs(v) for k, v in weights.items()}
