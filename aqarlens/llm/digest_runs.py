@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aqarlens.llm.common import stage
+from aqarlens.llm.common import free_names, stage
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 KEY = ["digest", "n_bytes", "check"]
@@ -87,17 +87,19 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     no equal text has an id.
     """
     groups = exact_groups(docs, id_col, text_col)
-    ids = groups.where(f"not kept and {id_col} is not null").select(id_col, "text_sha256")
-    own = docs.withColumn("__sha", F.sha2(normalised(F.col(text_col)), 256))
-    ids = ids.select(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__s")).distinct()
-    left = own.join(ids, (F.col(id_col) == F.col("__id")) & (F.col("__sha") == F.col("__s")), "left_anti")
+    # Columns of the caller's may have any name.
+    sha, gone_id, gone_sha = free_names(docs, "__sha", "__id", "__s")
+    ids = groups.where(f"not kept and {id_col} is not null")
+    own = docs.withColumn(sha, F.sha2(normalised(F.col(text_col)), 256))
+    ids = ids.select(F.col(id_col).alias(gone_id), F.col("text_sha256").alias(gone_sha)).distinct()
+    left = own.join(ids, (F.col(id_col) == F.col(gone_id)) & (F.col(sha) == F.col(gone_sha)), "left_anti")
     repeated = groups.where("kept").groupBy(id_col, "text_sha256").count().where("count > 1")
     lost = groups.where(f"{id_col} is null and keep_id is not null").limit(1)
     if repeated.limit(1).count() or lost.count():
-        named = groups.where(f"{id_col} is null and keep_id is not null").select(F.col("text_sha256").alias("__s"))
-        left = left.join(named.distinct(), F.col(id_col).isNull() & (F.col("__sha") == F.col("__s")), "left_anti")
-        left = left.dropDuplicates([id_col, "__sha"])
-    return left.drop("__sha")
+        named = groups.where(f"{id_col} is null and keep_id is not null").select(F.col("text_sha256").alias(gone_sha))
+        left = left.join(named.distinct(), F.col(id_col).isNull() & (F.col(sha) == F.col(gone_sha)), "left_anti")
+        left = left.dropDuplicates([id_col, sha])
+    return left.drop(sha)
 
 
 def op4_exact_dedup(spark, sf_dir):

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aqarlens.llm import exchange, kernels
-from aqarlens.llm.common import chunk_count, components, stage, text_bytes
+from aqarlens.llm.common import chunk_count, components, free_names, stage, text_bytes
 from aqarlens.llm.exchange import distinct_texts, pick
 
 #: Further stars around each open index entry, in each round.
@@ -266,8 +266,10 @@ def near_duplicates(
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component, with all their columns; rows without id stay."""
     found = near_duplicates(docs, id_col, text_col, percent)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__id")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__id"], "left_anti")
+    gone = found.where(F.col(id_col) != F.col("component_id"))
+    (key,) = free_names(docs, "__id")
+    gone = gone.select(F.col(id_col).alias(key)).distinct()
+    return docs.join(gone, F.col(id_col) == F.col(key), "left_anti")
 
 
 def op7_ngram_jaccard(spark, sf_dir):

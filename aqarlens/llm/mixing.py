@@ -21,7 +21,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aqarlens.llm.common import stage
+from aqarlens.llm.common import free_names, stage
 
 #: Blocks of a permutation, and of each block within it (a power of two).
 BLOCK_BITS = 8
@@ -186,11 +186,15 @@ def _taken(placed: DataFrame) -> DataFrame:
 
 
 def repeat_rows(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, each as often as ``mixed`` (of the same documents) takes it."""
-    copies = mixed.groupBy(F.col(id_col).alias("__id")).agg(F.max("copies").alias("__copies"))
-    joined = docs.join(copies, docs[id_col].eqNullSafe(copies["__id"]))
-    times = F.sequence(F.lit(1).cast("long"), F.col("__copies"))
-    return joined.where("__copies > 0").withColumn("__k", F.explode(times)).select(*docs.columns)
+    """The rows of ``docs``, each as often as ``mixed`` (of the same documents) takes it, with all their columns.
+
+    Null ids count as one id; rows that share an id are taken as often as the
+    one of them that ``mixed`` takes most.
+    """
+    key, times, number = free_names(docs, "__id", "__copies", "__k")
+    copies = mixed.groupBy(F.col(id_col).alias(key)).agg(F.max("copies").alias(times))
+    joined = docs.join(copies, F.col(id_col).eqNullSafe(F.col(key))).where(F.col(times) > 0)
+    return joined.withColumn(number, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).select(*docs.columns)
 
 
 def op8_mix_sources(spark, sf_dir):

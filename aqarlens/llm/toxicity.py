@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aqarlens.llm import kernels
-from aqarlens.llm.common import row_slices, stage, worker_state
+from aqarlens.llm.common import free_names, row_slices, stage, worker_state
 
 FIT_ROWS = 20_000
 #: Beginnings of words that can be lexicon terms, and the shortest that may be misspelt.
@@ -439,8 +439,9 @@ def score_toxicity(
 def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose documents score below one half, with all their columns."""
     scored = score_toxicity(docs, labels, id_col, text_col)
-    toxic = stage(scored.where("predicted = 1").select(F.col(id_col).alias("__id")).distinct(), "toxic-ids")
-    return docs.join(toxic, docs[id_col].eqNullSafe(toxic["__id"]), "left_anti")
+    (key,) = free_names(docs, "__id")
+    toxic = stage(scored.where("predicted = 1").select(F.col(id_col).alias(key)).distinct(), "toxic-ids")
+    return docs.join(toxic, F.col(id_col).eqNullSafe(F.col(key)), "left_anti")
 
 
 def op10_toxicity(spark, sf_dir):

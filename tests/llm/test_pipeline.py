@@ -48,6 +48,21 @@ def test_stages_keep_columns_and_clean_rows(spark, tmp_path):
     assert corpus_pipeline.run(spark, folder).count() == len(seen["bpe"])
 
 
+def test_columns_of_any_name_pass(spark, tmp_path):
+    """Columns named like the stages' own come through every stage with their values."""
+    rows = [(k, prose(k, 12), "en", "ab"[k % 2]) for k in range(12)] + [(12, prose(3, 12), "en", "a"), (5, prose(5, 12), "en", "b")]
+    rows += [(20 + k, f"{prose(60 + k, 9)} vermin {prose(90 + k, 5)}", "en", "a") for k in range(9)] + [(None, prose(4, 12), "en", "a")]
+    names = ["__sha", "__id", "__s", "__k", "__copies", "__ID_", "digest"]
+    _write(spark, str(tmp_path), rows, [(k, 1, int(k >= 20)) for k in range(29)])
+    frame = spark.createDataFrame(rows, SCHEMA).selectExpr("*", *[f"concat('{n}', doc_id) AS `{n}`" for n in names])
+    docs = frame
+    for _, apply in corpus_pipeline.STAGES[:-1]:
+        docs = apply(spark, docs, str(tmp_path))
+    found = docs.collect()
+    assert docs.columns == frame.columns and {r.doc_id for r in found} >= set(range(12))
+    assert all(r[n] == (None if r.doc_id is None else f"{n}{r.doc_id}") for r in found for n in names)
+
+
 def test_empty_documents(spark, tmp_path):
     _write(spark, str(tmp_path), [], [(1, 1, 0)])
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
