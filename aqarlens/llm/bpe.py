@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from aqarlens.llm.common import row_slices, worker_state
 
-MEMO = 300_000
+MEMO = 200_000
 #: Words of a bucket: displacement search stays short and the table small.
 BUCKET = 4
 PRIME = (1 << 31) - 1
@@ -186,57 +186,72 @@ class Encoder:
         return np.frombuffer(self.packed([text])[0], "<i4").tolist()
 
 
-def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+class Decoder:
+    """Ids to the bytes they stand for, by gathers from the vocabulary's bytes."""
+
+    def __init__(self, tier: PerfectHash):
+        pieces = sorted(zip(tier.values, tier.keys, strict=True)) if tier.keys[0] is not None else []
+        self.size = np.zeros(pieces[-1][0] + 1 if pieces else 1, np.int64)
+        self.size[[rank for rank, _ in pieces]] = [len(piece) for _, piece in pieces]
+        self.begin = np.cumsum(self.size) - self.size
+        self.pieces = np.frombuffer(b"".join(piece for _, piece in pieces), np.uint8)
+
+    def _joined(self, ids: np.ndarray) -> bytes:
+        n = self.size[ids]
+        shift = self.begin[ids] - (np.cumsum(n) - n)
+        return self.pieces[np.repeat(shift, n) + np.arange(n.sum())].tobytes()
+
+    def texts(self, lists: pa.ListArray) -> list[bytes]:
+        """The bytes of each list of ids; null lists as empty."""
+        n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+        flat = lists.flatten().to_numpy()
+        far = np.concatenate([[0], np.cumsum(self.size[flat])])[np.concatenate([[0], np.cumsum(n)])]
+        whole = b"".join(self._joined(flat[low : low + GATHER]) for low in range(0, len(flat), GATHER))
+        return [whole[a:b] for a, b in pairwise(far.tolist())]
+
+
+def _id_lists(encoder: Encoder, texts: pa.Array) -> pa.ListArray:
+    lists = encoder.packed([text or "" for text in texts.to_pylist()])
+    ends = np.cumsum([0, *(len(x) // 4 for x in lists)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(lists), "<i4")))
+
+
+def encode(
+    docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False
+) -> DataFrame:
     """(id, ids array<int>) per document, each match of ``pattern`` encoded separately.
 
     Null text counts as empty and gives an empty array.  Every row gives a
-    row, repeated ids included; other columns are not read.
+    row, repeated ids included; other columns are not read.  ``decoded`` adds a
+    binary column of that name, the ids decoded again in the same task.
     """
     name = uuid.uuid4().hex
     tables = docs.sparkSession.sparkContext.broadcast((PerfectHash(read_ranks(vocabulary)), pattern))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_state(name, lambda: Encoder(*tables.value))
+        encoder, decoder = worker_state(name, lambda: (Encoder(*tables.value), Decoder(tables.value[0])))
         for whole in batches:
             for batch in row_slices(whole):
-                lists = encoder.packed([text or "" for text in batch.column(1).to_pylist()])
-                ends = np.cumsum([0, *(len(x) // 4 for x in lists)], dtype=np.int32)
-                flat = np.frombuffer(b"".join(lists), "<i4")
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["id", "ids"])
+                out = {"id": batch.column(0), "ids": _id_lists(encoder, batch.column(1))}
+                if decoded:
+                    out["decoded"] = pa.array(decoder.texts(out["ids"]), pa.binary())
+                yield pa.RecordBatch.from_pydict(out)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "id long, ids array<int>").withColumnRenamed("id", id_col)
-
-
-def _joined(pieces: np.ndarray, begin: np.ndarray, size: np.ndarray, ids: np.ndarray) -> bytes:
-    """The pieces of ids, one after another, by one gather from the vocabulary's bytes."""
-    n = size[ids]
-    shift = begin[ids] - (np.cumsum(n) - n)
-    return pieces[np.repeat(shift, n) + np.arange(n.sum())].tobytes()
+    schema = "id long, ids array<int>" + ", decoded binary" * decoded
+    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
 def decode(tokens: DataFrame, vocabulary: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``tokens`` with the bytes its ids stand for, as binary column ``out_col``; null ids as empty."""
-    ranks = read_ranks(vocabulary)
-    size = np.zeros(max(ranks.values(), default=-1) + 1, np.int64)
-    size[list(ranks.values())] = list(map(len, ranks))
-    pieces = b"".join(sorted(ranks, key=ranks.__getitem__))
-    table = tokens.sparkSession.sparkContext.broadcast((pieces, size))
+    table = tokens.sparkSession.sparkContext.broadcast(PerfectHash(read_ranks(vocabulary)))
     at = tokens.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, size = table.value
-        pieces, begin = np.frombuffer(pieces, np.uint8), np.cumsum(size) - size
+        decoder = Decoder(table.value)
         for whole in batches:
             for batch in row_slices(whole):
-                lists = batch.column(at)
-                n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
-                flat = lists.flatten().to_numpy()
-                far = np.concatenate([[0], np.cumsum(size[flat])])[np.concatenate([[0], np.cumsum(n)])]
-                texts = b"".join(_joined(pieces, begin, size, flat[low : low + GATHER]) for low in range(0, len(flat), GATHER))
-                texts = [texts[a:b] for a, b in pairwise(far.tolist())]
-                arrays = [*batch.columns, pa.array(texts, pa.binary())]
+                arrays = [*batch.columns, pa.array(decoder.texts(batch.column(at)), pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, out_col])
 
     return tokens.mapInArrow(run, f"{tokens._jdf.schema().toDDL()}, {out_col} binary")
@@ -244,7 +259,7 @@ def decode(tokens: DataFrame, vocabulary: str, ids_col: str = "ids", out_col: st
 
 def token_digests(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     """Per document: n_tokens and digests of its ids and of the bytes they decode to."""
-    ids = decode(encode(docs, vocabulary, pattern), vocabulary)
+    ids = encode(docs, vocabulary, pattern, decoded=True)
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
     return ids.select(
         "doc_id",

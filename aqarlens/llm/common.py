@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -27,6 +28,8 @@ def worker_state(name: str, make: Callable[[], T]) -> T:
     """
     if name not in _HELD:
         _HELD.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
         _HELD[name] = make()
     return _HELD[name]
 
