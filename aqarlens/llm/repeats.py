@@ -120,6 +120,25 @@ def sorted_contexts(rights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, common
 
 
+def distinct_rows(rights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(one row of each content, each row's place among these); they come in no order of their bytes.
+
+    A hash only brings equal rows together; contents are compared in full.
+    """
+    rows, width = rights.shape
+    padded = np.zeros((rows, -(-width // 8) * 8), np.uint8)
+    padded[:, :width] = rights
+    code = np.zeros(rows, U64)
+    for word in padded.view(U64).T:
+        code = kernels.mix(code * U64(kernels.BASE) + word)
+    order = np.argsort(code, kind="stable")
+    new = np.ones(rows, bool)
+    new[1:] = (rights[order[1:]] != rights[order[:-1]]).any(1)
+    place = np.empty(rows, np.int64)
+    place[order] = np.cumsum(new) - 1
+    return order[new], place
+
+
 def repeated_masks(keys: np.ndarray, ctx: np.ndarray, length: int) -> np.ndarray:
     """Per context of ``context_type``, which of its windows (by distance to the anchor) occur twice."""
     reach = length // 2
@@ -137,8 +156,7 @@ def repeated_masks(keys: np.ndarray, ctx: np.ndarray, length: int) -> np.ndarray
     take = np.minimum(own["left"][:, None].astype(np.int64) + column, reach + length - 1)
     size = length - own["stay"].astype(np.int64)
     rights = np.where(column < size[:, None], np.take_along_axis(own["text"], take, 1), 0).astype(np.uint8)
-    packed = np.ascontiguousarray(rights).view(np.dtype((np.void, length)))[:, 0]
-    _, one, inverse = np.unique(packed, return_index=True, return_inverse=True)
+    one, inverse = distinct_rows(rights)
     order, common = sorted_contexts(rights[one])
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))

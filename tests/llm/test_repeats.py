@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import hashlib
 import random
+from collections import Counter
 
+import numpy as np
 import pytest
-from aqarlens.llm import exchange
+from aqarlens.llm import exchange, repeats
 from aqarlens.llm.common import chunk_count
 from aqarlens.llm.exchange import distinct_texts
-from aqarlens.llm.repeats import repeated_spans, without_repeats
+from aqarlens.llm.repeats import distinct_rows, repeated_masks, repeated_spans, sorted_contexts, without_repeats
 from aqarlens.llm.suffix_groups import suffix_array
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -22,6 +24,48 @@ def test_suffix_array(symbols):
     assert suffix_array(symbols) == sorted(range(len(symbols)), key=lambda i: symbols[i:])
 
 
+def _rows(seed: int = 3, n: int = 120, width: int = 40):
+    """Rows of few symbols, half of them with one of eight beginnings, in no order; some twice."""
+    rng = np.random.default_rng(seed)
+    rows = rng.integers(97, 99, (n, width), dtype=np.uint8)
+    rows[: n // 2, : width - 6] = rows[rng.integers(0, 8, n // 2) + n // 2, : width - 6]
+    rows[n // 4 : n // 3] = rows[n // 2 : n // 2 + n // 3 - n // 4]
+    return rows
+
+
+def test_contexts_are_ordered_by_the_suffix_array():
+    rows = _rows()
+    one, place = distinct_rows(rows)
+    assert (rows[one][place] == rows).all() and len(one) == len({r.tobytes() for r in rows})
+    order, common = sorted_contexts(rows[one])
+    inorder = [rows[one][k].tobytes() for k in order]
+    assert inorder == sorted(r.tobytes() for r in rows[one]) and list(order) != list(range(len(one)))
+    shared = [next(i for i in range(41) if i == 40 or a[i] != b[i]) for a, b in zip(inorder, inorder[1:], strict=False)]
+    assert list(common[1:]) == shared
+
+
+def _contexts(length: int = 24):
+    """Contexts of one key: equal windows at several distances before and after their anchors."""
+    rows = _rows(width=length + length // 2)
+    ctx = np.zeros(len(rows), repeats.context_type(length))
+    ctx["text"], ctx["n"], ctx["left"] = rows, 1, length // 2
+    ctx["ctx"] = np.arange(len(rows))
+    return np.zeros(len(rows), np.uint64), ctx
+
+
+def test_masks_follow_from_the_suffix_array(monkeypatch):
+    """Windows that occur twice by plain comparison; without the suffix array's order they are not found."""
+    keys, ctx = _contexts()
+    text = [t.tobytes() for t in ctx["text"]]
+    # The key holds the bytes after an anchor, so windows are compared at equal distances from it.
+    windows = [[(d, t[12 - d : 36 - d]) for d in range(13)] for t in text]
+    seen = Counter(w for row in windows for w in row)
+    want = [[seen[w] > 1 for w in row] for row in windows]
+    assert repeated_masks(keys, ctx, 24).tolist() == want
+    monkeypatch.setattr(repeats, "suffix_array", lambda symbols: list(range(len(symbols))))
+    assert repeated_masks(keys, ctx, 24).tolist() != want
+
+
 def _digest(row):
     size = sum(s.end - s.start for s in row.spans)
     return row.n_bytes, size, len(row.spans), hashlib.sha256(bytes(row.kept)).hexdigest()
