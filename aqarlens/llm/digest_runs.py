@@ -1,13 +1,19 @@
 """Exact deduplication by a tree-merge of sorted digest runs (native Spark only).
 
 Every input partition makes one run: its distinct digests, each with the
-smallest identifier and a row count.  Runs then meet in binomial rounds: in
-round k the runs whose numbers agree after dropping the lowest
-``bits * k`` bits are merged into one, keeping per digest the smallest
-identifier and the sum of counts.  After the last round one run is left; it
-is spread over all tasks by digest, so no task holds a whole run.  Within a
-round every merge first combines map-side, so a text that makes up a third of
-all rows leaves each task as one row per run.
+smallest identifier and a row count, in ascending order.  Runs then meet in binomial
+rounds: in round k the runs whose numbers agree after dropping the lowest
+``bits * k`` bits are merged into one.  A merge goes through its runs in digest
+order: equal digests stand side by side, smallest identifier first, the first
+of them stays and takes the sum of the counts.  After the last round one run
+is left.
+
+A run is cut into parts by the leading bits of the digest, the same cut for
+all runs, so runs merge part by part, no task holds a whole run, and a part
+of the result is in order within itself.  A shuffle keeps no order, so a merge
+begins with Spark's external sort of the parts that it gathered.  A text that
+makes up a third of all rows is one row per run from the start, and at most
+``2 ** bits`` rows of it meet in a merge.
 
 A digest is SHA-256 of the normalised text; the length and a 64-bit hash of
 another family travel with it as part of the key and are compared at every
@@ -17,7 +23,7 @@ are never merged.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aqarlens.llm.common import free_names, stage
@@ -43,16 +49,26 @@ def digest_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def in_order(runs: DataFrame, parts: int) -> DataFrame:
+    """Runs in ascending order of their keys, smallest identifier (null last) first, cut alike into parts."""
+    lead = F.conv(F.hex(F.substring("digest", 1, 3)), 16, 10).cast("long")
+    placed = runs.withColumn("part", F.floor(lead * parts / (1 << 24))).repartition("run", "part")
+    return placed.sortWithinPartitions("run", "part", *KEY, F.col("keep_id").asc_nulls_last())
+
+
 def merge_runs(rows: DataFrame, bits: int = 3) -> DataFrame:
     """(key, keep_id, group_size) per distinct text; ``2 ** bits`` runs meet in a merge."""
     last = rows.agg(F.max("run")).first()[0] or 0
+    # Several parts a task even out.
+    parts = 16 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     runs = rows.groupBy("run", *KEY).agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size"))
+    same = Window.partitionBy("run", "part", *KEY).orderBy(F.col("keep_id").asc_nulls_last())
+    everyone = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     while last:
-        runs = (
-            runs.withColumn("run", F.shiftright("run", bits))
-            .groupBy("run", *KEY)
-            .agg(F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
-        )
+        gathered = in_order(runs.withColumn("run", F.shiftright("run", bits)), parts)
+        merged = gathered.withColumn("place", F.row_number().over(same))
+        merged = merged.withColumn("group_size", F.sum("group_size").over(everyone))
+        runs = merged.where("place = 1").drop("place", "part")
         last >>= bits
     return runs.drop("run")
 
