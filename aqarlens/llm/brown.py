@@ -5,9 +5,13 @@
    adjoining pairs in the corpus: a word moves to the class that raises the
    class-bigram likelihood most, until no word moves.
 2. Every other word takes the class that best predicts the classes around its
-   occurrences; chunks of documents vote, weighted by occurrences.  Words seen
-   once, and words never seen, form the rare class; the end of a text is a
-   class of its own.
+   occurrences; chunks of documents vote, weighted by the occurrences that have
+   a placed word beside them.  In the batch exchange rounds after that
+   (``rounds``), all words outside the head may move at once: the votes are
+   taken again with the classes that the round before gave the whole
+   vocabulary.  Words seen once, and words never seen, form the rare class;
+   words seen more often that never stand beside a placed one form the loose
+   class; the end of a text is a class of its own.
 3. Each document becomes its sequence of classes; transitions between classes
    are counted over all training documents.
 4. A token's probability is that of its class after the two classes before
@@ -37,6 +41,8 @@ HEAD = 1024
 CLASSES = 40
 #: Weight of the shorter history in smoothing.
 BACKOFF = 12.0
+#: Rounds in which the whole vocabulary outside the head is placed anew.
+ROUNDS = 1
 
 COUNT = np.dtype([("n", "u8"), ("vote", "u1"), ("votes", "u4")])
 SEQUENCE = "id long, held_out boolean, n_tokens long, n_known long, base double, log_counts double, classes binary"
@@ -90,7 +96,8 @@ def head_pairs(docs: DataFrame, head: np.ndarray) -> np.ndarray:
         total = np.zeros(size * size, np.int64)
         for batch in batches:
             for _, _, word, _ in tokens(batch.column(0).to_pylist()):
-                hit, at = exchange.find(known, word)
+                # Each text begins after an end, the first of a batch too.
+                hit, at = exchange.find(known, np.append(END, word))
                 both = hit[1:] & hit[:-1]
                 total += np.bincount(at[:-1][both] * size + at[1:][both], minlength=size * size)
         code = np.flatnonzero(total)
@@ -104,12 +111,13 @@ def head_pairs(docs: DataFrame, head: np.ndarray) -> np.ndarray:
     return pairs.reshape(size, size)
 
 
-def exchange_classes(pairs: np.ndarray, classes: int, fixed: int, rounds: int = 12) -> np.ndarray:
+def exchange_classes(pairs: np.ndarray, classes: int, fixed: int) -> np.ndarray:
     """Class of each word by the exchange algorithm; ``fixed`` is alone in the last class, number ``classes``.
 
     Words start in classes by rank of frequency.  In each round every word, the
     most frequent first, is taken out and put where the sum of
-    n(c, d) log n(c, d) - n(c) log n(c) - n(d) log n(d) is largest.
+    n(c, d) log n(c, d) - n(c) log n(c) - n(d) log n(d) is largest, until no
+    word moves; each move raises the likelihood, so this ends.
     """
     size = len(pairs)
     order = np.argsort(-(pairs.sum(0) + pairs.sum(1)), kind="stable")
@@ -124,7 +132,8 @@ def exchange_classes(pairs: np.ndarray, classes: int, fixed: int, rounds: int =
     def xlogx(x):
         return x * np.log(np.maximum(x, 1e-300))
 
-    for _ in range(rounds):
+    moved = size
+    while moved:
         moved = 0
         for w in order:
             old = cls[w]
@@ -155,8 +164,6 @@ def exchange_classes(pairs: np.ndarray, classes: int, fixed: int, rounds: int =
             both[new, new] += own
             moved += new != old
             cls[w] = new
-        if not moved:
-            break
     return cls
 
 
@@ -174,11 +181,18 @@ class Model:
         self.after = np.vstack([np.log(both / both.sum(1, keepdims=True)).T, np.zeros(classes + 1)])
 
 
-def _votes(model: Model, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct words, occurrences, best class) of a run of tokens; head words keep their class."""
+def _head_classes(model: Model, word: np.ndarray) -> np.ndarray:
+    """Each token's class where it is a head word (the end is one), else the number of no known class."""
     hit, at = exchange.find(model.words, word)
-    cls = np.where(hit, model.cls[at] if len(model.words) else 0, model.classes + 1)
-    # A token's class as neighbour; texts' ends part them, as the end is a head word.
+    return np.where(hit, model.cls[at] if len(model.words) else 0, model.classes + 1)
+
+
+def _votes(model: Model, word: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(distinct words, occurrences, best class, votes for it) of a run of tokens with classes.
+
+    Head words keep their class.  Occurrences beside a placed token vote; words without any are loose.
+    """
+    # Texts' ends part them, as the end has a class.
     left, right = np.append(model.classes, cls[:-1]), np.append(cls[1:], model.classes + 1)
     keys, inverse, n = np.unique(word, return_inverse=True, return_counts=True)
     order = np.argsort(inverse, kind="stable")
@@ -189,34 +203,49 @@ def _votes(model: Model, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
         token = order[ends[low] - n[low] : ends[high - 1]]
         parts = model.before[left[token], :-1] + model.after[right[token], :-1]
         score[low:high] = np.add.reduceat(parts, ends[low:high] - n[low:high] - (ends[low] - n[low]), axis=0)
-    best = score.argmax(1)
+    votes = np.bincount(inverse, (left <= model.classes) | (right <= model.classes), len(keys)).astype(np.int64)
+    best = np.where(votes > 0, score.argmax(1), model.classes)
     hit, at = exchange.find(model.words, keys)
     best[hit] = model.cls[at[hit]]
-    return keys, n, best
+    return keys, n, best, votes
 
 
-def class_sequences(docs: DataFrame, chunks: int, model: Model, total: int, distinct: int) -> DataFrame:
+def class_sequences(
+    docs: DataFrame, chunks: int, model: Model, total: int, distinct: int, rounds: int = ROUNDS
+) -> DataFrame:
     """Per row: token counts, base score, sum of log counts, and the class of each token, as ``SEQUENCE``."""
     dealt = in_chunks(docs, chunks)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rare, end = model.classes, model.classes + 1
+    loose, rare, end = range(model.classes, model.classes + 3)
 
-    def send(table: pa.Table) -> pa.Table:
+    def ask(table: pa.Table, class_of) -> pa.Table:
         fitted = shared.value
         train = pa.array(~table.column("held_out").to_numpy())
         found = [(np.zeros(0, U64), np.zeros(0, COUNT))]
         for _, _, word, _ in tokens(table.filter(train).column("text").to_pylist()):
-            keys, n, best = _votes(fitted, word)
+            keys, *counted = _votes(fitted, word, class_of(word))
             record = np.zeros(len(keys), COUNT)
-            record["n"], record["vote"], record["votes"] = n, best, n
+            record["n"], record["vote"], record["votes"] = counted
             found.append((keys, record))
         # Held-out rows ask for their words and tell nothing about them.
         for _, _, word, _ in tokens(table.filter(pc.invert(train)).column("text").to_pylist()):
             keys = np.unique(word)
-            found.append((keys, np.zeros(len(keys), COUNT)))
+            record = np.zeros(len(keys), COUNT)
+            record["vote"] = loose
+            found.append((keys, record))
         keys, record = (np.concatenate(x) for x in zip(*found, strict=True))
         return exchange.pack(table.column("chunk")[0].as_py(), *_voted(keys, record)[:2], chunks)
 
+    def send(table: pa.Table) -> pa.Table:
+        return ask(table, lambda word: _head_classes(shared.value, word))
+
+    def send_again(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        known, record = exchange.answers_of(answers, COUNT)
+        # Rare and loose words tell nothing about their neighbours.
+        placed = np.where((record["n"] > 1) & (record["vote"] < loose), record["vote"], loose + 1)
+        placed[known == END] = loose
+        return ask(rows, lambda word: placed[exchange.find(known, word)[1]]) if rows.num_rows else exchange.EMPTY
+
     def answer(chunk, keys, record):
         one, merged, which = _voted(keys, record)
         return chunk, keys, merged[which]
@@ -246,6 +275,9 @@ def class_sequences(docs: DataFrame, chunks: int, model: Model, total: int, dist
         return table.set_column(0, "id", rows.column("id")) if rows.num_rows else table
 
     packed = dealt.groupBy("chunk").applyInArrow(send, exchange.PACKED)
+    for _ in range(rounds):
+        answers = exchange.merged(packed, chunks, COUNT, answer).repartition(chunks, "chunk")
+        packed = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(send_again, exchange.PACKED)
     answers = exchange.merged(packed, chunks, COUNT, answer).repartition(chunks, "chunk")
     return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, SEQUENCE)
 
@@ -315,6 +347,7 @@ def score_documents(
     text_col: str = "text",
     head: int = HEAD,
     classes: int = CLASSES,
+    rounds: int = ROUNDS,
 ) -> DataFrame:
     """One row per document: held_out, n_tokens, n_known, train_tokens, base_score, score (log10), perplexity.
 
@@ -331,8 +364,8 @@ def score_documents(
     cls = exchange_classes(pairs, classes, int(np.searchsorted(known, END)))
     model = Model(known, cls, pairs, classes)
     chunks = chunk_count(text_bytes(docs, text_col))
-    sequences = stage(class_sequences(rows, chunks, model, total, distinct), "class-sequences")
-    states = classes + 2
+    sequences = stage(class_sequences(rows, chunks, model, total, distinct, rounds), "class-sequences")
+    states = classes + 3
     table = docs.sparkSession.sparkContext.broadcast(log_probabilities(transitions(sequences, states)))
     start = bytes([states - 1, states - 1])
 
