@@ -3,8 +3,9 @@
 1. Lexicon: among the training labels, words and word beginnings that mark
    toxic documents far beyond chance (a bound on the binomial tail, corrected
    for the number of candidates), whole words or stems, and that occur in
-   several families of near copies in a bounded sample.  Every term
-   of two toxic training rows is a candidate; counts and tests are Spark tables.
+   several families of near copies.  Every term of two toxic training rows is a
+   candidate; counts, tests, families and the choice among beginnings of one
+   word are Spark tables over all training rows.
 2. The lexicon's trie is intersected with Levenshtein automata of distance one:
    the product is made into a deterministic automaton as words need it, so a
    word costs one step per character and most words fail after a few.
@@ -33,10 +34,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aqarlens.llm import kernels
-from aqarlens.llm.common import free_names, row_slices, stage, worker_state
+from aqarlens.llm.common import components, free_names, row_slices, stage, worker_state
 
 FIT_ROWS = 20_000
-#: Beginnings of words that can be lexicon terms, and the shortest that may be misspelt.
+#: Lengths of the beginnings of words that can be lexicon terms (longer words are terms as
+#: wholes only), and the shortest term that may be misspelt.
 SHORTEST, LONGEST, FUZZY = 4, 16, 5
 #: A lexicon term's share of toxic documents among those that have it.
 PRECISION = 0.9
@@ -182,7 +184,9 @@ def _terms(text: str) -> set[str]:
     found = set()
     for word in {plain(w) for w in words_of(text)}:
         found.update(word[:k] for k in range(SHORTEST, min(len(word), LONGEST) + 1))
-        if SHORTEST <= len(word) <= LONGEST:
+        if len(word) > LONGEST:
+            found.add(word)
+        if len(word) >= SHORTEST:
             found.add(word + WHOLE)
     return found
 
@@ -192,6 +196,7 @@ def _counted(rows: DataFrame, whole: bool) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
+        held = 0
 
         def flush():
             out = pa.RecordBatch.from_pydict({"term": list(total), "n": pa.array(total.values(), pa.int64())})
@@ -203,15 +208,17 @@ def _counted(rows: DataFrame, whole: bool) -> DataFrame:
             for text in batch.column(0).to_pylist():
                 found = _terms(text)
                 total.update(found if whole else (t for t in found if not t.endswith(WHOLE)))
-                if len(total) > 500_000:
+                held += sum(map(len, found))
+                if len(total) > 500_000 or held > 128 << 20:
                     yield flush()
+                    held = 0
         if total:
             yield flush()
 
     return rows.select("text").mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def learn_lexicon(train: DataFrame, fit_rows: int = FIT_ROWS) -> dict[str, bool]:
+def learn_lexicon(train: DataFrame) -> dict[str, bool]:
     """Word beginnings that mark toxic rows, the longest ones of equal reach.
 
     The value tells whether the term is mostly a whole word there.
@@ -236,66 +243,84 @@ def learn_lexicon(train: DataFrame, fit_rows: int = FIT_ROWS) -> dict[str, bool]
     surprise = F.col("total") * (F.col("rate") * F.log(F.col("rate") / share) + rest)
     passed = counted.where(surprise > needed).join(words, "term", "left")
     passed = passed.select("term", F.coalesce(2 * F.col("whole") > F.col("hits"), F.lit(False)).alias("mostly"))
-    good = {r["term"]: r["mostly"] for r in passed.toLocalIterator()}
-    support = _families(_sampled(train.where("toxic = 1"), toxic, fit_rows), set(good))
-    least = math.ceil(needed / -math.log(share))
-    reach = {term: n for term, n in support.items() if n >= least}
-    kept = []
-    for root in reach:
-        if any(root[:k] in reach for k in range(SHORTEST, len(root))):
-            continue
-        # Of a beginning and longer ones with nearly the same reach, the longest.
-        same = (t for t, n in reach.items() if t.startswith(root) and n >= 0.95 * reach[root])
-        kept.append(max(same, key=lambda t: (len(t), t)))
-    return {term: good[term] for term in kept}
-
-
-#: Smallest hashes kept of a text's word triples.
-SKETCH = 8
-
-
-def _families(train: DataFrame, terms: set[str]) -> dict[str, int]:
-    """The number of families of near copies with each term, among sampled toxic rows.
-
-    Texts that share one of ``SKETCH`` smallest hashes of their word triples
-    are one family: a toxic text's other words, repeated by its copies, are no
-    evidence of their own.
+    passed = stage(passed, "passed-terms")
+    rows = train.where("toxic = 1").select(F.xxhash64("text").alias("doc"), "text")
+    # Equal texts have one number, so copies count once; the planner broadcasts the terms if their table is small.
+    found = stage(_document_terms(rows).join(passed, "term").distinct(), "toxic-documents")
+    family = F.coalesce("component", "doc")
+    reach = found.join(_families(rows), F.col("doc") == F.col("id"), "left").groupBy("term", "mostly")
+    reach = reach.agg(F.count_distinct(family).alias("n")).where(F.col("n") >= math.ceil(needed / -math.log(share)))
+    return {r["term"]: r["mostly"] for r in _longest(stage(reach, "lexicon-reach")).toLocalIterator()}
+
+
+def _longest(reach: DataFrame) -> DataFrame:
+    """(term, mostly): of each shortest term and those that begin with it and have nearly its reach, the longest.
+
+    ``reach`` has term, mostly and n.  Beginnings end at ``LONGEST``
+    characters, so a longer word is looked up by these and as a whole.
     """
-    wanted = train.sparkSession.sparkContext.broadcast(terms)
+    length = F.char_length("term")
+    cuts = F.concat(F.sequence(F.lit(SHORTEST), F.least(length, F.lit(LONGEST))), F.array(length))
+    begins = reach.withColumn("cut", F.explode(F.array_distinct(cuts)))
+    begins = begins.select("term", "mostly", "n", F.expr("left(term, cut)").alias("root"))
+    known = reach.select(F.col("term").alias("root"), F.col("n").alias("most"))
+    shortest = F.min(F.struct(F.char_length("root").alias("length"), "root", "most"))
+    own = begins.join(known, "root").groupBy("term", "mostly", "n").agg(shortest.alias("r"))
+    same = own.where(F.col("n") >= 0.95 * F.col("r.most")).groupBy("r.root")
+    return same.agg(F.max(F.struct(length.alias("length"), "term", "mostly")).alias("t")).select("t.term", "t.mostly")
+
+
+def _document_terms(rows: DataFrame) -> DataFrame:
+    """(doc, term) of each (doc, text): every beginning and long word, a few rows of texts at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            sketches = []
-            for first, last, data, ends in kernels.batches(texts):
+        worker_state("toxicity", dict)
+        for batch in chain.from_iterable(row_slices(b, 50) for b in batches):
+            found = [[t for t in _terms(text) if not t.endswith(WHOLE)] for text in batch.column(1).to_pylist()]
+            docs = np.repeat(batch.column(0).to_numpy(), [len(x) for x in found])
+            terms = pa.array(list(chain.from_iterable(found)), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), terms], names=["doc", "term"])
+
+    return rows.mapInArrow(run, "doc long, term string")
+
+
+#: Keys of a text, each of several minima over its word triples.  Texts that share 0.8 of their
+#: triples share a key with probability 0.985; among 10^9 unlike texts hardly two do.
+KEYS, MINIMA = 8, 4
+
+
+def _families(rows: DataFrame) -> DataFrame:
+    """(id, component) of the (doc, text) rows that are near copies of others.
+
+    A toxic text's other words, repeated by its copies, are no evidence of
+    their own, so a family of near copies counts once.
+    """
+    seeds = kernels.mix(np.arange(1, KEYS * MINIMA + 1, dtype=np.uint64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("toxicity", dict)
+        for batch in chain.from_iterable(map(row_slices, batches)):
+            docs = batch.column(0).to_numpy()
+            for first, last, data, ends in kernels.batches(batch.column(1).to_pylist()):
                 value, owner = kernels.shingles(*kernels.words(data, ends), last - first, 3)
-                for k in range(last - first):
-                    own = value[np.searchsorted(owner, k) : np.searchsorted(owner, k, side="right")]
-                    seeds = np.arange(SKETCH, dtype=np.uint64)[:, None]
-                    low = kernels.mix(own[None] ^ kernels.mix(seeds)).min(1) if len(own) else np.zeros(0, np.uint64)
-                    sketches.append(low.view(np.int64).tolist())
-            found = [sorted(_terms(t) & wanted.value) for t in texts]
-            arrays = [pa.array(found, pa.list_(pa.string())), pa.array(sketches, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["terms", "sketch"])
-
-    found = train.select("text").distinct().mapInArrow(run, "terms array<string>, sketch array<long>")
-    rows = [(r["terms"], r["sketch"]) for r in found.toLocalIterator()]
-    root = list(range(len(rows)))
-
-    def top(x):
-        while root[x] != x:
-            root[x] = x = root[root[x]]
-        return x
-
-    seen: dict[int, int] = {}
-    for number, (_, sketch) in enumerate(rows):
-        for value in sketch:
-            root[top(number)] = top(seen.setdefault(value, number))
-    has: dict[str, set[int]] = {}
-    for number, (own, _) in enumerate(rows):
-        for term in own:
-            has.setdefault(term, set()).add(top(number))
-    return {term: len(families) for term, families in has.items()}
+                count = np.bincount(owner, minlength=last - first)
+                full = np.flatnonzero(count)
+                if not len(full):
+                    continue
+                starts = (np.cumsum(count) - count)[full]
+                out = []
+                for at in range(0, len(seeds), MINIMA):
+                    key = np.full(len(full), at, np.uint64)
+                    for seed in seeds[at : at + MINIMA]:
+                        low = np.minimum.reduceat(kernels.mix(value ^ seed), starts)
+                        key = kernels.mix(key * np.uint64(kernels.BASE) + low)
+                    out.append(key)
+                columns = [pa.array(np.tile(docs[first + full], KEYS)), pa.array(np.concatenate(out).view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc", "key"])
+
+    keys = stage(rows.mapInArrow(run, "doc long, key long").distinct(), "toxic-keys")
+    low = keys.groupBy("key").agg(F.min("doc").alias("a"), F.count("*").alias("c")).where("c > 1")
+    return components(keys.join(low, "key").select("a", F.col("doc").alias("b")), "toxic-families")
 
 
 def _hits(text: str, trie: FuzzyTrie, memo: dict[str, int], ordinary: frozenset[str]) -> list[tuple[int, str, int]]:
@@ -413,7 +438,7 @@ def score_toxicity(
     """
     spark = docs.sparkSession
     train = stage(_labelled(docs, labels, id_col, text_col), "toxicity-train")
-    lexicon = learn_lexicon(train, fit_rows)
+    lexicon = learn_lexicon(train)
     model = spark.sparkContext.broadcast(lexicon)
     ordinary = spark.sparkContext.broadcast(_ordinary(train, model) if lexicon else frozenset())
     weights = None

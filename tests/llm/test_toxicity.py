@@ -4,7 +4,7 @@ import random
 import zlib
 
 import numpy as np
-from aqarlens.llm.toxicity import FuzzyTrie, _ordinary, fit_logistic, learn_lexicon, quoted, score_toxicity, without_toxic
+from aqarlens.llm.toxicity import FuzzyTrie, _longest, _ordinary, fit_logistic, learn_lexicon, quoted, score_toxicity, without_toxic
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -109,6 +109,48 @@ def test_rare_terms_among_many_candidates(spark):
     assert learn_lexicon(train) == {"zyxwvut": True}
 
 
+def test_terms_do_not_depend_on_the_rows_fitted(spark):
+    """A term in a 40th of the toxic rows is learned, and its rows score, however few rows the regression is fitted on."""
+    rows = [(k, prose(k, 30) + (" rarelyvile" if k % 160 == 1 else " muchviler" if k % 4 == 1 else "")) for k in range(3_200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(k, int(k % 4 == 1)) for k, _ in rows], "doc_id long, toxic int")
+    got = {r.doc_id: r.predicted for r in score_toxicity(docs, labels, fit_rows=300).collect()}
+    assert all(got[k] == int(k % 4 == 1) for k, _ in rows)
+
+
+def test_near_copies_are_one_family(spark):
+    """Words of one toxic text with 30 near copies are no terms, nor is what copies of one text hold."""
+    base = prose(5, 60) + " onlycopied " + prose(6, 60)
+    rows = [(base.replace("alpha", f"alpha{k}", 1), 1, k) for k in range(30)] + [(base, 1, 40 + k) for k in range(30)]
+    rows += [(f"{prose(100 + k, 40)} widespread {prose(300 + k, 40)}", 1, 100 + k) for k in range(30)]
+    rows += [(prose(600 + k, 80), 0, 200 + k) for k in range(90)]
+    train = spark.createDataFrame(rows, "text string, toxic int, h long").repartition(3)
+    assert learn_lexicon(train) == {"widespread": True}
+
+
+def test_long_words_are_terms_as_wholes(spark):
+    """A compound of 28 letters is a term, and misspelt it is matched."""
+    word = "widerwaertigkeitsbeschimpfer"
+    rows = [(f"{prose(k, 30)} {word} {prose(300 + k, 30)}", 1, k) for k in range(30)]
+    rows += [(prose(600 + k, 60), 0, 100 + k) for k in range(60)]
+    train = spark.createDataFrame(rows, "text string, toxic int, h long").repartition(3)
+    terms = learn_lexicon(train)
+    assert terms == {word: True}
+    assert FuzzyTrie(terms).match(word.replace("keits", "keit")) == 1
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.dictionaries(st.text("ab", min_size=4, max_size=20), st.integers(1, 60), min_size=1, max_size=30))
+def test_longest_term_of_equal_reach(spark, reach):
+    want = set()
+    cuts = {t: {t, *(t[:k] for k in range(4, min(len(t), 16) + 1))} for t in reach}
+    root = {t: min((c for c in cuts[t] if c in reach), key=len) for t in reach}
+    for first in set(root.values()):
+        want.add(max((t for t in reach if root[t] == first and reach[t] >= 0.95 * reach[first]), key=lambda t: (len(t), t)))
+    table = spark.createDataFrame([(t, True, n) for t, n in reach.items()], "term string, mostly boolean, n long")
+    assert {r.term for r in _longest(table).collect()} == want
+
+
 def test_one_clean_row_does_not_exempt_a_misspelt_form(spark):
     """Of two misspelt forms in one clean row each, the one that toxic rows use 19 times stays a match."""
     words = ["horible"] * 19 + ["horrble"]
