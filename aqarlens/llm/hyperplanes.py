@@ -12,25 +12,44 @@
    of the group's links leave the task, never all its pairs.
 5. Components come from the forests' edges.
 
-With the parameters of ``op6`` a pair of cosine 0.9 shares a bucket with
-probability 0.98, and a closer one with more.
+Signatures have as many bits as keep buckets of unlike vectors at ``BUCKET``
+rows, and there are as many tables as bring a pair at the threshold into one
+bucket with probability ``RECALL`` (closer pairs with more).  So the cosines of
+unlike pairs grow with n * tables rather than with the square of n.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aqarlens.llm.common import components, stage
+from aqarlens.llm.common import components, row_slices, stage
 
-TABLES = 24
-BITS = 12
+#: Probability that a pair at the threshold shares a bucket.
+RECALL = 0.98
+#: Bits of a signature at least and at most (an int holds it), and rows of a bucket beyond the least.
+LEAST_BITS, MOST_BITS, BUCKET = 12, 30, 256
 BLOCK = 1024
 SEED = 20260101
 
 
+def bits_for(rows: int) -> int:
+    """Signs per signature, so that ``rows`` unlike vectors make buckets of ``BUCKET`` at most."""
+    return min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(1, rows) / BUCKET))))
+
+
+def tables_for(bits: int, threshold: float, recall: float = RECALL) -> int:
+    """Tables of ``bits`` signs by which a pair of cosine ``threshold`` shares a bucket with probability ``recall``."""
+    alike = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** bits
+    if alike >= 1:
+        return 1
+    return max(1, math.ceil(math.log(1 - recall) / math.log1p(-alike)))
+
+
 def hyperplanes(dimensions: int, tables: int, bits: int, seed: int = SEED) -> np.ndarray:
     """(dimensions, tables * bits) normal components; the same for the same arguments."""
     return np.random.Generator(np.random.PCG64(seed)).standard_normal((dimensions, tables * bits))
@@ -47,7 +66,9 @@ def signatures(rows: DataFrame, tables: int, bits: int, seed: int) -> DataFrame:
     def run(batches):
         planes: dict[int, np.ndarray] = {}
         weights = 1 << np.arange(bits)
-        for batch in batches:
+        # Slices whose products with all planes stay small.
+        few = max(1, (4 << 20) // (tables * bits))
+        for batch in (part for whole in batches for part in row_slices(whole, few)):
             size = batch.column(1).value_lengths().to_numpy(zero_copy_only=False)
             for width in np.unique(size):
                 part = batch.filter(pa.array(size == width))
@@ -148,8 +169,8 @@ def near_duplicates(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     threshold: float = 0.9,
-    tables: int = TABLES,
-    bits: int = BITS,
+    tables: int | None = None,
+    bits: int | None = None,
     block: int = BLOCK,
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) per row.
@@ -159,7 +180,8 @@ def near_duplicates(
     lengths.  Rows without an id link with nothing either and get a null
     component.  Rows that repeat an id and vector are copies of each other
     like any others.  Other columns are not read; an empty table gives an
-    empty result.
+    empty result.  ``bits`` and ``tables`` follow from the number of different
+    vectors and the threshold unless they are given.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -171,6 +193,8 @@ def near_duplicates(
     good = rows.where("usable").select("id", same.alias("vector"))
     first = good.groupBy("vector").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
     first = stage(first, "distinct-vectors")
+    bits = bits or bits_for(first.count())
+    tables = tables or tables_for(bits, threshold)
     found = stage(links(first.select("id", "vector", "copies"), threshold, tables, bits, block), "vector-links")
     counts = found.where("other is null").groupBy("id").agg(F.sum("n").alias("found"))
     parts = components(found.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")))
