@@ -114,7 +114,7 @@ def test_terms_do_not_depend_on_the_rows_fitted(spark):
     rows = [(k, prose(k, 30) + (" rarelyvile" if k % 160 == 1 else " muchviler" if k % 4 == 1 else "")) for k in range(3_200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     labels = spark.createDataFrame([(k, int(k % 4 == 1)) for k, _ in rows], "doc_id long, toxic int")
-    got = {r.doc_id: r.predicted for r in score_toxicity(docs, labels, fit_rows=300).collect()}
+    got = {r.doc_id: r.predicted for r in score_toxicity(docs, labels, fit_rows=100).collect()}
     assert all(got[k] == int(k % 4 == 1) for k, _ in rows)
 
 
