@@ -1,9 +1,13 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-from aqarlens.operators.cleaning import add_target_and_remove_outliers, dedup_by_key
+from aqarlens.catalog.queries import QUERIES
+from aqarlens.operators import cleaning
+from aqarlens.operators.cleaning import add_target_and_remove_outliers, dedup_by_key, key_load
 from aqarlens.plans.cleaning import clean_property_data
 from aqarlens.sources.listings_view import TIE_COLUMNS, listings_view
 
@@ -80,3 +84,31 @@ def test_dedup_hot_key_is_limited_map_side(spark):
     assert out.where("listing_id = 0").first()["v"] == 0
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_sized_dedup_picks_the_same_rows(spark, monkeypatch):
+    monkeypatch.setattr(cleaning, "TASK_ROWS", 100)
+    rows = [(k % 150 if k % 3 else 7, k % 11, k) for k in range(900)] + [(None, k % 5 or None, k) for k in range(40)]
+    df = spark.createDataFrame(rows, "listing_id long, v int, w long").repartition(3)
+    load = key_load(df)
+    assert load == (940, True)
+    for keep in (False, True):
+        plain = dedup_by_key(df, order_by=["v", "w"], keep_null_keys=keep)
+        for hot in (True, False):
+            sized = dedup_by_key(df, order_by=["v", "w"], keep_null_keys=keep, load=(load[0], hot))
+            assert sorted(map(str, sized.collect())) == sorted(map(str, plain.collect()))
+    assert key_load(df.where("listing_id > 7")) == (600 - sum(k % 150 <= 7 for k in range(900) if k % 3), False)
+    assert key_load(df.limit(0)) == (0, False)
+
+
+def test_dedup_of_listings_shuffles_sources_and_sizes_its_tasks(spark, sf_dir, monkeypatch):
+    """Sorts held a whole input split of derived text, and spilled."""
+    monkeypatch.setattr(cleaning, "TASK_ROWS", 1000)
+    unique = QUERIES["dedup_listings"](spark, sf_dir)
+    plan = unique._jdf.queryExecution().executedPlan().toString()
+    above, below = plan[: plan.rindex("Exchange hashpartitioning(listing_id")], plan[plan.rindex("Exchange hashpartitioning(listing_id") :]
+    assert re.match(r"Exchange hashpartitioning\(listing_id#\w+, 6\)", below)
+    assert "WindowGroupLimit" in above and "WindowGroupLimit" not in below and "Sort " not in below.split("Scan parquet")[0]
+    assert "EGP" in above and "EGP" not in below
+    plain = dedup_by_key(listings_view(spark, sf_dir), "listing_id", TIE_COLUMNS)
+    assert unique.count() == 4599 and unique.exceptAll(plain).count() == 0
