@@ -3,6 +3,8 @@ from __future__ import annotations
 import math
 
 import pytest
+from pyspark.ml.regression import LinearRegression
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from aqarlens.catalog import queries as q
@@ -136,3 +138,18 @@ def test_importance_names_come_from_the_model(spark, sf_dir):
     line = q.fitted_on(spark, sf_dir, "linear_regression", q.LINE_FEATURES)
     weights = dict(zip(q.LINE_FEATURES, line.stages[-1].coefficients.toArray(), strict=True))
     assert {r.feature: r.score for r in feature_importance(spark, line).collect()} == {k: abs(v) for k, v in weights.items()}
+
+
+def test_tuners_stage_only_what_fits_read(spark, monkeypatch):
+    """Each fold's copy used to hold every column of the model table."""
+    from aqarlens.plans import training
+
+    staged = []
+    monkeypatch.setattr(training, "materialize", lambda df, mode="auto": staged.append(df.columns) or df)
+    rows = [(float(k % 17), float(k % 5), 1.0 + k % 2, k, k % 3, k % 17 + 0.1 * (k % 7)) for k in range(120)]
+    train = spark.createDataFrame(rows, "x double, other double, w double, listing_id long, fold int, label double")
+    estimator = LinearRegression(featuresCol="features", labelCol="label", weightCol="w", solver="normal")
+    grid = ParamGridBuilder().addGrid(estimator.regParam, [0.0, 1.0]).build()
+    _, tuned = fit_model(estimator, grid, train, ["x"], {"method": "cross_validator", "fold_col": "fold", "parallelism": 1})
+    assert staged == [["x", "w", "fold", "label"]]
+    assert [chosen["regParam"] for chosen, _ in tuning_table(tuned)] == [0.0, 1.0]
