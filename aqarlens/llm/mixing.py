@@ -121,9 +121,10 @@ def mix_sources(
     read.  An empty table gives an empty result.
     """
     rows = stage(with_tokens(docs, id_col, text_col, source_col), "mix-tokens")
-    # One row per source reaches the driver: the catalogue of sources, not the corpus.
+    # One row per source reaches the driver: the catalogue of sources, not the corpus.  All at once, as an
+    # iterator would run one job per partition of the shuffle, nearly all of them on nothing.
     totals = rows.groupBy("source").agg(F.sum("tokens").alias("tokens"))
-    tokens = {r["source"]: r["tokens"] for r in totals.toLocalIterator()}
+    tokens = {r["source"]: r["tokens"] for r in totals.collect()}
     exponent = fit_exponent(tokens, target_entropy, max_repeats, budget, keep_all)
     weights = shares(tokens, exponent) if any(tokens.values()) else {}
     give = _budget(tokens, weights, budget, keep_all)
@@ -160,7 +161,7 @@ def _taken(placed: DataFrame) -> DataFrame:
     """Adds ``taken``: the tokens of the documents before this one in its source's order are below ``rest``."""
     spark = placed.sparkSession
     rests = placed.groupBy("source").agg(F.first("rest").alias("rest")).where("rest > 0")
-    cuts = [(r["source"], 0, r["rest"], 2) for r in rests.toLocalIterator()]
+    cuts = [(r["source"], 0, r["rest"], 2) for r in rests.collect()]
     schema, bits = "__s string, path long, left long, n long", 0
     cut = spark.createDataFrame(cuts, schema)
     while bits < PLACE_BITS and any(n > 1 for *_, n in cuts):
@@ -176,7 +177,7 @@ def _taken(placed: DataFrame) -> DataFrame:
         sums = sums.withColumn("left", F.col("left") - F.coalesce(F.sum("t").over(before), F.lit(0)))
         # The last block that begins before the budget is met; at most BLOCKS rows per source are compared.
         last = sums.where("left > 0").groupBy("__s").agg(F.max(F.struct("block", "left", "n")).alias("m"))
-        cuts = [(r["__s"], r["m"]["block"], r["m"]["left"], r["m"]["n"]) for r in last.toLocalIterator()]
+        cuts = [(r["__s"], r["m"]["block"], r["m"]["left"], r["m"]["n"]) for r in last.collect()]
         cut = spark.createDataFrame(cuts, schema)
         bits = finer
     # Documents that share all bits of their place are taken together.

@@ -99,3 +99,20 @@ def test_cut_among_repeated_rows(spark):
             before += 2 * r.tokens
         checked += 0 < rest
     assert checked >= 3
+
+
+def test_jobs_do_not_follow_the_shuffle_partitions(spark, docs):
+    """One job per partition and per level, on nothing mostly, took minutes with a few hundred partitions."""
+    settings = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    group = "mixing-jobs"
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        spark.sparkContext.setJobGroup(group, "jobs of one mixture")
+        assert mix_sources(docs).count() == docs.count()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) < 60
