@@ -31,6 +31,7 @@ from aqarlens.operators.encoding import TargetEncodingModel, apply_target_encodi
 from aqarlens.operators.features import add_listing_features
 from aqarlens.plans.cleaning import CleaningModel
 from aqarlens.plans.config import FEATURES, TARGET
+from aqarlens.session import cut_code
 
 
 @dataclass
@@ -80,8 +81,11 @@ class ModelBundle:
 
 
 def prepare_for_scoring(raw: DataFrame, bundle: ModelBundle) -> DataFrame:
-    """Raw listings → model features, with the bundle's saved values."""
-    df = raw
+    """Raw listings → model features, with the bundle's saved values.
+
+    The steps are cut into methods that the JVM compiles (``cut_code``).
+    """
+    df = cut_code(raw)
     if any(name not in df.columns for name in bundle.features):
         absent = [name for name in BOOLEAN_FLAG_COLUMNS if name not in df.columns]
         df = df.withColumns({name: F.lit(None).cast("string") for name in absent}) if absent else df
@@ -90,12 +94,12 @@ def prepare_for_scoring(raw: DataFrame, bundle: ModelBundle) -> DataFrame:
             df = fill_defaults(df, bundle.cleaning.bedroom_median, bundle.cleaning.bathroom_median)
         if "payment_method" in df.columns:
             df = standardize_payment_method(df)
-        df = add_listing_features(df)
+        df = cut_code(add_listing_features(df))
         if bundle.encoding is not None:
             df = apply_target_encoding(df, bundle.encoding)
         lacking = [name for name in bundle.features if name not in df.columns]
         df = df.withColumns({name: F.lit(None).cast("double") for name in lacking}) if lacking else df
-    return df.withColumns({name: F.col(name).try_cast("double") for name in bundle.features})
+    return cut_code(df.withColumns({name: F.col(name).try_cast("double") for name in bundle.features}))
 
 
 def predict_price_per_sqm(bundle: ModelBundle, raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -95,3 +95,24 @@ def test_folders_are_removed(spark, tmp_path):
     folders[:] = held
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         spark.read.parquet(path).count()
+
+
+@pytest.mark.parametrize("name", ["model_roundtrip_scores", "score_listings"])
+def test_scoring_is_code_that_the_jvm_compiles(spark, sf_dir, name):
+    """No method of generated code passes 8,000 bytes, from which on the JVM interprets it."""
+    with_aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        execution = q.QUERIES[name](spark, sf_dir)._jdf.queryExecution()
+        code = execution.explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", with_aqe)
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8_000
+
+
+def test_scored_rows_can_be_read_twice(spark, sf_dir):
+    scored = q.QUERIES["score_listings"](spark, sf_dir)
+    both = scored.alias("a").join(scored.alias("b"), "listing_id").union(scored.select("*", "prediction", "predicted_price_per_sqm"))
+    n, ids = scored.count(), scored.select("listing_id").distinct().count()
+    assert both.select("listing_id").distinct().count() == ids and both.count() >= 2 * n
